@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from lakeload import scratch
 from lakeload.functions.columns import clean_path
 from lakeload.operators import catalog, checks, sinks
-from lakeload.plans.load import audit_frame, load_all, load_table, reconcile_load
+from lakeload.plans.load import audit_frame, load_all, load_table, reconcile_all, side_by_side
 from lakeload.plans.schemas import Registry, data_type, declared_not_null, tpcds
 from lakeload.plans.spec import LoadSpec
 from lakeload.sources import delimited, files
@@ -40,9 +40,7 @@ _staged: dict[tuple, str] = {}
 def staged(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> str:
     """The data root holding ``{name}.dat``; rows are written on first use in a session."""
     session = (spark.sparkContext.applicationId, sf_dir)
-    if session not in _staged:
-        _staged[session] = scratch.new_dir(spark, "stage")
-    root = _staged[session]
+    root = _staged.setdefault(session, scratch.new_dir(spark, "stage"))
     if (*session, name) not in _staged:
         path = f"{root}/{name}.dat"
         delimited.write_delimited(rows(), path)
@@ -292,20 +290,23 @@ def _filling(table: str, schema: T.StructType) -> list[tuple[T.StructField, str]
 
 def tpcds_spec(spark, sf_dir, **settings) -> LoadSpec:
     registry = tpcds()
-    for table, schema in registry.items():
 
-        def as_text(table=table, schema=schema):
+    def stage(table: str) -> str:
+        def as_text():
             rows = given(spark, sf_dir, FILLED_FROM.get(table, "lineitem"))
-            return rows.select(
+            return rows.selectExpr(
                 *[
                     # Keys stay as wide as they are; the load must parse the text itself.
-                    (F.col(c) if f.dataType == T.IntegerType() else F.col(c).cast(f.dataType))
-                    .alias(f.name)
-                    for f, c in _filling(table, schema)
+                    f"{c} AS {f.name}"
+                    if f.dataType == T.IntegerType()
+                    else f"CAST({c} AS {f.dataType.simpleString()}) AS {f.name}"
+                    for f, c in _filling(table, registry[table])
                 ]
             )
 
-        root = staged(spark, sf_dir, f"tpcds/{table}", as_text)
+        return staged(spark, sf_dir, f"tpcds/{table}", as_text)
+
+    root = side_by_side(spark, stage, registry, 4)[0]
     return new_spec(spark, f"{root}/tpcds", registry, **settings)
 
 
@@ -439,7 +440,7 @@ def load_rejects(spark, sf_dir):
 def reconcile(spark, sf_dir):
     spec = staged_spec(spark, sf_dir, FLAT)
     load_all(spark, spec)
-    return _union([reconcile_load(spark, t, spec) for t in FLAT])
+    return reconcile_all(spark, spec)
 
 
 def reconcile_differences(spark, sf_dir):

@@ -11,14 +11,14 @@ def clean_path(path: Column | str) -> Column:
     return F.regexp_replace(path, "/$", "")
 
 
-def row_hash(columns: list[str]) -> Column:
-    """64-bit hash of a row.
+def row_hash(columns: list[str], salt: int = 0) -> Column:
+    """64-bit hash of a row; different salts give independent hashes.
 
     ``xxhash64`` skips nulls, so ``(null, 'a')`` and ``('a', null)`` hash alike.
     The null flags are hashed too, which tells such rows apart.
     """
     cols = [F.col(f"`{c}`") for c in columns]
-    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+    return F.xxhash64(F.lit(salt), *cols, *[c.isNull() for c in cols])
 
 
 def hash_parts(hashed: Column) -> list[Column]:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from lakeload.functions.columns import hash_parts, row_hash
+from lakeload.operators.catalog import literal
 
 # Rows are compared in this many groups; the driver gets one summary row for each.
 BUCKETS = 4096
@@ -55,15 +56,12 @@ def partition_profile(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, table_name: str) -> DataFrame:
     """One row for each column: position, type, rows, nulls, least and greatest value."""
     stats = [
-        F.struct(
-            F.lit(table_name).alias("table_name"),
-            F.lit(position).alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.count(F.lit(1)).alias("row_count"),
-            (F.count(F.lit(1)) - F.count(f"`{f.name}`")).alias("null_count"),
-            F.min(f"`{f.name}`").cast("string").alias("min_value"),
-            F.max(f"`{f.name}`").cast("string").alias("max_value"),
+        F.expr(
+            f"named_struct('table_name', {literal(table_name)}, 'position', {position},"
+            f" 'column_name', {literal(f.name)}, 'data_type', '{f.dataType.simpleString()}',"
+            f" 'row_count', count(1), 'null_count', count(1) - count(`{f.name}`),"
+            f" 'min_value', CAST(min(`{f.name}`) AS string),"
+            f" 'max_value', CAST(max(`{f.name}`) AS string))"
         )
         for position, f in enumerate(df.schema, 1)
     ]
@@ -78,8 +76,8 @@ def _sided(source: DataFrame, table: DataFrame) -> DataFrame:
     return source.withColumn("_side", F.lit(1)).unionAll(table.withColumn("_side", F.lit(-1)))
 
 
-def row_differences(source: DataFrame, table: DataFrame) -> DataFrame:
-    """Each row whose number of copies differs, with ``_copies``: source copies minus table copies.
+def _copies(source: DataFrame, table: DataFrame) -> DataFrame:
+    """Each distinct row with the copies each side holds.
 
     One grouping of both sides together, half the shuffles of ``exceptAll`` both ways.
     Equal rows merge before the shuffle, so a row repeated very often stays small.
@@ -88,23 +86,31 @@ def row_differences(source: DataFrame, table: DataFrame) -> DataFrame:
     return (
         _sided(source, table)
         .groupBy(*columns)
-        .agg(F.sum("_side").alias("_copies"))
-        .where("_copies <> 0")
+        .agg(
+            F.count_if(F.col("_side") > 0).alias("source_copies"),
+            F.count_if(F.col("_side") < 0).alias("table_copies"),
+        )
     )
 
 
-def _count_differences(source: DataFrame, table: DataFrame) -> tuple[int, int]:
-    """Copies the table lacks and copies it has beyond the source's."""
-    copies = F.col("_copies")
-    missing, extra = (
-        row_differences(source, table)
-        .agg(
-            F.coalesce(F.sum(F.when(copies > 0, copies)), F.lit(0)),
-            F.coalesce(F.sum(F.when(copies < 0, -copies)), F.lit(0)),
-        )
+def row_differences(source: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows that source and table hold in different numbers, with both numbers."""
+    return _copies(source, table).where("source_copies <> table_copies")
+
+
+def _compare_rows(source: DataFrame, table: DataFrame) -> Row:
+    surplus = F.col("source_copies") - F.col("table_copies")
+    totals = {
+        "source_rows": F.sum("source_copies"),
+        "table_rows": F.sum("table_copies"),
+        "missing": F.sum(F.when(surplus > 0, surplus)),
+        "extra": F.sum(F.when(surplus < 0, -surplus)),
+    }
+    return (
+        _copies(source, table)
+        .agg(*[F.coalesce(total, F.lit(0)).alias(name) for name, total in totals.items()])
         .head()
     )
-    return missing, extra
 
 
 def reconcile(
@@ -115,19 +121,32 @@ def reconcile(
     Rows are compared as multisets. First every task reduces its rows to a count and hash
     sums for each of ``BUCKETS`` groups, so only those summaries are shuffled and a load
     that went well costs one read of each side. Rows move only for the groups that differ.
-    Two different groups have equal counts and sums with a chance of about 2^-64;
-    ``exact`` compares all rows instead.
+    Two groups that differ pass for equal with a chance below 2^-100; ``exact`` leaves
+    nothing to chance and compares all rows.
     """
-    rows = _sided(source, table)
-    hashed = row_hash(source.columns)
-    parts = ["_h0", "_h1", "_h2"]
+    if exact:
+        found = _compare_rows(source, table)
+    else:
+        found = _compare_groups(source, table)
+    return source.sparkSession.range(1).select(
+        F.lit(table_name).alias("table_name"),
+        *[
+            F.lit(found[name]).cast("bigint").alias(name)
+            for name in ("source_rows", "table_rows", "missing", "extra")
+        ],
+    )
+
+
+def _compare_groups(source: DataFrame, table: DataFrame) -> dict[str, int]:
+    columns = source.columns
+    bucket = F.pmod(row_hash(columns), F.lit(BUCKETS))
+    sums = {f"_sum{i}": p for i, p in enumerate(hash_parts(F.col("_a")) + hash_parts(F.col("_b")))}
+    parts = list(sums)
     summary = (
-        rows.select("_side", hashed.alias("_hash"))
-        .select(
-            "_side",
-            F.pmod("_hash", F.lit(BUCKETS)).alias("_bucket"),
-            *[part.alias(name) for part, name in zip(hash_parts(F.col("_hash")), parts)],
-        )
+        _sided(source, table)
+        .select("_side", bucket.alias("_bucket"), row_hash(columns, 1).alias("_a"),
+                row_hash(columns, 2).alias("_b"))
+        .select("_side", "_bucket", *[part.alias(name) for name, part in sums.items()])
         .groupBy("_bucket")
         .agg(
             F.count_if(F.col("_side") > 0).alias("source_rows"),
@@ -143,16 +162,14 @@ def reconcile(
     missing = sum(r.source_rows for r in differing if not r.table_rows)
     extra = sum(r.table_rows for r in differing if not r.source_rows)
     mixed = [r._bucket for r in differing if r.source_rows and r.table_rows]
-    if exact:
-        missing, extra = _count_differences(source, table)
-    elif mixed:
-        chosen = F.pmod(hashed, F.lit(BUCKETS)).isin(mixed)
-        more_missing, more_extra = _count_differences(source.where(chosen), table.where(chosen))
-        missing, extra = missing + more_missing, extra + more_extra
-    return source.sparkSession.range(1).select(
-        F.lit(table_name).alias("table_name"),
-        F.lit(sum(r.source_rows for r in summary)).cast("bigint").alias("source_rows"),
-        F.lit(sum(r.table_rows for r in summary)).cast("bigint").alias("table_rows"),
-        F.lit(missing).cast("bigint").alias("missing"),
-        F.lit(extra).cast("bigint").alias("extra"),
-    )
+    if mixed:
+        found = _compare_rows(
+            source.where(bucket.isin(mixed)), table.where(bucket.isin(mixed))
+        )
+        missing, extra = missing + found.missing, extra + found.extra
+    return {
+        "source_rows": sum(r.source_rows for r in summary),
+        "table_rows": sum(r.table_rows for r in summary),
+        "missing": missing,
+        "extra": extra,
+    }

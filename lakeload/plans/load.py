@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -204,6 +205,15 @@ def _load(spark: SparkSession, table: str, spec: LoadSpec) -> LoadResult:
     )
 
 
+def side_by_side(spark: SparkSession, job: Callable, items: Iterable, width: int) -> list:
+    """Run a Spark job for each item from a few driver threads; results in the items' order.
+
+    Spark fills the slots one job's last tasks leave free with the next job's tasks.
+    """
+    with ThreadPoolExecutor(width) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(job), items))
+
+
 def load_all(
     spark: SparkSession, spec: LoadSpec, tables: Iterable[str] | None = None
 ) -> list[LoadResult]:
@@ -218,9 +228,9 @@ def load_all(
     sinks.require_format(spark, spec.format)
     create_namespace(spark, spec.namespace, spec.namespace_location)
     with _split_size(spark, spec.split_bytes):
-        with ThreadPoolExecutor(min(spec.parallel_tables, max(len(names), 1))) as pool:
-            load = inheritable_thread_target(spark)(lambda table: _load(spark, table, spec))
-            results = list(pool.map(load, names))
+        results = side_by_side(
+            spark, lambda table: _load(spark, table, spec), names, spec.parallel_tables
+        )
     if spec.audit_table:
         sinks.create_if_missing(spark, spec.audit_table, RESULT_COLUMNS)
         sinks.insert_rows(audit_frame(spark, results).coalesce(1), spec.audit_table)
@@ -233,7 +243,27 @@ def load_table(spark: SparkSession, table: str, spec: LoadSpec) -> LoadResult:
     return load_all(spark, spec, [table])[0]
 
 
-def reconcile_load(spark: SparkSession, table: str, spec: LoadSpec, exact: bool = False):
+def reconcile_load(
+    spark: SparkSession, table: str, spec: LoadSpec, exact: bool = False
+) -> DataFrame:
     """Compare a loaded table with its source files."""
     loaded = read_table(spark, spec.table_name(table))
     return reconcile(source_frame(spark, table, spec), loaded, table, exact)
+
+
+def reconcile_all(
+    spark: SparkSession,
+    spec: LoadSpec,
+    tables: Iterable[str] | None = None,
+    exact: bool = False,
+) -> DataFrame:
+    """``reconcile_load`` for the named tables, or all of the registry's, as one frame."""
+    names = list(spec.registry if tables is None else tables)
+    with _split_size(spark, spec.split_bytes):
+        frames = side_by_side(
+            spark,
+            lambda table: reconcile_load(spark, table, spec, exact),
+            names,
+            spec.parallel_tables,
+        )
+    return reduce(DataFrame.unionAll, frames)

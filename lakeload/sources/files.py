@@ -13,9 +13,10 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Every file under ``root``: its key below the root, the key's first segment, size, time.
 
-    ``prefix`` is null for a file that lies directly in the root. Each file is a scan
-    split of its own, so splits are grouped to keep the task count in line with the
-    cluster rather than with the number of files.
+    ``prefix`` is null for a file that lies directly in the root. Spark leaves out files
+    without content and names that start with ``_`` or ``.``. Each file is a scan split of
+    its own, so splits are grouped to keep the task count in line with the cluster rather
+    than with the number of files.
     """
     base = re.sub(_SCHEME, "", root).rstrip("/") + "/"
     below = F.regexp_replace("path", _SCHEME, "")
