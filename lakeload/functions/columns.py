@@ -33,3 +33,13 @@ def hash_parts(hashed: Column) -> list[Column]:
         F.shiftrightunsigned(hashed, 21).bitwiseAND(piece),
         hashed.bitwiseAND(piece),
     ]
+
+
+def digest_sums(columns: list[str], where: Column | None = None) -> list[Column]:
+    """Aggregates that, with the row count, tell two sets of rows apart.
+
+    Sums over two independent hashes: they do not depend on the order of rows, merge
+    across tasks, and count repeated rows as often as they occur.
+    """
+    parts = [part for salt in (1, 2) for part in hash_parts(row_hash(columns, salt))]
+    return [F.sum(part if where is None else F.when(where, part)) for part in parts]

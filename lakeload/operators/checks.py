@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.columns import hash_parts, row_hash
+from lakeload.functions.columns import digest_sums, hash_parts, row_hash
 from lakeload.operators.catalog import literal
 
 # Rows are compared in this many groups; the driver gets one summary row for each.
@@ -41,6 +41,17 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> None:
         raise NullsFound(", ".join(f"{r.column_name}: {r.null_count}" for r in found))
 
 
+def table_digest(df: DataFrame) -> tuple[int, str]:
+    """Row count and digest of a frame, comparable with what a load observed."""
+    sums = digest_sums(df.columns)
+    row = df.agg(F.count(F.lit(1)), *sums).head()
+    return row[0], digest_text(row[1:])
+
+
+def digest_text(sums: Sequence[int | None]) -> str:
+    return ":".join(str(s or 0) for s in sums)
+
+
 def partition_count(scan: DataFrame) -> int:
     """Number of input splits. For scans: over a shuffle this would run the stages before it."""
     return scan.rdd.getNumPartitions()
@@ -124,16 +135,36 @@ def reconcile(
     Two groups that differ pass for equal with a chance below 2^-100; ``exact`` leaves
     nothing to chance and compares all rows.
     """
-    if exact:
-        found = _compare_rows(source, table)
-    else:
-        found = _compare_groups(source, table)
-    return source.sparkSession.range(1).select(
+    find = _compare_rows if exact else _compare_groups
+    found = find(source, table)
+    return comparison(
+        source.sparkSession,
+        table_name,
+        found["source_rows"],
+        found["table_rows"],
+        found["missing"],
+        found["extra"],
+    )
+
+
+def comparison(
+    spark: SparkSession,
+    table_name: str,
+    source_rows: int,
+    table_rows: int,
+    missing: int,
+    extra: int,
+) -> DataFrame:
+    """The one-row result of a reconciliation."""
+    counts = {
+        "source_rows": source_rows,
+        "table_rows": table_rows,
+        "missing": missing,
+        "extra": extra,
+    }
+    return spark.range(1).select(
         F.lit(table_name).alias("table_name"),
-        *[
-            F.lit(found[name]).cast("bigint").alias(name)
-            for name in ("source_rows", "table_rows", "missing", "extra")
-        ],
+        *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()],
     )
 
 
@@ -144,8 +175,12 @@ def _compare_groups(source: DataFrame, table: DataFrame) -> dict[str, int]:
     parts = list(sums)
     summary = (
         _sided(source, table)
-        .select("_side", bucket.alias("_bucket"), row_hash(columns, 1).alias("_a"),
-                row_hash(columns, 2).alias("_b"))
+        .select(
+            "_side",
+            bucket.alias("_bucket"),
+            row_hash(columns, 1).alias("_a"),
+            row_hash(columns, 2).alias("_b"),
+        )
         .select("_side", "_bucket", *[part.alias(name) for name, part in sums.items()])
         .groupBy("_bucket")
         .agg(

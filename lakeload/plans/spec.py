@@ -33,6 +33,9 @@ class LoadSpec:
         fit go to ``{table}__rejects`` as raw text. ``fail``: such lines fail the table.
     nulls
         ``report`` nulls in columns declared non-null in the audit, or ``fail`` the table.
+    digest
+        Also observe a digest of the rows as they are written, so that a later
+        reconciliation can read the table alone and leave the source text unread.
     split_bytes
         Input bytes for each task, hence each output file. Unset leaves it to Spark, which
         cuts finer as the cluster grows; large loads want 512 MB or so, to avoid many
@@ -50,6 +53,7 @@ class LoadSpec:
     if_exists: str = "fail"
     malformed: str = "null"
     nulls: str = "report"
+    digest: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
     layout: Layout = field(default_factory=Layout)
     registry: Registry = field(default_factory=tpcds)

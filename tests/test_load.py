@@ -211,6 +211,24 @@ def test_reconcile_load(spark, spec):
     assert tuple(found) == ("reason", 2, 3, 0, 1)
 
 
+@pytest.mark.parametrize("malformed", ["null", "reject"])
+def test_digest_leaves_the_source_unread_unless_the_table_changed(spark, spec, lines, malformed):
+    lines("inventory", INVENTORY + INVENTORY[:1] + ["1|2|x|4|"])
+    spec = replace(spec, digest=True, malformed=malformed)
+    results = load_all(spark, spec)
+    kept = 5 if malformed == "null" else 4
+
+    def reconciled():
+        return sorted(map(tuple, reconcile_all(spark, spec, results=results).collect()))
+
+    same = ("reason", 2, 2, 0, 0)
+    assert reconciled() == [("inventory", kept, kept, 0, 0), same]
+    lines("inventory", ["5|5|5|5|"])  # not looked at while the table is as written
+    assert reconciled() == [("inventory", kept, kept, 0, 0), same]
+    spark.sql(f"INSERT INTO {spec.table_name('inventory')} VALUES (5, 5, 5, 5)")
+    assert reconciled() == [("inventory", 1, kept + 1, 0, kept), same]
+
+
 def test_the_load_plan_has_no_shuffle(spark, spec):
     for malformed in ("null", "reject"):
         rows, _, _ = loads._observed(spark, "inventory", replace(spec, malformed=malformed))
