@@ -6,8 +6,10 @@ import argparse
 from dataclasses import replace
 
 from lakeload.plans.load import LoadFailed, load_all
+from lakeload.plans.schemas import tpcds
 from lakeload.plans.spec import LoadSpec
 from lakeload.session import build_session
+from lakeload.sources.delimited import Layout
 
 
 def parser() -> argparse.ArgumentParser:
@@ -23,6 +25,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--if-exists", default="fail", choices=["fail", "skip", "replace"])
     p.add_argument("--malformed", default="null", choices=["null", "reject", "fail"])
     p.add_argument("--nulls", default="report", choices=["report", "fail"])
+    p.add_argument("--digest", action="store_true", help="observe a digest of the rows")
+    p.add_argument("--encoding", default="UTF-8", help="of the text, such as ISO-8859-1")
+    p.add_argument("--no-trailing-separator", action="store_true")
+    p.add_argument(
+        "--type",
+        action="append",
+        default=[],
+        metavar="TABLE.COLUMN=TYPE",
+        help="load a column as another type; repeatable",
+    )
     p.add_argument("--split-mb", type=int, default=512)
     p.add_argument("--parallel-tables", type=int, default=4)
     p.add_argument("--audit-table", help="default: load_audit in the namespace")
@@ -32,6 +44,18 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def type_overrides(words: list[str]) -> dict[str, dict[str, str]]:
+    """``['t.c=bigint']`` as ``{'t': {'c': 'bigint'}}``."""
+    overrides: dict[str, dict[str, str]] = {}
+    for word in words:
+        name, _, type_text = word.partition("=")
+        table, _, column = name.partition(".")
+        if not (table and column and type_text):
+            raise ValueError(f"expected TABLE.COLUMN=TYPE, not {word!r}")
+        overrides.setdefault(table, {})[column] = type_text
+    return overrides
+
+
 def spec_from(args: argparse.Namespace) -> LoadSpec:
     external = {"mode": "external", "table_root": args.table_root} if args.table_root else {}
     spec = LoadSpec.for_variant(
@@ -44,6 +68,11 @@ def spec_from(args: argparse.Namespace) -> LoadSpec:
         if_exists=args.if_exists,
         malformed=args.malformed,
         nulls=args.nulls,
+        digest=args.digest,
+        layout=Layout(
+            trailing_separator=not args.no_trailing_separator, encoding=args.encoding
+        ),
+        registry=tpcds().override(type_overrides(args.type)),
         split_bytes=args.split_mb * 1024 * 1024,
         parallel_tables=args.parallel_tables,
         **external,

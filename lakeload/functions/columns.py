@@ -14,11 +14,14 @@ def clean_path(path: Column | str) -> Column:
 def row_hash(columns: list[str], salt: int = 0) -> Column:
     """64-bit hash of a row; different salts give independent hashes.
 
-    ``xxhash64`` skips nulls, so ``(null, 'a')`` and ``('a', null)`` hash alike.
-    The null flags are hashed too, which tells such rows apart.
+    ``xxhash64`` skips nulls, so ``(null, 'a')`` and ``('a', null)`` hash alike. One bit
+    for each null column is hashed too, which tells such rows apart.
     """
-    cols = [F.col(f"`{c}`") for c in columns]
-    return F.xxhash64(F.lit(salt), *cols, *[c.isNull() for c in cols])
+    masks = []
+    for start in range(0, len(columns), 62):
+        bits = enumerate(columns[start : start + 62])
+        masks.append(F.expr(" | ".join(f"if(isnull(`{c}`), {1 << i}L, 0L)" for i, c in bits)))
+    return F.xxhash64(F.lit(salt), *masks, *[F.col(f"`{c}`") for c in columns])
 
 
 def hash_parts(hashed: Column) -> list[Column]:

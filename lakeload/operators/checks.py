@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from lakeload.functions.columns import digest_sums, hash_parts, row_hash
 from lakeload.operators.catalog import literal
 
-# Rows are compared in this many groups; the driver gets one summary row for each.
-BUCKETS = 4096
+# Rows are compared in this many groups. Each task shuffles at most one summary row for
+# each group, so more groups cost more where the sides agree; fewer groups cost more where
+# they do not, as all rows of a differing group are shuffled.
+BUCKETS = 1024
 
 
 class NullsFound(RuntimeError):

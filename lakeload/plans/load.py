@@ -15,6 +15,7 @@ from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from functools import reduce
+from operator import add
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -111,29 +112,29 @@ def _observed(spark: SparkSession, table: str, spec: LoadSpec):
     """The rows to write, the observation filled as they are written, and the input splits."""
     path, schema = spec.source_path(table), spec.registry[table]
     observation = Observation(f"{table}-{uuid.uuid4().hex}")
-    lenient = spec.malformed == "null"
-    if lenient:
+    if spec.malformed == "null":
         rows = delimited.scan(spark, path, schema, spec.layout)
-        kept = F.lit(True)
+        kept = None
+        metrics = {"rows": F.count(F.lit(1))}
     else:
         rows = delimited.parse(spark, path, schema, spec.layout)
         kept = ~F.col(delimited.MALFORMED)
-    nulls = [F.count_if(kept & F.col(f"`{c}`").isNull()) for c in declared_not_null(schema)]
-    digests = digest_sums(schema.names, kept) if spec.digest else []
-    observed = rows.observe(
-        observation,
-        F.count_if(kept).alias("rows"),
-        F.count_if(~kept).alias("rejected"),
-        sum(nulls, F.lit(0).cast("bigint")).alias("nulls"),
-        *[d.alias(f"digest{i}") for i, d in enumerate(digests)],
-    )
-    return observed if lenient else delimited.well_formed(observed), observation, rows
+        metrics = {"rows": F.count_if(kept), "rejected": F.count_if(~kept)}
+    nulls = [F.col(f"`{c}`").isNull() for c in declared_not_null(schema)]
+    if kept is not None:
+        nulls = [kept & is_null for is_null in nulls]
+    if nulls:
+        metrics["nulls"] = reduce(add, map(F.count_if, nulls))
+    if spec.digest:
+        metrics |= {f"digest{i}": d for i, d in enumerate(digest_sums(schema.names, kept))}
+    observed = rows.observe(observation, *[m.alias(name) for name, m in metrics.items()])
+    return observed if kept is None else delimited.well_formed(observed), observation, rows
 
 
 def _check(spec: LoadSpec, counts: dict) -> None:
     if spec.malformed == "fail" and counts["rejected"]:
         raise BadRows(f"{counts['rejected']} lines do not fit the schema")
-    if spec.nulls == "fail" and counts["nulls"]:
+    if spec.nulls == "fail" and counts.get("nulls"):
         raise BadRows(f"{counts['nulls']} nulls in columns declared non-null")
 
 
@@ -210,8 +211,8 @@ def _load(spark: SparkSession, table: str, spec: LoadSpec) -> LoadResult:
         return result(status="failed", error=f"{type(error).__name__}: {error}"[:2000])
     return result(
         row_count=counts["rows"],
-        rejected=counts["rejected"],
-        null_violations=counts["nulls"],
+        rejected=counts.get("rejected", 0),
+        null_violations=counts.get("nulls", 0),
         partitions=counts["partitions"],
         digest=digest_text([v for k, v in counts.items() if k.startswith("digest")])
         if spec.digest

@@ -84,6 +84,7 @@ def session_conf(
     metastore_uri: str | None = None,
     warehouse: str | None = None,
     packages: str | None = None,
+    default_fs: str | None = None,
     event_log_dir: str | None = None,
     cloud_committer: bool = False,
     extra: Mapping[str, str] | None = None,
@@ -110,6 +111,8 @@ def session_conf(
         conf["spark.sql.catalog.spark_catalog"] = "org.apache.spark.sql.delta.catalog.DeltaCatalog"
     if packages:
         conf["spark.jars.packages"] = packages
+    if default_fs:
+        conf["spark.hadoop.fs.defaultFS"] = default_fs
     if event_log_dir:
         conf["spark.eventLog.enabled"] = "true"
         conf["spark.eventLog.dir"] = event_log_dir

@@ -53,6 +53,14 @@ def test_swapped_nulls_hash_apart(spark):
         assert df.select(row_hash(["x", "y"], salt)).distinct().count() == 3
 
 
+def test_nulls_in_wide_rows_hash_apart(spark):
+    columns = [f"c{i}" for i in range(130)]
+    df = spark.range(130).select(
+        *[F.when(F.col("id") != i, F.lit(1)).alias(c) for i, c in enumerate(columns)]
+    )
+    assert df.select(row_hash(columns)).distinct().count() == 130
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "k int, v string")
 

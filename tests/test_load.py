@@ -167,6 +167,17 @@ def test_32_bit_keys_need_an_override(spark, spec, lines):
     assert rows(spark, spec) == [(1, 3000000000, 1, 1)]
 
 
+@pytest.mark.parametrize("malformed", ["null", "reject"])
+@pytest.mark.parametrize("content", [[], [""]])
+def test_an_empty_source_gives_an_empty_table(spark, spec, lines, malformed, content):
+    lines("inventory", content)
+    spec = replace(spec, malformed=malformed, digest=True)
+    result = load_table(spark, "inventory", spec)
+    assert (result.status, result.row_count, result.rejected) == ("ok", 0, 0)
+    assert rows(spark, spec) == []
+    assert reconcile_load(spark, "inventory", spec, result=result).head().table_rows == 0
+
+
 def test_decimals_dates_and_encoding(spark, spec, lines):
     line = "1|AAAA|2001-10-27||café|3.15|2.10||||||||||||||||"
     lines("item", f"{line}\n".encode("latin-1"))

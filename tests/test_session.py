@@ -59,12 +59,14 @@ def test_hive_profile_event_log_committer_and_overrides():
         env={},
         metastore_uri="thrift://m:9083",
         warehouse="/wh",
+        default_fs="s3a://bucket/",
         event_log_dir="/logs",
         cloud_committer=True,
         extra={"spark.network.timeout": "600s", "spark.executor.memory": "62G"},
     )
     assert conf["spark.hadoop.hive.metastore.uris"] == "thrift://m:9083"
     assert conf["spark.sql.warehouse.dir"] == "/wh"
+    assert conf["spark.hadoop.fs.defaultFS"] == "s3a://bucket/"
     assert conf["spark.eventLog.enabled"] == "true"
     assert cloud_commit_conf().items() <= conf.items()
     assert conf["spark.network.timeout"] == "600s"

@@ -83,6 +83,16 @@ def test_command_line():
     assert spec.split_bytes == 512 * 1024 * 1024
 
 
+def test_command_line_types_and_layout():
+    words = "--system s1 --scale 3000 --table-format files --encoding ISO-8859-1"
+    words += " --no-trailing-separator --type store_sales.ss_ticket_number=bigint"
+    spec = spec_from(parser().parse_args(words.split()))
+    assert spec.registry["store_sales"]["ss_ticket_number"].dataType.simpleString() == "bigint"
+    assert spec.layout == Layout(trailing_separator=False, encoding="ISO-8859-1")
+    with pytest.raises(ValueError):
+        spec_from(parser().parse_args((words + " --type ss_ticket_number=bigint").split()))
+
+
 def test_command_line_needs_a_root_for_delta():
     with pytest.raises(ValueError):
         spec_from(parser().parse_args("--system s1 --scale 3000 --table-format delta".split()))
