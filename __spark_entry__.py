@@ -480,6 +480,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "temp_view": temp_view,
         "ctas_parquet": ctas("lineitem", "parquet"),
         "ctas_orc": ctas("orders", "orc"),
+        "ctas_documents": ctas("documents", "orc"),
         "ctas_options": ctas("customer", "parquet", {"compression": "zstd"}),
         "ctas_location": ctas_location,
         "write_overwrite": write_overwrite,
@@ -562,6 +563,7 @@ def oracle_sql() -> dict[str, str]:
         "temp_view": "SELECT * FROM part",
         "ctas_parquet": "SELECT * FROM lineitem",
         "ctas_orc": "SELECT * FROM orders",
+        "ctas_documents": "SELECT * FROM documents",
         "ctas_options": "SELECT * FROM customer",
         "ctas_location": "SELECT * FROM supplier",
         "write_overwrite": "SELECT * FROM part",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import time
 from dataclasses import replace
 
 from lakeload.plans.load import LoadFailed, load_all
@@ -88,10 +89,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(
         profile, name, metastore_uri=args.metastore_uri, warehouse=args.warehouse
     )
+    start = time.monotonic()
     try:
         results = load_all(spark, spec, args.table)
     except LoadFailed as failure:
         results = failure.results
     for r in results:
         print(f"{r.table_name}\t{r.status}\t{r.row_count}\t{r.seconds}s\t{r.error or ''}")
+    print(f"total\t{time.monotonic() - start:.2f}s")
     return int(any(r.status == "failed" for r in results))

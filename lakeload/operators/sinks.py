@@ -10,6 +10,7 @@ import posixpath
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.operators.catalog import literal, quoted, temp_view
@@ -72,6 +73,11 @@ def create_as_select(
         df.sparkSession.sql(create_table_sql(name, fmt, view, options, location, replace))
 
 
+def location_taken(error: PySparkException) -> bool:
+    """Whether a create failed because files lie where the table would go."""
+    return error.getCondition() == "LOCATION_ALREADY_EXISTS"
+
+
 def write_path(
     df: DataFrame,
     path: str,

@@ -18,6 +18,7 @@ from functools import reduce
 from operator import add
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,26 +146,30 @@ def _write(spark: SparkSession, table: str, spec: LoadSpec, exists: bool) -> dic
     partitions = partition_count(scan)
     one_commit = spec.format in sinks.TABLE_FORMATS
 
-    if spec.mode == "external":
-        if exists and not one_commit:
-            path = sinks.version_path(spec.table_root, table)
-        else:
-            path = f"{spec.table_root.rstrip('/')}/{table}"
+    def write_version(root: str) -> None:
+        path = sinks.version_path(root, table)
         sinks.write_path(rows, path, spec.format, spec.options)
         _check(spec, observation.get)
-        if exists and one_commit:
-            spark.catalog.refreshTable(quoted(name))
-        elif exists:
-            sinks.point_table_at(spark, name, path, spec.format)
-        else:
+        sinks.point_table_at(spark, name, path, spec.format)
+
+    if spec.mode == "external" and exists and not one_commit:
+        write_version(spec.table_root)
+    elif spec.mode == "external":
+        path = f"{spec.table_root.rstrip('/')}/{table}"
+        sinks.write_path(rows, path, spec.format, spec.options, refresh=name)
+        _check(spec, observation.get)
+        if not exists:
             sinks.register_external(spark, name, path, spec.format)
     elif exists and not one_commit:
-        path = sinks.version_path(namespace_location(spark, spec.namespace), table)
-        sinks.write_path(rows, path, spec.format, spec.options)
-        _check(spec, observation.get)
-        sinks.point_table_at(spark, name, path, spec.format)
+        write_version(namespace_location(spark, spec.namespace))
     else:
-        sinks.create_as_select(rows, name, spec.format, spec.options, replace=exists)
+        try:
+            sinks.create_as_select(rows, name, spec.format, spec.options, replace=exists)
+        except PySparkException as error:
+            if one_commit or not sinks.location_taken(error):
+                raise
+            # An interrupted load left files there. They are not ours to remove.
+            write_version(namespace_location(spark, spec.namespace))
         try:
             _check(spec, observation.get)
         except BadRows:

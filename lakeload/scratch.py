@@ -8,20 +8,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_local: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``.
 
-    Executors on other machines must see it, so a temporary local folder is only
-    used where the setting is unset and the master is local, as in tests.
+    Executors on other machines must see it, so a temporary local folder is only used
+    where the setting is unset and the master is local, as in tests.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="lakeload-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="lakeload-")
+    return _local[context.applicationId]
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

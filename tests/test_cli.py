@@ -25,7 +25,9 @@ def run(spark, tmp_path, monkeypatch):
 def test_a_load_reports_each_table(spark, run, capsys):
     code, namespace = run("--table", "reason")
     assert code == 0
-    assert "reason\tok\t2" in capsys.readouterr().out
+    out = capsys.readouterr().out
+    assert "reason\tok\t2" in out
+    assert out.splitlines()[-1].startswith("total\t")
     assert read_table(spark, f"{namespace}.reason").count() == 2
     assert read_table(spark, f"{namespace}.load_audit").head().status == "ok"
 

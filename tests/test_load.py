@@ -86,6 +86,17 @@ class TestIfExists:
         assert rows(spark, spec) == LOADED
 
 
+@pytest.mark.parametrize("mode", ["managed", "external"])
+def test_leftovers_of_an_interrupted_load_do_not_stop_the_next(spark, spec, tmp_path, mode):
+    for root in ("namespace", "tables"):
+        left = tmp_path / root / "inventory" / "_temporary" / "0"
+        left.mkdir(parents=True)
+        (left / "part-0").write_text("half a file")
+    result = load_table(spark, "inventory", replace(spec, mode=mode, malformed="fail"))
+    assert (result.status, result.row_count) == ("ok", 3)
+    assert rows(spark, spec) == LOADED
+
+
 def test_load_all_in_registry_order(spark, spec):
     results = load_all(spark, spec)
     assert [(r.table_name, r.row_count) for r in results] == [("inventory", 3), ("reason", 2)]
