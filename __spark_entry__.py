@@ -234,57 +234,74 @@ def load_audit(spark, sf_dir):
 
 # --- the 25 registered schemas, over rows derived from the given tables --------------
 
-# For each given table, the columns that can fill a registered column of each kind.
+# For each given table, the values that can fill a registered column of each kind, as
+# expressions that mean the same in both SQL dialects. Amounts are cut to two digits
+# before the point where they would not fit the narrower columns.
 KINDS = {
     "lineitem": {
         "int": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
-        "decimal": ["l_quantity", "l_discount", "l_tax"],
-        "date": ["l_shipdate"],
+        "decimal": [
+            "CAST(l_quantity AS decimal(15,2))",
+            "CAST(l_extendedprice AS decimal(15,2)) % 100",
+            "CAST(l_discount AS decimal(15,2))",
+            "CAST(l_tax AS decimal(15,2))",
+        ],
+        "date": ["CAST(l_shipdate AS date)"],
         "string": ["l_returnflag", "l_linestatus"],
     },
     "orders": {
         "int": ["o_orderkey", "o_custkey"],
-        "date": ["o_orderdate"],
+        "decimal": ["CAST(o_totalprice AS decimal(15,2)) % 100"],
+        "date": ["CAST(o_orderdate AS date)"],
         "string": ["o_orderstatus", "o_orderpriority"],
     },
     "customer": {
         "int": ["c_custkey", "c_nationkey"],
-        "decimal": ["c_acctbal"],
+        "decimal": ["CAST(c_acctbal AS decimal(15,2)) % 100"],
         "string": ["c_name", "c_mktsegment"],
     },
     "part": {
         "int": ["p_partkey", "p_size"],
-        "decimal": ["p_retailprice"],
+        "decimal": ["CAST(p_retailprice AS decimal(15,2))"],
         "string": ["p_name", "p_brand", "p_type"],
     },
-    "supplier": {"int": ["s_suppkey", "s_nationkey"], "string": ["s_name"]},
+    "supplier": {
+        "int": ["s_suppkey", "s_nationkey"],
+        "decimal": ["CAST(s_acctbal AS decimal(15,2)) % 100"],
+        "string": ["s_name"],
+    },
 }
 
-# The given table each registered table's rows come from; lineitem where not listed.
+# The given table each registered table's rows come from; orders where not listed.
 FILLED_FROM = {
-    "dbgen_version": "orders",
-    "customer_demographics": "customer",
-    "date_dim": "orders",
-    "ship_mode": "supplier",
-    "time_dim": "orders",
-    "reason": "supplier",
-    "income_band": "customer",
+    "store_sales": "lineitem",
+    "catalog_sales": "lineitem",
+    "web_sales": "lineitem",
     "customer": "customer",
-    "web_page": "orders",
+    "customer_address": "customer",
+    "customer_demographics": "customer",
     "household_demographics": "customer",
+    "income_band": "customer",
     "promotion": "part",
     "catalog_page": "part",
     "inventory": "part",
+    "warehouse": "supplier",
+    "ship_mode": "supplier",
+    "reason": "supplier",
 }
 
 
+def filled_from(table: str) -> str:
+    return FILLED_FROM.get(table, "orders")
+
+
 def _filling(table: str, schema: T.StructType) -> list[tuple[T.StructField, str]]:
-    """Each registered column with the given column that fills it."""
-    kinds = KINDS[FILLED_FROM.get(table, "lineitem")]
+    """Each registered column with the expression that fills it."""
+    kinds = KINDS[filled_from(table)]
     filling = []
     for position, field in enumerate(schema):
-        columns = kinds[field.dataType.simpleString().partition("(")[0]]
-        filling.append((field, columns[position % len(columns)]))
+        values = kinds[field.dataType.simpleString().partition("(")[0]]
+        filling.append((field, values[position % len(values)]))
     return filling
 
 
@@ -293,15 +310,10 @@ def tpcds_spec(spark, sf_dir, **settings) -> LoadSpec:
 
     def stage(table: str) -> str:
         def as_text():
-            rows = given(spark, sf_dir, FILLED_FROM.get(table, "lineitem"))
+            rows = given(spark, sf_dir, filled_from(table))
+            # Keys are written as wide as they are; whether they fit is for the load to find.
             return rows.selectExpr(
-                *[
-                    # Keys stay as wide as they are; the load must parse the text itself.
-                    f"{c} AS {f.name}"
-                    if f.dataType == T.IntegerType()
-                    else f"CAST({c} AS {f.dataType.simpleString()}) AS {f.name}"
-                    for f, c in _filling(table, registry[table])
-                ]
+                *[f"{value} AS {field.name}" for field, value in _filling(table, registry[table])]
             )
 
         return staged(spark, sf_dir, f"tpcds/{table}", as_text)
@@ -316,14 +328,16 @@ def load_tpcds(spark, sf_dir):
 
 
 def schema_registry(spark, sf_dir):
+    """Every registered column as loaded: its type, rows, nulls and range."""
     spec = tpcds_spec(spark, sf_dir)
     load_all(spark, spec)
-    return _union(
-        [
-            checks.column_profile(catalog.read_table(spark, spec.table_name(table)), table)
-            for table in spec.registry
-        ]
-    )
+
+    def profile(table: str) -> DataFrame:
+        return checks.column_profile(catalog.read_table(spark, spec.table_name(table)), table)
+
+    # One row for each declared column, whatever the size of the tables.
+    rows = side_by_side(spark, lambda table: profile(table).collect(), spec.registry, 8)
+    return spark.createDataFrame([r for found in rows for r in found], profile("item").schema)
 
 
 # --- checks -------------------------------------------------------------------------
@@ -518,7 +532,7 @@ def _each(tables: Iterable[str], columns: str) -> str:
 def _tpcds_counts() -> str:
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS rejected,"
-        f" 'ok' AS status FROM {FILLED_FROM.get(t, 'lineitem')}"
+        f" 'ok' AS status FROM {filled_from(t)}"
         for t in tpcds()
     )
 
@@ -526,11 +540,11 @@ def _tpcds_counts() -> str:
 def _tpcds_profile() -> str:
     selects = []
     for table, schema in tpcds().items():
-        given_table = FILLED_FROM.get(table, "lineitem")
-        for position, (field, column) in enumerate(_filling(table, schema), 1):
+        given_table = filled_from(table)
+        for position, (field, filled) in enumerate(_filling(table, schema), 1):
             type_text = field.dataType.simpleString()
             sql_type = "VARCHAR" if type_text == "string" else type_text.upper()
-            value = f"TRY_CAST({column} AS {sql_type})"
+            value = f"TRY_CAST({filled} AS {sql_type})"
             selects.append(
                 f"SELECT '{table}' AS table_name, {position} AS position,"
                 f" '{field.name}' AS column_name, '{type_text}' AS data_type,"

@@ -230,8 +230,12 @@ def side_by_side(spark: SparkSession, job: Callable, items: Iterable, width: int
 
     Spark fills the slots one job's last tasks leave free with the next job's tasks.
     """
+    # Each item gets a copy of this thread's local properties. Spark keeps its execution ids
+    # there, so jobs with one copy between them would run under each other's ids.
+    jobs = [(inheritable_thread_target(spark)(job), item) for item in items]
     with ThreadPoolExecutor(width) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(job), items))
+        futures = [pool.submit(run, item) for run, item in jobs]
+        return [future.result() for future in futures]
 
 
 def load_all(

@@ -1,4 +1,5 @@
 import glob
+import threading
 from collections import Counter
 from dataclasses import replace
 from decimal import Decimal
@@ -251,6 +252,18 @@ def test_digest_leaves_the_source_unread_unless_the_table_changed(spark, spec, l
     assert reconciled() == [("inventory", 1, kept + 1, 0, kept), same]
 
 
+def test_jobs_side_by_side_keep_their_own_properties(spark):
+    together = threading.Barrier(3, timeout=60)
+
+    def job(item):
+        spark.sparkContext.setLocalProperty("lakeload.test", item)
+        together.wait()
+        return spark.sparkContext.getLocalProperty("lakeload.test")
+
+    assert loads.side_by_side(spark, job, ["a", "b", "c"], 3) == ["a", "b", "c"]
+    assert spark.sparkContext.getLocalProperty("lakeload.test") is None
+
+
 def test_the_load_plan_has_no_shuffle(spark, spec):
     for malformed in ("null", "reject"):
         rows, _, _ = loads._observed(spark, "inventory", replace(spec, malformed=malformed))
