@@ -39,7 +39,7 @@ class LoadSpec:
     split_bytes
         Input bytes for each task, hence each output file. Unset leaves it to Spark, which
         cuts finer as the cluster grows; large loads want 512 MB or so, to avoid many
-        small files.
+        small files. Sets two settings of the session while the load runs.
     parallel_tables
         Tables loaded side by side, so that small ones fill the tail of large ones.
     """
