@@ -1,0 +1,42 @@
+import zlib
+
+from lakeload.llm import quality
+
+
+def test_held_out_accuracy(given):
+    labels = {r.doc_id: r.quality for r in given("labels").collect()}
+    scored = quality.classify(given("documents"), given("labels")).collect()
+    assert len(scored) == given("documents").count()
+    for r in scored:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+    held = [(r.predicted, labels[r.doc_id]) for r in scored if r.held_out and r.doc_id in labels]
+    assert sum(p == q for p, q in held) >= 0.85 * len(held)
+
+
+def test_held_out_labels_do_not_teach(given, spark):
+    docs, labels = given("documents"), given("labels")
+    changed = labels.withColumn(
+        "quality", quality.F.when(quality.remainder(5) == 0, 1 - labels.quality).otherwise(labels.quality)
+    )
+    first = {(r.doc_id, round(r.score, 9)) for r in quality.classify(docs, labels).collect()}
+    assert first == {(r.doc_id, round(r.score, 9)) for r in quality.classify(docs, changed).collect()}
+
+
+def test_awkward_rows(awkward, given, nothing, spark):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 0, 0), (None, 1, 0), (9, None, 0)], given("labels").schema)
+    scored = quality.classify(awkward, labels).collect()
+    assert len(scored) == awkward.count() and all(0 <= r.score <= 1 for r in scored)
+    assert quality.classify(nothing, labels).collect() == []
+    none = quality.classify(awkward, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5}
+    assert quality.accepted(awkward, labels).columns == awkward.columns
+
+
+def test_junk_is_rejected_and_clean_text_kept(given):
+    labels = {r.doc_id: r.quality for r in given("labels").collect()}
+    kept = {r.doc_id for r in quality.accepted(given("documents"), given("labels")).select("doc_id").collect()}
+    clean = [i for i, q in labels.items() if q == 1]
+    junk = [i for i, q in labels.items() if q == 0]
+    assert sum(i in kept for i in clean) >= 0.97 * len(clean)
+    assert sum(i in kept for i in junk) <= 0.2 * len(junk)

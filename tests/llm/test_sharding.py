@@ -1,0 +1,50 @@
+import zlib
+from collections import Counter, defaultdict
+
+from lakeload.llm import sharding
+
+
+def check(frame, result, shards=8):
+    got = result.collect()
+    want = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in frame.select("doc_id", "text").collect())
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == want
+    slots = defaultdict(list)
+    for r in got:
+        assert r.law == "rows" and r.grown_shard is None
+        slots[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    counts = [len(slots.get(s, [])) for s in range(shards)]
+    assert set(slots) <= set(range(shards)) and max(counts) - min(counts) <= 1
+    return got
+
+
+def test_given_documents_keep_copies_together(given):
+    docs = given("documents")
+    got = check(docs, sharding.shard(docs))
+    groups = defaultdict(set)
+    for r in got:
+        groups[(r.text_crc32, r["size"])].add(r.shard)
+    sizes = Counter((r.text_crc32, r["size"]) for r in got)
+    linked = [g for g, n in sizes.items() if n > 1]
+    assert linked and sum(len(groups[g]) == 1 for g in linked) >= 0.9 * len(linked)
+
+
+def test_same_again_and_however_partitioned(given):
+    docs = given("documents")
+    place = lambda f: sorted((r.doc_id, r.shard) for r in f.collect())
+    assert place(sharding.shard(docs)) == place(sharding.shard(docs.repartition(7, "lang")))
+
+
+def test_a_group_larger_than_shards_is_spread_over_few(make):
+    docs = make([(i, "same text") for i in range(400)] + [(1000 + i, f"text {i}") for i in range(400)])
+    got = check(docs, sharding.shard(docs))
+    holds = Counter(r.shard for r in got if r.doc_id < 1000)
+    assert len([s for s, n in holds.items() if n >= 50]) >= 3
+
+
+def test_awkward_rows(awkward, nothing, make):
+    check(awkward, sharding.shard(awkward))
+    assert sharding.shard(nothing).collect() == []
+    check(make([(1, "a")]), sharding.shard(make([(1, "a")])))
+    same = make([(1, "a")] * 21)
+    check(same, sharding.shard(same))

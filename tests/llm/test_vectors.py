@@ -1,0 +1,123 @@
+import math
+
+import numpy as np
+import pytest
+
+from lakeload.llm import near_vectors, top_products
+
+SCHEMA = "vec_id long, embedding array<float>, label int, unit string, block string, score string"
+
+
+@pytest.fixture(scope="module")
+def vectors(spark, given):
+    rng = np.random.default_rng(3)
+    rows = []
+    centre = rng.standard_normal(16)
+    for i in range(300):
+        v = centre + 0.15 * rng.standard_normal(16) if i % 3 == 0 else rng.standard_normal(16)
+        rows.append((i, [float(x) for x in v * (1 + i % 5)], i % 2))
+    rows += [(400 + i, rows[6][1], 0) for i in range(40)]  # copies
+    rows += [(500, None, 0), (501, [0.0] * 16, 0), (502, [math.nan] * 16, 0), (503, [None, 1.0], 0), (504, [math.inf] * 16, 1)]
+    rows += [(505, rows[6][1], None), (None, rows[6][1], 0), (506, [1.0, 2.0], 0), (507, [1.0, 2.1], 0), (508, [], 0)]
+    rows += [(600, rows[6][1], 0), (600, rows[6][1], 0), (700, rows[6][1], 1)]
+    return spark.createDataFrame([(*r, "x", "x", "x") for r in rows], SCHEMA)
+
+
+def brute_links(rows, least=0.93):
+    ok = [
+        r.vec_id is not None and r.label is not None and r.embedding
+        and all(x is not None and math.isfinite(x) for x in r.embedding) and any(r.embedding)
+        for r in rows
+    ]
+    n_links, near = [0] * len(rows), {i: set() for i in range(len(rows))}
+    unit = [np.array(r.embedding) / np.linalg.norm(r.embedding) if good else None for r, good in zip(rows, ok)]
+    for i in range(len(rows)):
+        for j in range(i):
+            if ok[i] and ok[j] and rows[i].label == rows[j].label and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= least:
+                n_links[i] += 1
+                n_links[j] += 1
+                near[i].add(j)
+                near[j].add(i)
+    out = []
+    for i, r in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in near[todo.pop()] - seen:
+                seen.add(j)
+                todo.append(j)
+        ids = [rows[j].vec_id for j in seen if rows[j].vec_id is not None]
+        out.append((r.vec_id, n_links[i], min(ids) if ids else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("bucket_rows", [2048, 16])
+def test_links_against_all_pairs(vectors, monkeypatch, bucket_rows):
+    monkeypatch.setattr(near_vectors, "BUCKET_ROWS", bucket_rows)
+    got = near_vectors.link(vectors).collect()
+    assert sorted([(r.vec_id, r.n_links, r.component_id) for r in got], key=str) == brute_links(vectors.collect())
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
+def test_recall_on_the_given_vectors(given):
+    rows = given("embeddings").collect()
+    want = brute_links(rows)
+    got = sorted([(r.vec_id, r.n_links, r.component_id) for r in near_vectors.link(given("embeddings")).collect()], key=str)
+    total = sum(w[1] for w in want)
+    assert sum(g[1] for g in got) >= 0.99 * total and all(g[1] <= w[1] for g, w in zip(got, want))
+
+
+def test_more_rows_need_more_tables():
+    bits, tables = near_vectors.tables_for(10_000, 0.93)
+    assert near_vectors.tables_for(10**9, 0.93) > (bits, tables)
+    meet = (1 - math.acos(0.93) / math.pi) ** bits
+    assert (1 - meet) ** tables <= near_vectors.MISSED
+
+
+def brute_top(rows, queries, k=10):
+    ints = []
+    for r in rows:
+        ok = r.vec_id is not None and r.embedding and all(x is not None and math.isfinite(x) for x in r.embedding)
+        ints.append([math.floor(1024 * x) for x in r.embedding] if ok else None)
+    out, done = [], set()
+    for r, q in zip(rows, ints):
+        if q is None or not queries(r.vec_id) or (r.vec_id, tuple(q)) in done:
+            continue
+        done.add((r.vec_id, tuple(q)))
+        scores = [
+            (-sum(a * b for a, b in zip(q, x)), c.vec_id)
+            for c, x in zip(rows, ints) if x is not None and len(x) == len(q) and c.vec_id != r.vec_id
+        ]
+        out += [(r.vec_id, n, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block_rows", [8192, 50])
+def test_search_against_all_pairs(vectors, monkeypatch, block_rows):
+    monkeypatch.setattr(top_products, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(top_products, "QUERY_ROWS", 8)
+    monkeypatch.setattr(top_products, "STRIP_ROWS", 20)
+    got = top_products.search(vectors, vectors.where("vec_id % 5 = 0"))
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(vectors.collect(), lambda i: i % 5 == 0)
+
+
+def test_search_of_the_given_vectors(given):
+    rows = given("embeddings")
+    got = top_products.search(rows, rows.where("vec_id % 100 = 0"))
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows.collect(), lambda i: i % 100 == 0)
+
+
+def test_few_and_no_rows(spark, vectors):
+    one = vectors.where("vec_id = 0")
+    assert top_products.search(one, one).collect() == []
+    none = vectors.where("vec_id < 0")
+    assert top_products.search(none, none).collect() == []
+    assert near_vectors.link(none).collect() == []
+    two = vectors.where("vec_id IN (0, 3)")
+    assert [r["rank"] for r in top_products.search(two, two).collect()] == [1, 1]
+
+
+def test_products_beyond_doubles_are_exact(spark):
+    rows = [(0, [3e12, 1.0], 0), (1, [3e12, 1.0], 0), (2, [3e12, 1.001], 0), (3, [1e30, -1e30], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = top_products.search(frame, frame.where("vec_id = 0")).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])][0] in (1, 2, 3) and len(got) == 3
