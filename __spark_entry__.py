@@ -6,6 +6,7 @@ the scratch folder, once for each session, and read from there.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable, Iterable
@@ -24,6 +25,13 @@ from lakeload.plans.schemas import Registry, data_type, declared_not_null, tpcds
 from lakeload.plans.spec import LoadSpec
 from lakeload.sources import delimited, files
 
+# The operators for training data are a part of their own, which may be left out.
+_part = importlib.util.find_spec("lakeload.llm")
+llm = None
+if _part and _part.origin and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from lakeload.llm import queries as llm
+
 STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 FLAT = (*STAR, "events", "labels")  # tables without arrays or line breaks in their text
 
@@ -484,6 +492,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm is None:
+        return loader_queries()
+    return {**loader_queries(), **llm.queries(), "pipeline": corpus_pipeline.run}
+
+
+def loader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_delimited": scan_delimited,
         "scan_typed": scan_typed,
@@ -556,6 +570,13 @@ def _tpcds_profile() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return loader_sql()
+    pipeline = corpus_pipeline.ORACLE_SQL
+    return {**loader_sql(), **llm.oracle_sql(), **({"pipeline": pipeline} if pipeline else {})}
+
+
+def loader_sql() -> dict[str, str]:
     urgent = "o_orderpriority = '1-URGENT'"
     same = (
         "count(*) AS source_rows, count(*) AS table_rows, CAST(0 AS BIGINT) AS missing,"

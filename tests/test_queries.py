@@ -7,7 +7,7 @@ import oracle
 import pytest
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = driver.queries()
+QUERIES = driver.loader_queries()
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def con():
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     frame = QUERIES[name](spark, SF_DIR)
-    sql = driver.oracle_sql().get(name)
+    sql = driver.loader_sql().get(name)
     if sql is None:
         assert frame.count() > 0
     else:
@@ -26,7 +26,8 @@ def test_query(spark, con, name):
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(driver.oracle_sql()) <= set(QUERIES)
+    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(driver.loader_sql()) <= set(QUERIES)
 
 
 def test_file_inventory_against_the_disk(spark):
