@@ -6,6 +6,9 @@ import os
 import shutil
 import tempfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,16 +22,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 500_000
 
 
-_GAPS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
-_LOWER = str.maketrans({c: c + 32 for c in range(ord("A"), ord("Z") + 1)})
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, A-Z in lower case, the number of each word, and each text's bounds.
 
-
-def lower_words(text: str | None) -> list[str]:
-    """The words of a text, A-Z in lower case and other letters as they are."""
-    if not text:
-        return []
-    low = text.lower() if text.isascii() else text.translate(_LOWER)
-    return [w for w in low.translate(_GAPS).split(" ") if w]
+    Words are what stands between ASCII white space. The words of text i are the numbers
+    from ``bounds[i]`` to ``bounds[i + 1]``. Nulls have none.
+    """
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    split = pc.ascii_split_whitespace(trimmed)
+    words = pc.greater(pc.binary_length(trimmed), 0).to_numpy(zero_copy_only=False)
+    counts = np.where(words, pc.list_value_length(split).to_numpy(zero_copy_only=False), 0)
+    flat = split.flatten()
+    if not words.all():  # an empty text splits into one empty word
+        flat = flat.filter(pc.greater(pc.binary_length(flat), 0))
+    coded = flat.dictionary_encode()
+    bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), bounds
 
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}

@@ -23,13 +23,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import lower_words, saved
+from .common import saved, split_words
 
 STATES = 6
 ROUNDS = 2  # of Baum-Welch
@@ -38,6 +39,7 @@ STARTS = 3  # rounds that move the centres of the starting clusters
 BLOCK_CHARS = 32_000_000
 GROUP_TOKENS = 1_000_000  # that are run side by side
 LETTERS = 32
+SLICE_ROWS = 2000  # texts whose words are split side by side
 START_POINTS = 400  # documents that starting centres are chosen from
 
 
@@ -58,9 +60,9 @@ def _blocks(batches):
     """Documents as numbers: one row for each block."""
     held = Block()
     part, number = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        for doc_id, text, out in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            held.add(doc_id, text, out)
+    for whole in batches:
+        for start in range(0, len(whole), SLICE_ROWS):
+            held.add(whole.slice(start, SLICE_ROWS))
             if held.chars >= BLOCK_CHARS:
                 yield held.row(part * 1024 + number)
                 held, number = Block(), number + 1
@@ -70,29 +72,29 @@ def _blocks(batches):
 
 class Block:
     def __init__(self):
-        self.ids, self.out, self.tokens, self.profiles = [], [], [], []
+        self.ids, self.out, self.tokens, self.profiles, self.lengths = [], [], [], [], []
         self.words: dict[str, int] = {}
         self.chars = 0
 
-    def add(self, doc_id, text, out) -> None:
-        words = lower_words(text)
+    def add(self, batch: pa.RecordBatch) -> None:
+        texts = batch.column(1)
+        words, numbers, bounds = split_words(texts)
         own = self.words
-        for w in dict.fromkeys(words):
-            own.setdefault(w, len(own))
-        self.tokens.append(np.fromiter(map(own.__getitem__, words), np.uint32, len(words)))
-        self.ids.append(doc_id)
-        self.out.append(out)
-        self.profiles.append(_profile(text))
-        self.chars += len(text or "") + 1
+        places = np.array([own.setdefault(w, len(own)) for w in words.to_pylist()], np.uint32)
+        self.tokens.append(places[numbers])
+        self.lengths += np.diff(bounds).tolist()
+        self.ids += batch.column(0).to_pylist()
+        self.out += batch.column(2).to_pylist()
+        self.profiles += [_profile(t) for t in texts.to_pylist()]
+        self.chars += int(bounds[-1]) + (pc.sum(pc.binary_length(texts)).as_py() or 0)
 
     def row(self, number: int) -> pa.RecordBatch:
-        lengths = [len(t) for t in self.tokens]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([self.ids], pa.list_(pa.int64())),
                 pa.array([self.out], pa.list_(pa.bool_())),
-                pa.array([lengths], pa.list_(pa.int32())),
+                pa.array([self.lengths], pa.list_(pa.int32())),
                 pa.array([np.concatenate(self.tokens).tobytes()], pa.binary()),
                 pa.array([np.stack(self.profiles).tobytes()], pa.binary()),
                 pa.array([list(self.words)], pa.list_(pa.string())),
