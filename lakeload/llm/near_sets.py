@@ -5,9 +5,9 @@ reach the similarity share a shingle of their prefixes. Documents with the same
 size are one group, and only groups are listed under the shingles of their prefixes. Lists
 with more than one member give candidates:
 
-1. Two rounds link every member to one other member of its lists, the least of a size class,
-   if their sets reach the similarity. Large groups of near copies become components by that,
-   without listing their pairs.
+1. In some rounds every member is compared to one other member of its lists, of the largest
+   component there, and linked if their sets reach the similarity. Large groups of near
+   copies become components by that, without listing their pairs.
 2. Then pairs of members of different components are listed, all of them. Those whose
    prefixes share enough are expanded to their sets and verified.
 
@@ -28,44 +28,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, components, join_groups, lower_words, maybe_broadcast, saved, unused
+from .common import WORD, components, join_groups, maybe_broadcast, saved, split_words, unused
 
 LEAST_COUNT = 8  # keys seen less often are ordered by their hash alone
 MOST_KEYS = 1 << 20  # frequent keys that tasks get, 8 bytes each
 KEY_RANGES = 1024  # ranges of keys, each counted by itself
 FLUSH_SHINGLES = 4_000_000  # that a task gathers before it counts them
 LIST_ROWS = 50_000  # of one shingle that a task looks through
-ROUNDS = 2
+ROUNDS = 6  # at most, of linking members to one other
+SLICE_ROWS = 2000  # texts whose words are split side by side
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
-class Shingler:
-    """Distinct hashes of runs of ``width`` words of a text."""
-
-    def __init__(self, width: int):
-        self.width = width
-        self.known: dict[str, int] = {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        """Sorted, unsigned 64-bit. Shorter texts make one shingle of all their words."""
-        words = lower_words(text)
-        if not words:
-            return np.empty(0, np.uint64)
-        known = self.known
-        if len(known) > 500_000:
-            known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        count = max(1, len(words) - self.width + 1)
-        total = np.full(count, min(len(words), self.width), np.uint64)
-        for k in range(min(self.width, len(words))):
-            total = (total ^ hashes[k : k + count]) * _MIX[0]
-            total = (total ^ (total >> np.uint64(29))) * _MIX[1]
-            total ^= total >> np.uint64(32)
-        return np.unique(total * _MIX[2])
+def _slices(batch: pa.RecordBatch):
+    for start in range(0, len(batch), SLICE_ROWS):
+        yield batch.slice(start, SLICE_ROWS)
+
+
+def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``width`` words, text after text, and each text's bounds.
+
+    Unsigned 64-bit, repeats included. A text of fewer words makes one run of all of them.
+    """
+    words, numbers, bounds = split_words(texts)
+    known = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
+    hashes = np.concatenate([known[numbers], np.zeros(width, np.uint64)])
+    lengths = np.diff(bounds)
+    counts = np.where(lengths > 0, np.maximum(lengths - width + 1, 1), 0)
+    ends = np.cumsum(counts)
+    first = np.arange(ends[-1] if len(ends) else 0) + np.repeat(bounds[:-1] - (ends - counts), counts)
+    total = np.repeat(np.minimum(lengths, width), counts).astype(np.uint64)
+    sizes = np.repeat(lengths, counts)
+    for k in range(width):
+        mixed = (total ^ hashes[first + k]) * _MIX[0]
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[1]
+        mixed ^= mixed >> np.uint64(32)
+        total = mixed if k == 0 else np.where(sizes > k, mixed, total)
+    return total * _MIX[2], np.concatenate([[0], ends]).astype(np.int64)
+
+
+def sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """The distinct shingles of each text, sorted."""
+    total, bounds = shingles(texts, width)
+    return [np.unique(total[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def _count_keys(width: int):
@@ -82,11 +88,12 @@ def _count_keys(width: int):
                 yield number, zlib.compress(planes, 1), zlib.compress(n.astype(np.uint32).tobytes(), 1)
 
     def run(batches):
-        shingler, parts, held = Shingler(width), [], 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                parts.append((shingler(text) >> np.uint64(32)).astype(np.uint32))
-                held += len(parts[-1])
+        parts, held = [], 0
+        for whole in batches:
+            for batch in _slices(whole):
+                total, _ = shingles(batch.column(0), width)
+                parts.append((total >> np.uint64(32)).astype(np.uint32))
+                held += len(total)
                 if held >= FLUSH_SHINGLES:
                     yield _batch(pack(parts))
                     parts, held = [], 0
@@ -152,61 +159,74 @@ def frequent_keys(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 def _describe(width: int, percent: int, keys: np.ndarray, df: np.ndarray):
     """For each row: size of its set, digest, and prefix with the lists' numbers of parts."""
 
+    def order(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shingles in the global order, with the counts of the frequent ones."""
+        if not len(keys):
+            return np.arange(len(found)), np.zeros(len(found), np.int64)
+        short = (found >> np.uint64(32)).astype(np.uint32)
+        place = np.minimum(np.searchsorted(keys, short), len(keys) - 1)
+        seen = np.where(keys[place] == short, df[place], 0)
+        often = np.flatnonzero(seen)
+        often = often[np.argsort(seen[often], kind="stable")]
+        return np.concatenate([np.flatnonzero(seen == 0), often]), seen
+
     def run(batches):
-        shingler = Shingler(width)
-        for batch in batches:
-            ids = batch.column(0)
-            sizes, digests, groups, prefixes, parts = [], [], [], [], []
-            for text in batch.column(1).to_pylist():
-                found = shingler(text)
-                sizes.append(len(found))
-                digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-                length = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
-                short = (found >> np.uint64(32)).astype(np.uint32)
-                place = np.minimum(np.searchsorted(keys, short), max(len(keys) - 1, 0))
-                seen = np.where(keys[place] == short, df[place], 0) if len(keys) else np.zeros(len(found), np.int64)
-                first = np.lexsort((found, seen))[:length]
-                prefix = found[first].view(np.int64)
-                groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little")))
-                prefixes.append(prefix)
-                parts.append((seen[first] // LIST_ROWS + 1).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array(sizes, pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    pa.array(groups, pa.binary()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                    pa.array(parts, pa.list_(pa.int32())),
-                ],
-                ["doc_id", "n", "digest", "group", "prefix", "parts"],
-            )
+        for whole in batches:
+            for batch in _slices(whole):
+                ids = batch.column(0)
+                sizes, digests, groups, prefixes, parts = [], [], [], [], []
+                for found in sets(batch.column(1), width):
+                    sizes.append(len(found))
+                    digests.append(xxhash.xxh3_128_digest(found.tobytes()))
+                    length = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
+                    first, seen = order(found)
+                    prefix = found[first[:length]].view(np.int64)
+                    groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little")))
+                    prefixes.append(prefix)
+                    parts.append((seen[first[:length]] // LIST_ROWS + 1).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        ids,
+                        pa.array(sizes, pa.int64()),
+                        pa.array(digests, pa.binary()),
+                        pa.array(groups, pa.binary()),
+                        pa.array(prefixes, pa.list_(pa.int64())),
+                        pa.array(parts, pa.list_(pa.int32())),
+                    ],
+                    ["doc_id", "n", "digest", "group", "prefix", "parts"],
+                )
 
     return run
 
 
 def _sets(width: int):
     def run(batches):
-        shingler = Shingler(width)
-        for batch in batches:
-            found = [shingler(t).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"]
-            )
+        for whole in batches:
+            for batch in _slices(whole):
+                found = [s.view(np.int64) for s in sets(batch.column(1), width)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"]
+                )
 
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, units: DataFrame, width: int, percent: int) -> DataFrame:
+def _stored_sets(docs: DataFrame, lists: DataFrame, width: int) -> DataFrame:
+    """(doc_id, shingles, n) of the units that share a list with another."""
+    needed = saved(lists.select(F.col("unit").alias("doc_id")).distinct(), "set-ids")
+    texts = docs.select("doc_id", "text").join(maybe_broadcast(needed), "doc_id")
+    found = texts.mapInArrow(_sets(width), "doc_id long, shingles array<long>")
+    return saved(found.select("doc_id", "shingles", F.size("shingles").alias("n")), "sets")
+
+
+def _verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) of units, those whose whole sets reach the similarity."""
     pairs = saved(pairs.select("a", "b").distinct(), "set-pairs")
     if not pairs.row_count:
         return pairs
     needed = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "set-ids")
-    texts = docs.select("doc_id", "text").join(maybe_broadcast(needed), "doc_id")
-    sets = texts.mapInArrow(_sets(width), "doc_id long, shingles array<long>")
-    # An id may occur with several texts; only the unit's own one counts.
-    sets = saved(sets.select("doc_id", "shingles", F.size("shingles").alias("n")), "sets")
+    # An id may occur with several texts; it links by each of them.
+    sets = stored.join(maybe_broadcast(needed), "doc_id")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"), F.col("n").alias("n_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"), F.col("n").alias("n_b"))
     common = F.size(F.array_intersect("left", "right"))
@@ -256,49 +276,41 @@ def near_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     members = units.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
     groups = linkable.select("group", "n", "prefix", "parts").dropDuplicates(["group"]).join(members, "group")
     listed = groups.select(
-        "group", "n", "members", F.explode(F.arrays_zip("prefix", "parts")).alias("entry")
+        "group", "n", "members", F.posexplode(F.arrays_zip("prefix", "parts")).alias("at", "entry")
     ).select(
         F.col("entry.prefix").alias("shingle"),
         F.pmod(F.xxhash64("group"), F.col("entry.parts")).cast("int").alias("part"),
         (F.col("entry.parts") > 1).alias("split"),
-        "group", "n", "members",
+        "at", "group", "n", "members",
     )
     # A list split into parts is long; the others are kept if they hold two members.
     in_list = Window.partitionBy("shingle", "part")
     shared = listed.withColumn("in_list", F.sum("members").over(in_list)).where("split OR in_list > 1")
-    shared = saved(shared.select("shingle", "part", "group"), "lists")
-    expanded = shared.join(units.select("group", "unit", "n"), "group").select("shingle", "part", "unit", "n")
-    lists = saved(expanded, "members")
+    shared = saved(shared.select("shingle", "part", "at", "group", "in_list"), "lists")
+    # A unit that shares most is the likeliest to be what others are copies of.
+    degrees = shared.groupBy("group").agg(F.sum("in_list").alias("degree"))
+    expanded = shared.join(units.join(degrees, "group").select("group", "unit", "n", "degree"), "group")
+    lists = saved(expanded.select("shingle", "part", "at", "unit", "n", "degree"), "members")
 
     # Ids with several texts are vertices of several units.
     several = linkable.select("doc_id", "digest").distinct().join(units.select("digest", "unit"), "digest")
     several = several.groupBy("doc_id").agg(F.min("unit").alias("a"), F.max("unit").alias("b"))
     edges = saved(several.where("a <> b").select("a", "b"), "edges")
 
+    stored = _stored_sets(docs, lists, width)
     parts = components(edges)
     for number in range(ROUNDS):
-        labelled = _labelled(lists, parts).withColumn("class", _size_class(number / ROUNDS, percent))
-        heads = labelled.groupBy("shingle", "part", "class").agg(
-            F.min(F.struct("component", "unit", "n")).alias("low"),
-            F.max(F.struct("component", "unit", "n")).alias("high"),
-        )
-        heads = heads.where("low.component <> high.component")
-        other = F.when(F.col("component") == F.col("low.component"), F.col("high")).otherwise(F.col("low"))
-        if number == 0:  # all are apart yet: the least member of a class is the head of all
-            other = F.when(F.col("component") == F.col("low.component"), None).otherwise(F.col("low"))
-        partners = labelled.join(heads, ["shingle", "part", "class"]).select(
-            F.col("unit").alias("a"), F.col("n").alias("n_a"), other["unit"].alias("b"), other["n"].alias("n_b")
-        )
-        counted = partners.where("b IS NOT NULL").groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("met"))
-        best = counted.where(_enough("met", percent)).groupBy("a").agg(
-            F.max_by("b", F.struct("met", -F.col("b"))).alias("b")
-        )
-        edges = edges.unionByName(saved(_verified(best, docs, units, width, percent), "edges"))
-        parts = components(edges)
+        best = _partners(_labelled(lists, parts), number, percent)
+        new = saved(_verified(best, stored, percent), "edges")
+        edges = edges.unionByName(new)
+        if new.row_count:
+            parts = components(edges)
+        elif number > 2:
+            break
 
     labelled = saved(_labelled(lists, parts), "labelled")
     pairs = saved(_pairs_across(labelled, percent), "across")
-    edges = edges.unionByName(_verified(pairs, docs, units, width, percent))
+    edges = edges.unionByName(_verified(pairs, stored, percent))
     parts = components(saved(edges, "edges"))
 
     found = units.join(parts, F.col("unit") == F.col("id"), "left").select(
@@ -311,6 +323,30 @@ def near_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     return result.withColumnRenamed("n", "n_shingles")
 
 
+def _partners(labelled: DataFrame, number: int, percent: int) -> DataFrame:
+    """For each member another one (b) to verify, of the largest component in its lists.
+
+    The first rounds take the member that shares most, later ones others of that component;
+    rounds alternate between two divisions of sizes into classes.
+    """
+    own = labelled.withColumn("class", _size_class(number % 2 / 2, percent))
+    cell = ["shingle", "part", "class"]
+    draw = -F.col("degree") if number < 2 else F.xxhash64("unit", F.lit(number))
+    any_one = F.struct(draw.alias("draw"), "unit", "n")
+    heads = own.groupBy(*cell, "component").agg(F.count(F.lit(1)).alias("members"), F.min(any_one).alias("one"))
+    heads = heads.groupBy(*cell).agg(
+        F.max(F.struct("members", (-F.col("one.draw")).alias("by"), "component", "one")).alias("top"), F.count(F.lit(1)).alias("components")
+    )
+    partners = own.join(heads.where("components > 1"), cell).where("component <> top.component")
+    met = partners.groupBy(
+        F.col("unit").alias("a"), F.col("n").alias("n_a"),
+        F.col("top.one.unit").alias("b"), F.col("top.one.n").alias("n_b"),
+    ).agg(F.count(F.lit(1)).alias("met"))
+    return met.where(_enough("met", percent)).groupBy("a").agg(
+        F.max_by("b", F.struct("met", -F.col("b"))).alias("b")
+    )
+
+
 def _labelled(lists: DataFrame, parts: DataFrame) -> DataFrame:
     """Members of lists with the component they are in so far."""
     known = parts.select(F.col("id").alias("unit"), "component")
@@ -319,33 +355,53 @@ def _labelled(lists: DataFrame, parts: DataFrame) -> DataFrame:
     )
 
 
+def _least_overlap(n_a, n_b, percent: int):
+    """The shared shingles that two sets of these sizes need."""
+    return F.ceil((n_a + n_b) * percent / (100 + percent))
+
+
+def _needed(n_a, n_b, percent: int):
+    """How many shingles must be shared among the first n - overlap + needed of either set.
+
+    One would do; some more rule out most pairs early. Prefixes hold that many.
+    """
+    overlap = _least_overlap(n_a, n_b, percent)
+    held = lambda n: n - F.ceil(n * percent / 100) + 1 - n + overlap
+    return F.least(F.greatest(F.floor(overlap / 50), F.lit(1)), held(n_a), held(n_b))
+
+
 def _pairs_across(labelled: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of members of one list, of different components, that may be similar.
 
-    Lists are first paired by component, so members of one component never meet.
+    Lists are first paired by component, so members of one component never meet. A pair
+    meets only in lists of the first shingles of both, as many as its sizes ask for.
     """
     heads = labelled.groupBy("shingle", "component").agg(
-        F.min("n").alias("least"), F.max("n").alias("most")
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at")
     )
     several = Window.partitionBy("shingle")
     heads = heads.withColumn("components", F.count(F.lit(1)).over(several)).where("components > 1")
     heads = saved(heads, "heads")
-    one = heads.select("shingle", F.col("component").alias("c"), F.col("least").alias("l"), F.col("most").alias("m"))
-    two = heads.select("shingle", F.col("component").alias("d"), F.col("least").alias("k"), F.col("most").alias("o"))
+    c = heads.select("shingle", *[F.col(x).alias(y) for x, y in (("component", "c"), ("least", "l"), ("most", "m"), ("at", "i"))])
+    d = heads.select("shingle", *[F.col(x).alias(y) for x, y in (("component", "d"), ("least", "k"), ("most", "o"), ("at", "j"))])
+    spare = F.floor(_least_overlap(F.col("m"), F.col("o"), percent) / 50) + 1
+    overlap = _least_overlap(F.col("l"), F.col("k"), percent)
     fits = (F.col("m") * 100 >= F.col("k") * percent) & (F.col("o") * 100 >= F.col("l") * percent)
-    meet = one.join(two, "shingle").where((F.col("c") < F.col("d")) & fits)
-    left = labelled.select("shingle", F.col("component").alias("c"), F.col("unit").alias("u"), F.col("n").alias("n_u"))
-    right = labelled.select("shingle", F.col("component").alias("d"), F.col("unit").alias("v"), F.col("n").alias("n_v"))
-    met = meet.join(left, ["shingle", "c"]).join(right, ["shingle", "d"])
-    met = met.where((F.col("n_u") * 100 >= F.col("n_v") * percent) & (F.col("n_v") * 100 >= F.col("n_u") * percent))
-    turned = F.col("u") < F.col("v")
-    ordered = met.select(
-        F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"),
-        F.when(turned, F.col("n_u")).otherwise(F.col("n_v")).alias("n_a"),
-        F.when(turned, F.col("n_v")).otherwise(F.col("n_u")).alias("n_b"),
+    early = (F.col("i") < F.col("m") - overlap + spare) & (F.col("j") < F.col("o") - overlap + spare)
+    on = (c["shingle"] == d["shingle"]) & (F.col("c") < F.col("d")) & fits & early
+    meet = c.join(d, on).select(c["shingle"], "c", "d")
+    side = lambda x, u, n, i: labelled.select(
+        "shingle", F.col("component").alias(x), F.col("unit").alias(u), F.col("n").alias(n), F.col("at").alias(i)
+    )
+    met = meet.join(side("c", "a", "n_a", "i"), ["shingle", "c"]).join(side("d", "b", "n_b", "j"), ["shingle", "d"])
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    reach = _needed(n_a, n_b, percent) - _least_overlap(n_a, n_b, percent)
+    met = met.where(
+        (n_a * 100 >= n_b * percent) & (n_b * 100 >= n_a * percent)
+        & (F.col("i") < n_a + reach) & (F.col("j") < n_b + reach)
     )
-    counted = ordered.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
-    return counted.where(_enough("shared", percent)).select("a", "b")
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.where(F.col("shared") >= _needed(n_a, n_b, percent)).select("a", "b")
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
