@@ -196,6 +196,46 @@ def load_external(spark, sf_dir):
     return loaded("part", mode="external", table_root=root)(spark, sf_dir)
 
 
+def load_external_two(spark, sf_dir):
+    """Two namespaces with one table root: neither load touches the other's files."""
+    root = scratch.new_dir(spark, "external")
+    rows = given(spark, sf_dir, "orders")
+    back = []
+    for kind, kept in (("all", rows), ("urgent", rows.where("o_orderpriority = '1-URGENT'"))):
+        at = staged(spark, sf_dir, f"{kind}_two/orders", lambda kept=kept: kept)
+        registry = Registry({"orders": rows.schema})
+        spec = new_spec(spark, f"{at}/{kind}_two", registry, mode="external", table_root=root)
+        load_table(spark, "orders", spec)
+        back.append((kind, spec.table_name("orders")))
+    return _union([catalog.read_table(spark, name).withColumn("loaded", F.lit(kind)) for kind, name in back])
+
+
+def load_layout(spark, sf_dir):
+    """Lines that end with ``;`` below a header, read strictly."""
+    rows = given(spark, sf_dir, "orders")
+    layout = delimited.Layout(options={"lineSep": ";", "header": "true"})
+    root = f"{scratch.new_dir(spark, 'layout')}"
+    delimited.write_delimited(rows, f"{root}/orders.dat", layout)
+    spec = new_spec(spark, root, Registry({"orders": rows.schema}), layout=layout, malformed="reject")
+    load_table(spark, "orders", spec)
+    return catalog.read_table(spark, spec.table_name("orders"))
+
+
+def reconcile_exact(spark, sf_dir):
+    """One table against itself, all rows compared, and against one with rows changed."""
+    rows = given(spark, sf_dir, "customer")
+    changed = rows.withColumn(
+        "c_mktsegment",
+        F.when(F.col("c_mktsegment") == "BUILDING", "HOUSES").otherwise(F.col("c_mktsegment")),
+    )
+    return _union(
+        [
+            checks.reconcile(rows, rows, "same", exact=True),
+            checks.reconcile(rows, changed, "changed", exact=True),
+        ]
+    )
+
+
 def load_replace(spark, sf_dir):
     """Load, load again in place of the first, then leave it alone."""
     spec = staged_spec(spark, sf_dir, ["orders"])
@@ -243,14 +283,14 @@ def load_audit(spark, sf_dir):
 # --- the 25 registered schemas, over rows derived from the given tables --------------
 
 # For each given table, the values that can fill a registered column of each kind, as
-# expressions that mean the same in both SQL dialects. Amounts are cut to two digits
-# before the point where they would not fit the narrower columns.
+# expressions that mean the same in both SQL dialects. Amounts that do not fit a narrower
+# column load as null, as keys do.
 KINDS = {
     "lineitem": {
         "int": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
         "decimal": [
             "CAST(l_quantity AS decimal(15,2))",
-            "CAST(l_extendedprice AS decimal(15,2)) % 100",
+            "CAST(l_extendedprice AS decimal(15,2))",
             "CAST(l_discount AS decimal(15,2))",
             "CAST(l_tax AS decimal(15,2))",
         ],
@@ -259,13 +299,13 @@ KINDS = {
     },
     "orders": {
         "int": ["o_orderkey", "o_custkey"],
-        "decimal": ["CAST(o_totalprice AS decimal(15,2)) % 100"],
+        "decimal": ["CAST(o_totalprice AS decimal(15,2))"],
         "date": ["CAST(o_orderdate AS date)"],
         "string": ["o_orderstatus", "o_orderpriority"],
     },
     "customer": {
         "int": ["c_custkey", "c_nationkey"],
-        "decimal": ["CAST(c_acctbal AS decimal(15,2)) % 100"],
+        "decimal": ["CAST(c_acctbal AS decimal(15,2))"],
         "string": ["c_name", "c_mktsegment"],
     },
     "part": {
@@ -275,7 +315,7 @@ KINDS = {
     },
     "supplier": {
         "int": ["s_suppkey", "s_nationkey"],
-        "decimal": ["CAST(s_acctbal AS decimal(15,2)) % 100"],
+        "decimal": ["CAST(s_acctbal AS decimal(15,2))"],
         "string": ["s_name"],
     },
 }
@@ -361,8 +401,9 @@ def partition_profile(spark, sf_dir):
 def _inventory_root(spark, sf_dir) -> str:
     root = scratch.new_dir(spark, "inventory")
     tables = ("customer", "orders", "lineitem")
-    load_all(spark, staged_spec(spark, sf_dir, tables, mode="external", table_root=root))
-    return root
+    spec = staged_spec(spark, sf_dir, tables, mode="external", table_root=root)
+    load_all(spark, spec)
+    return spec.external_root()
 
 
 def file_inventory(spark, sf_dir):
@@ -519,6 +560,9 @@ def loader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_ctas_lineitem": loaded("lineitem", format="orc"),
         "load_strict": loaded("events", malformed="fail"),
         "load_external": load_external,
+        "load_external_two": load_external_two,
+        "load_layout": load_layout,
+        "reconcile_exact": reconcile_exact,
         "load_replace": load_replace,
         "load_all": load_all_tables,
         "load_tpcds": load_tpcds,
@@ -614,6 +658,15 @@ def loader_sql() -> dict[str, str]:
         "load_ctas_lineitem": "SELECT * FROM lineitem",
         "load_strict": "SELECT * FROM events",
         "load_external": "SELECT * FROM part",
+        "load_external_two": (
+            "SELECT *, 'all' AS loaded FROM orders UNION ALL"
+            f" SELECT *, 'urgent' FROM orders WHERE {urgent}"
+        ),
+        "load_layout": "SELECT * FROM orders",
+        "reconcile_exact": (
+            f"SELECT 'same' AS table_name, {same} FROM customer UNION ALL SELECT 'changed',"
+            f" count(*), count(*), {building}, {building} FROM customer"
+        ),
         "load_replace": "SELECT * FROM orders",
         "load_all": _each(FLAT, "count(*) AS row_count"),
         "load_tpcds": _tpcds_counts(),

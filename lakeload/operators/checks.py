@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeload.functions.columns import digest_sums, hash_parts, row_hash
 from lakeload.operators.catalog import literal
@@ -13,6 +14,7 @@ from lakeload.operators.catalog import literal
 # Rows are compared in this many groups. Each task shuffles at most one summary row for
 # each group, so more groups cost more where the sides agree; fewer groups cost more where
 # they do not, as all rows of a differing group are shuffled.
+NESTED = (T.ArrayType, T.MapType, T.StructType)
 BUCKETS = 1024
 
 
@@ -135,8 +137,10 @@ def reconcile(
     sums for each of ``BUCKETS`` groups, so only those summaries are shuffled and a load
     that went well costs one read of each side. Rows move only for the groups that differ.
     Two groups that differ pass for equal with a chance below 2^-100; ``exact`` leaves
-    nothing to chance and compares all rows.
+    nothing to chance and compares all rows. Hashes skip nulls inside arrays, maps and
+    structs, so tables with such columns are always compared exactly.
     """
+    exact = exact or any(isinstance(f.dataType, NESTED) for f in source.schema)
     find = _compare_rows if exact else _compare_groups
     found = find(source, table)
     return comparison(
@@ -164,7 +168,7 @@ def comparison(
         "missing": missing,
         "extra": extra,
     }
-    return spark.range(1).select(
+    return spark.range(0, 1, 1, 1).select(
         F.lit(table_name).alias("table_name"),
         *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()],
     )

@@ -7,6 +7,7 @@ counts once for each partition, however often a lost executor makes it run again
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -81,6 +82,9 @@ def audit_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
     return spark.createDataFrame([tuple(asdict(r).values()) for r in results], RESULT_COLUMNS)
 
 
+_splitting = threading.Lock()
+
+
 @contextmanager
 def _split_size(spark: SparkSession, split_bytes: int | None) -> Iterator[None]:
     """Cut scans into splits of this size, whatever the number of cores."""
@@ -91,14 +95,16 @@ def _split_size(spark: SparkSession, split_bytes: int | None) -> Iterator[None]:
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.files.minPartitionNum": "1",
     }
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    # One load at a time, so that each puts back what was set before it.
+    with _splitting:
+        before = {key: spark.conf.get(key, None) for key in wanted}
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def source_frame(spark: SparkSession, table: str, spec: LoadSpec) -> DataFrame:
@@ -146,17 +152,26 @@ def _write(spark: SparkSession, table: str, spec: LoadSpec, exists: bool) -> dic
     partitions = partition_count(scan)
     one_commit = spec.format in sinks.TABLE_FORMATS
 
-    def write_version(root: str) -> None:
-        path = sinks.version_path(root, table)
-        sinks.write_path(rows, path, spec.format, spec.options)
-        _check(spec, observation.get)
-        sinks.point_table_at(spark, name, path, spec.format)
+    def write_version(root: str, path: str | None = None) -> None:
+        path = path or sinks.version_path(root, table)
+        # Files that no entry names are not ours to overwrite.
+        sinks.write_path(rows, path, spec.format, spec.options, mode="error")
+        try:
+            _check(spec, observation.get)
+            sinks.point_table_at(spark, name, path, spec.format, spec.options)
+        except Exception:
+            sinks.remove_path(spark, path)
+            raise
 
-    if spec.mode == "external" and exists and not one_commit:
-        write_version(spec.table_root)
+    if spec.mode == "external" and not one_commit:
+        root = spec.external_root()
+        first = f"{root}/{table}"
+        write_version(root, None if exists or sinks.path_exists(spark, first) else first)
     elif spec.mode == "external":
-        path = f"{spec.table_root.rstrip('/')}/{table}"
-        sinks.write_path(rows, path, spec.format, spec.options, refresh=name)
+        path = sinks.location_of(spark, name) if exists else f"{spec.external_root()}/{table}"
+        sinks.write_path(
+            rows, path, spec.format, spec.options, name, "overwrite" if exists else "error"
+        )
         _check(spec, observation.get)
         if not exists:
             sinks.register_external(spark, name, path, spec.format)
@@ -178,6 +193,8 @@ def _write(spark: SparkSession, table: str, spec: LoadSpec, exists: bool) -> dic
             raise
 
     counts = observation.get
+    if spec.malformed != "reject" and exists and spec.rejects_name(table).rsplit(".", 1)[-1] not in spec.registry:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(spec.rejects_name(table))}")
     if spec.malformed == "reject":
         _write_rejects(spark, table, spec, counts["rejected"])
     return {**counts, "partitions": partitions}
@@ -191,7 +208,10 @@ def _write_rejects(spark: SparkSession, table: str, spec: LoadSpec, rejected: in
         parsed = delimited.parse(
             spark, spec.source_path(table), spec.registry[table], spec.layout
         )
-        sinks.create_as_select(delimited.rejects(parsed), name, spec.format, spec.options)
+        path = sinks.version_path(namespace_location(spark, spec.namespace), f"{table}__rejects")
+        if spec.format in sinks.TABLE_FORMATS:
+            path = None  # such formats keep their own files
+        sinks.create_as_select(delimited.rejects(parsed), name, spec.format, spec.options, path)
 
 
 def _load(spark: SparkSession, table: str, spec: LoadSpec) -> LoadResult:
@@ -213,7 +233,7 @@ def _load(spark: SparkSession, table: str, spec: LoadSpec) -> LoadResult:
             raise TableExists(spec.table_name(table))
         counts = _write(spark, table, spec, exists)
     except Exception as error:  # one table's failure must not stop the others
-        return result(status="failed", error=f"{type(error).__name__}: {error}"[:2000])
+        return result(status="failed", error=f"{type(error).__name__}: {error}")
     return result(
         row_count=counts["rows"],
         rejected=counts.get("rejected", 0),
@@ -238,6 +258,14 @@ def side_by_side(spark: SparkSession, job: Callable, items: Iterable, width: int
         return [future.result() for future in futures]
 
 
+def _source_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a path, 0 if there is none."""
+    jvm = spark.sparkContext._jvm
+    source = jvm.org.apache.hadoop.fs.Path(path)
+    store = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.getContentSummary(source).getLength() if store.exists(source) else 0
+
+
 def load_all(
     spark: SparkSession, spec: LoadSpec, tables: Iterable[str] | None = None
 ) -> list[LoadResult]:
@@ -252,9 +280,13 @@ def load_all(
     sinks.require_format(spark, spec.format)
     create_namespace(spark, spec.namespace, spec.namespace_location)
     with _split_size(spark, spec.split_bytes):
-        results = side_by_side(
-            spark, lambda table: _load(spark, table, spec), names, spec.parallel_tables
+        # The largest first, so that small ones fill the slots their last tasks leave free.
+        order = sorted(names, key=lambda table: -_source_bytes(spark, spec.source_path(table)))
+        loaded = side_by_side(
+            spark, lambda table: _load(spark, table, spec), order, spec.parallel_tables
         )
+    by_name = dict(zip(order, loaded, strict=True))
+    results = [by_name[table] for table in names]
     if spec.audit_table:
         sinks.create_if_missing(spark, spec.audit_table, RESULT_COLUMNS)
         sinks.insert_rows(audit_frame(spark, results).coalesce(1), spec.audit_table)

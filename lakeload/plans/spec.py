@@ -24,7 +24,8 @@ class LoadSpec:
 
     mode
         ``managed``: the catalog chooses the path (create table as select).
-        ``external``: files go under ``table_root`` and the catalog points at them.
+        ``external``: files go under ``table_root``, in a folder for the namespace, and the
+        catalog points at them.
     if_exists
         ``fail``, ``skip`` or ``replace`` a table whose name is taken. Decided before
         any data is written.
@@ -39,7 +40,8 @@ class LoadSpec:
     split_bytes
         Input bytes for each task, hence each output file. Unset leaves it to Spark, which
         cuts finer as the cluster grows; large loads want 512 MB or so, to avoid many
-        small files. Sets two settings of the session while the load runs.
+        small files. Sets two settings of the session while the load runs; loads that do so
+        wait for each other.
     parallel_tables
         Tables loaded side by side, so that small ones fill the tail of large ones.
     """
@@ -69,6 +71,11 @@ class LoadSpec:
         _one_of("nulls", self.nulls, ("report", "fail"))
         if self.mode == "external" and not self.table_root:
             raise ValueError("an external load needs table_root")
+        if self.mode == "external" and self.format == "iceberg":
+            raise ValueError("iceberg does not adopt files; load it managed")
+        clashes = [t for t in self.registry if f"{t}__rejects" in self.registry]
+        if self.malformed == "reject" and clashes:
+            raise ValueError(f"the rejects of {clashes} would go where other tables are")
         if self.parallel_tables < 1:
             raise ValueError("parallel_tables must be at least 1")
         if self.split_bytes is not None and self.split_bytes < 1:
@@ -123,5 +130,9 @@ class LoadSpec:
     def table_name(self, table: str) -> str:
         return f"{self.namespace}.{table}"
 
+    def external_root(self) -> str:
+        """Where this namespace's external tables lie, apart from those of others."""
+        return f"{self.table_root.rstrip('/')}/{self.namespace}"
+
     def rejects_name(self, table: str) -> str:
         return f"{self.namespace}.{table}__rejects"

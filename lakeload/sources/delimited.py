@@ -21,6 +21,15 @@ BAD = "_bad"
 LINE = "_line"
 MALFORMED = "_malformed"
 
+# What the layout itself sets, and what would give one reader other rows than the other.
+REFUSED_OPTIONS = (
+    "sep", "delimiter", "encoding", "charset", "mode", "columnnameofcorruptrecord",
+    "multiline", "inferschema", "enforceschema",
+)
+LINE_OPTIONS = ("header", "linesep", "comment")
+# Not in any text, so a line read with it is one field.
+NO_SEPARATOR = "\u0001\u0002\u0001\u0002"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -32,12 +41,19 @@ class Layout:
     options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
+        refused = {name for name in self.options if name.lower() in REFUSED_OPTIONS}
+        if refused:
+            raise ValueError(f"options {sorted(refused)} are set by the layout or not supported")
         if self.encoding.upper().startswith(("UTF-16", "UTF-32")):
             raise ValueError("lines are split on single bytes; convert the files to UTF-8 first")
 
     def reader_options(self) -> dict[str, str]:
         return {"sep": self.separator, **self.options}
 
+    def line_options(self) -> dict[str, str]:
+        """Options that say what the lines of a file are, not what is in them."""
+        return {k: v for k, v in self.options.items() if k.lower() in LINE_OPTIONS}
+
 
 def _declared(schema: T.StructType, layout: Layout, *extra: str) -> T.StructType:
     if taken := {PAD, BAD, LINE, MALFORMED} & set(schema.names):
@@ -58,7 +74,8 @@ def scan(
         spark.read.schema(_declared(schema, layout))
         .options(**layout.reader_options(), encoding=layout.encoding)
         .csv(path)
-        .drop(PAD)
+        # Folders named key=value below the path add no columns.
+        .select(*[f"`{c}`" for c in schema.names])
     )
 
 
@@ -76,14 +93,22 @@ def parse(
     layout = layout or Layout()
     declared = _declared(schema, layout, BAD)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in declared)
-    options = {**layout.reader_options(), "columnNameOfCorruptRecord": BAD}
+    by_line = layout.line_options()
+    options = {k: v for k, v in layout.reader_options().items() if k not in by_line}
+    options["columnNameOfCorruptRecord"] = BAD
 
     line = F.col("value")
-    if layout.encoding.upper() != "UTF-8":
-        # The text source hands over the bytes as they are.
-        line = F.decode(line.cast("binary"), layout.encoding)
+    if by_line:
+        # The CSV reader itself leaves out headers and comments; each line is one field.
+        raw = {**by_line, "sep": NO_SEPARATOR, "quote": "", "encoding": layout.encoding}
+        files = spark.read.schema("value string").options(**raw).csv(path)
+    else:
+        files = spark.read.text(path)
+        if layout.encoding.upper() != "UTF-8":
+            # The text source hands over the bytes as they are.
+            line = F.decode(line.cast("binary"), layout.encoding)
     lines = (
-        spark.read.text(path)
+        files
         # Like the CSV reader, skip lines of blanks and control characters only.
         .where(F.col("value").rlike(r"[^\x00-\x20]"))
         .select(line.alias(LINE))
@@ -105,14 +130,25 @@ def rejects(parsed: DataFrame) -> DataFrame:
 
 
 def write_delimited(df: DataFrame, path: str, layout: Layout | None = None) -> None:
-    """Write rows in the layout ``scan`` reads, for staging and tests."""
+    """Write rows in the layout ``scan`` reads, for staging and tests.
+
+    Strings keep their blanks. A string with a line break would become two lines, so it
+    fails the write.
+    """
     layout = layout or Layout()
+    broken = F.raise_error(F.lit("a value holds a line break and can't be written as a line"))
+    for f in df.schema:
+        if isinstance(f.dataType, T.StringType):
+            value = F.col(f"`{f.name}`")
+            df = df.withColumn(f.name, F.when(value.rlike("[\\r\\n]"), broken).otherwise(value))
     if layout.trailing_separator:
         df = df.withColumn(PAD, F.lit(None).cast("string"))
     (
         df.write.options(
             **layout.reader_options(),
             encoding=layout.encoding,
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
             timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         ).csv(path)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,15 @@ from pyspark.sql import functions as F
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
+def _qualified(spark: SparkSession, root: str) -> str:
+    """The root as its file system names it: absolute, without ``.`` or ``..``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = store.makeQualified(path)
+    parts = posixpath.normpath(whole.toUri().getPath())
+    return store.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(whole, parts)).toString()
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Every file under ``root``: its key below the root, the key's first segment, size, time.
 
@@ -18,6 +28,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     its own, so splits are grouped to keep the task count in line with the cluster rather
     than with the number of files.
     """
+    root = _qualified(spark, root)
     base = re.sub(_SCHEME, "", root).rstrip("/") + "/"
     below = F.regexp_replace("path", _SCHEME, "")
     files = (

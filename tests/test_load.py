@@ -7,12 +7,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from lakeload.operators import catalog
+from lakeload.operators import catalog, sinks
 from lakeload.operators.sinks import FormatUnavailable
 from lakeload.plans import load as loads
 from lakeload.plans.load import LoadFailed, load_all, load_table, reconcile_all, reconcile_load
 from lakeload.plans.schemas import tpcds
 from lakeload.plans.spec import LoadSpec
+from lakeload.sources import delimited
 from lakeload.sources.delimited import Layout
 
 INVENTORY = ["1|10|5|100|", "2|20|6|200|", "3|30|7||"]
@@ -212,8 +213,75 @@ def test_split_size_sets_the_number_of_files_and_is_put_back(spark, lines, spec,
     assert load_table(spark, "inventory", one).partitions == 1
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
-    # The earlier version's files stay for readers still using them.
-    assert len(glob.glob(f"{spec.table_root}/inventory*")) == 2
+    # Only the version that the name points at is left.
+    assert len(glob.glob(f"{spec.table_root}/{spec.namespace}/inventory*")) == 1
+    assert spark.table(spec.table_name("inventory")).count() == 5000
+
+
+@pytest.mark.parametrize("mode", ["managed", "external"])
+def test_replacing_leaks_nothing_and_keeps_type_and_options(spark, lines, spec, namespace, mode):
+    lines("inventory", [f"{n}|1|1|1|" for n in range(50)])
+    first = replace(spec, mode=mode, options={"compression": "zstd"})
+
+    def described():
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {spec.table_name('inventory')}").collect()
+        return {r.col_name: r.data_type for r in rows if r.col_name in ("Type", "Storage Properties")}
+
+    load_table(spark, "inventory", first)
+    before = described()
+    for _ in range(3):
+        load_table(spark, "inventory", replace(first, if_exists="replace"))
+    assert described() == before and spark.table(spec.table_name("inventory")).count() == 50
+    root = sinks.location_of(spark, spec.table_name("inventory")).removeprefix("file:").rpartition("/")[0]
+    assert len(glob.glob(f"{root}/inventory*")) == 1
+    lines("inventory", ["1|2|3|4|", "x|2|3|4|"])
+    refused = replace(first, if_exists="replace", malformed="fail")
+    with pytest.raises(Exception):
+        load_table(spark, "inventory", refused)
+    assert len(glob.glob(f"{root}/inventory*")) == 1
+    assert spark.table(spec.table_name("inventory")).count() == 50
+
+
+def test_two_namespaces_with_one_table_root(spark, lines, spec, namespace, tmp_path):
+    lines("inventory", ["1|1|1|1|"])
+    load_table(spark, "inventory", replace(spec, mode="external"))
+    other = replace(spec, mode="external", namespace=f"{namespace}_b", namespace_location=str(tmp_path / "b"))
+    lines("inventory", ["7|7|7|7|", "x|7|7|7|"])
+    with pytest.raises(Exception):
+        load_table(spark, "inventory", replace(other, malformed="fail"))
+    load_table(spark, "inventory", replace(other, malformed="null"))
+    assert spark.table(spec.table_name("inventory")).count() == 1
+    assert spark.table(other.table_name("inventory")).count() == 2
+
+
+def test_refused_settings(spec):
+    with pytest.raises(ValueError, match="iceberg"):
+        replace(spec, mode="external", format="iceberg")
+    with pytest.raises(ValueError, match="multiLine"):
+        delimited.Layout(options={"multiLine": "true"})
+
+
+@pytest.mark.parametrize("options, text", [
+    ({"lineSep": ";"}, b"1|1|1|1|;2|2|2|2|;"),
+    ({"header": "true"}, b"a|b|c|d|\n1|1|1|1|\n2|2|2|2|\n"),
+    ({"comment": "#"}, b"# none\n1|1|1|1|\n2|2|2|2|\n"),
+])
+@pytest.mark.parametrize("malformed", ["null", "reject", "fail"])
+def test_line_options_hold_for_both_readers(spark, lines, spec, namespace, options, text, malformed):
+    lines("inventory", text)
+    layout = delimited.Layout(options=options)
+    result = load_table(spark, "inventory", replace(spec, layout=layout, malformed=malformed))
+    assert (result.row_count, result.rejected) == (2, 0)
+
+
+def test_staged_text_keeps_blanks_and_refuses_line_breaks(spark, tmp_path):
+    schema = "a string, b string"
+    rows = spark.createDataFrame([(" a ", "b"), ("", " ")], schema)
+    delimited.write_delimited(rows, str(tmp_path / "t"))
+    back = delimited.scan(spark, str(tmp_path / "t"), rows.schema)
+    assert back.where("a = ' a '").count() == 1
+    with pytest.raises(Exception, match="line break"):
+        delimited.write_delimited(spark.createDataFrame([("x\ny", "b")], schema), str(tmp_path / "u"))
 
 
 def test_unknown_table_and_missing_module_stop_before_any_work(spark, spec):
