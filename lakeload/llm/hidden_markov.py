@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from pyspark.sql.window import Window
 from .common import saved, split_words
 
 STATES = 6
-ROUNDS = 2  # of Baum-Welch
+ROUNDS = 1  # of Baum-Welch; each moves all blocks and shared words once more
 SMOOTHING = 0.2  # the share of an emission that comes from the counts of all states
 STARTS = 3  # rounds that move the centres of the starting clusters
 BLOCK_CHARS = 32_000_000
@@ -70,6 +71,16 @@ def _blocks(batches):
         yield held.row(part * 1024 + number)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Small numbers in few bytes: low bytes, then higher ones, which are mostly equal."""
+    return zstandard.compress(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+
+
 class Block:
     def __init__(self):
         self.ids, self.out, self.tokens, self.profiles, self.lengths = [], [], [], [], []
@@ -95,7 +106,7 @@ class Block:
                 pa.array([self.ids], pa.list_(pa.int64())),
                 pa.array([self.out], pa.list_(pa.bool_())),
                 pa.array([self.lengths], pa.list_(pa.int32())),
-                pa.array([np.concatenate(self.tokens).tobytes()], pa.binary()),
+                pa.array([_packed(np.concatenate(self.tokens))], pa.binary()),
                 pa.array([np.stack(self.profiles).tobytes()], pa.binary()),
                 pa.array([list(self.words)], pa.list_(pa.string())),
             ],
@@ -178,7 +189,7 @@ class Tokens:
 
     def __init__(self, row: dict, centres: np.ndarray):
         self.lengths = np.asarray(row["lengths"], np.int64)
-        self.tokens = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
+        self.tokens = _unpacked(row["tokens"])
         self.train = ~np.asarray(row["held_out"], bool)
         self.state = _cluster(row["profiles"], centres)
         self.states = len(centres)
@@ -347,20 +358,20 @@ def _learned(rows: list, states: int) -> pa.Table:
             "local": empty(pa.binary()) if local is None else pa.array([local], pa.binary()),
         }
         for k in range(states):
-            columns[f"n{k}"] = empty(pa.float64()) if counts is None else pa.array(counts[:, k], pa.float64())
+            columns[f"n{k}"] = empty(pa.float32()) if counts is None else pa.array(counts[:, k], pa.float32())
         parts.append(pa.table(columns))
     return pa.concat_tables(parts) if parts else _empty(states)
 
 
 def _learned_schema(states: int) -> str:
-    numbers = ", ".join(f"n{k} double" for k in range(states))
+    numbers = ", ".join(f"n{k} float" for k in range(states))
     return f"block long, place int, word long, seen long, sums array<double>, local binary, {numbers}"
 
 
 def _empty(states: int) -> pa.Table:
     kinds = [("block", pa.int64()), ("place", pa.int32()), ("word", pa.int64()), ("seen", pa.int64())]
     kinds += [("sums", pa.list_(pa.float64())), ("local", pa.binary())]
-    return pa.schema([*kinds, *[(f"n{k}", pa.float64()) for k in range(states)]]).empty_table()
+    return pa.schema([*kinds, *[(f"n{k}", pa.float32()) for k in range(states)]]).empty_table()
 
 
 def _score(chain: Chain, centres: np.ndarray):
@@ -411,7 +422,7 @@ def _word_rows(centres: np.ndarray):
                     pa.array(np.full(len(words), row["block"]), pa.int64()),
                     pa.array(np.arange(len(words)), pa.int32()),
                     words,
-                    *[pa.array(counts[:, k], pa.int64()) for k in range(states)],
+                    *[pa.array(counts[:, k], pa.int32()) for k in range(states)],
                 ]
                 names = ["block", "place", "text", *[f"n{k}" for k in range(states)]]
                 whole = pa.RecordBatch.from_arrays(columns, names)
@@ -438,25 +449,28 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, held_out=
     lean = blocks.select("block", "doc_ids", "held_out", "lengths", "tokens", "profiles", F.size("words").alias("n_words"))
 
     names = [f"n{k}" for k in range(states)]
-    numbers = ", ".join(f"{n} long" for n in names)
+    numbers = ", ".join(f"{n} int" for n in names)
     words = blocks.select("block", "held_out", "lengths", "tokens", "profiles", "words").mapInArrow(
         _word_rows(centres), f"block long, place int, text string, {numbers}"
     )
-    own = sum((F.col(n) for n in names[1:]), F.col(names[0]))
+    own = sum((F.col(n).cast("long") for n in names[1:]), F.col(names[0]).cast("long"))
     same = Window.partitionBy("text")
     number = F.shiftleft("block", 32) + F.col("place")
-    summed = words.select("block", "place", "text", own.alias("own"), number.alias("number"), *names).select(
+    # What follows from the counts is computed after the shuffle.
+    dealt = words.repartition("text").withColumn("own", own).withColumn("number", number)
+    summed = dealt.select(
         "block", "place", "own", "number",
         F.min("number").over(same).alias("word"),
         F.sum("own").over(same).alias("seen"),
         F.count(F.lit(1)).over(same).alias("blocks"),
-        *[F.sum(n).over(same).cast("double").alias(n) for n in names],
+        *[F.sum(n).over(same).cast("float").alias(n) for n in names],
     )
     first = (F.col("number") == F.col("word")) & (F.col("seen") > 0)
     found = Observation()
     once = [F.sum(F.when(first & (F.col("seen") == 1), F.col(n))).alias(f"once_{n}") for n in names]
     whole = [F.sum(F.when(first, F.col(n))).alias(f"all_{n}") for n in names]
-    counted = summed.observe(found, F.count_if(first).alias("words"), *once, *whole)
+    every = F.sum(F.when(first, F.col("seen"))).alias("tokens")
+    counted = summed.observe(found, F.count_if(first).alias("words"), every, *once, *whole)
     shared = saved(
         counted.where("blocks > 1").select("block", "place", "word", "seen", *names), "shared-words"
     )
@@ -471,7 +485,7 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, held_out=
         totals=totals + by_state,
         ends=by_state,
         once=np.array([of[f"once_{n}"] or 0.0 for n in names]),
-        tokens=int(totals.sum()) + trained,
+        tokens=(of["tokens"] or 0) + trained,
         words=of["words"] + (trained > 0),
         docs=trained,
     )
