@@ -1,10 +1,4 @@
-"""Named schemas.
-
-The 25 TPC-DS tables are declared as a column prefix and the column names in file
-order. Types follow from the names by ``TYPE_RULES``; a column that does not follow
-its name carries its type after a colon. ``!`` marks a column declared non-null.
-Groups of columns that the benchmark repeats in several tables are named once.
-"""
+"""Named schemas: the 25 TPC-DS tables, one DDL string each, and registries of schemas."""
 
 from __future__ import annotations
 
@@ -36,164 +30,495 @@ def data_type(text: str) -> T.DataType:
     return _SIMPLE[text]
 
 
-# First match on the full column name wins; anything else is a string.
-TYPE_RULES = [
-    (re.compile(pattern), type_text)
-    for pattern, type_text in [
-        (r".*(_sk|_seq|_count|_quantity)", "int"),
-        (r".*_date", "date"),
-        (r".*(_gmt_offset|_percentage|_precentage)", "decimal(5,2)"),
-        (r".*(_price|_cost|_amt|_amount|_tax|_fee|_cash|_charge|_credit)", "decimal(7,2)"),
-        (r".*(_net_paid|_net_paid_inc_ship|_net_profit|_net_loss)", "decimal(7,2)"),
-    ]
-]
-
-
-def type_for(column: str) -> str:
-    return next((t for rule, t in TYPE_RULES if rule.fullmatch(column)), "string")
-
-
-# Fixed values from here on: the TPC-DS tables and their columns.
-_VALID = "rec_start_date rec_end_date"
-_STREET = (
-    "street_number street_name street_type suite_number city county state zip country gmt_offset"
-)
-_SOLD = (
-    "quantity wholesale_cost list_price sales_price ext_discount_amt ext_sales_price"
-    " ext_wholesale_cost ext_list_price ext_tax coupon_amt"
-)
-_SHIPPED = (
-    "ext_ship_cost net_paid net_paid_inc_tax net_paid_inc_ship net_paid_inc_ship_tax net_profit"
-)
-_REFUND = "return_tax return_amt_inc_tax fee return_ship_cost refunded_cash reversed_charge"
-
-
-def _party(role: str) -> str:
-    return f"{role}_customer_sk {role}_cdemo_sk {role}_hdemo_sk {role}_addr_sk"
-
-
+# The TPC-DS tables, their columns in file order, types and non-null marks.
 TPCDS = {
-    "dbgen_version": ("dv", "version create_date create_time cmdline_args"),
-    "customer_address": ("ca", f"address_sk address_id {_STREET} location_type"),
-    "customer_demographics": (
-        "cd",
-        "demo_sk gender marital_status education_status purchase_estimate:int credit_rating"
-        " dep_count dep_employed_count dep_college_count",
-    ),
-    "date_dim": (
-        "d",
-        "date_sk date_id date month_seq week_seq quarter_seq year:int dow:int moy:int dom:int"
-        " qoy:int fy_year:int fy_quarter_seq fy_week_seq day_name month_name holiday weekend"
-        " following_holiday first_dom:int last_dom:int same_day_ly:date same_day_lq:date"
-        " current_day current_week current_month current_quarter current_year",
-    ),
-    "warehouse": ("w", f"warehouse_sk warehouse_id warehouse_name warehouse_sq_ft:int {_STREET}"),
-    "ship_mode": ("sm", "ship_mode_sk ship_mode_id type code carrier contract"),
-    "time_dim": (
-        "t",
-        "time_sk time_id time:int hour:int minute:int second:int am_pm shift sub_shift meal_time",
-    ),
-    "reason": ("r", "reason_sk reason_id reason_desc"),
-    "income_band": ("ib", "income_band_sk lower_bound:int upper_bound:int"),
-    "item": (
-        "i",
-        f"item_sk! item_id! {_VALID} item_desc current_price wholesale_cost brand_id:int brand"
-        " class_id:int class category_id:int category manufact_id:int manufact size formulation"
-        " color units container manager_id:int product_name",
-    ),
-    "store": (
-        "s",
-        f"store_sk! store_id! {_VALID} closed_date_sk store_name number_employees:int"
-        " floor_space:int hours manager market_id:int geography_class market_desc market_manager"
-        f" division_id:int division_name company_id:int company_name {_STREET} tax_precentage",
-    ),
-    "call_center": (
-        "cc",
-        f"call_center_sk! call_center_id! {_VALID} closed_date_sk open_date_sk name class"
-        " employees:int sq_ft:int hours manager mkt_id:int mkt_class mkt_desc market_manager"
-        f" division:int division_name company:int company_name {_STREET} tax_percentage",
-    ),
-    "customer": (
-        "c",
-        "customer_sk! customer_id! current_cdemo_sk current_hdemo_sk current_addr_sk"
-        " first_shipto_date_sk first_sales_date_sk salutation first_name last_name"
-        " preferred_cust_flag birth_day:int birth_month:int birth_year:int birth_country login"
-        " email_address last_review_date:string",
-    ),
-    "web_site": (
-        "web",
-        f"site_sk! site_id! {_VALID} name open_date_sk close_date_sk class manager mkt_id:int"
-        " mkt_class mkt_desc market_manager company_id:int company_name"
-        f" {_STREET} tax_percentage",
-    ),
-    "store_returns": (
-        "sr",
-        "returned_date_sk return_time_sk item_sk! customer_sk cdemo_sk hdemo_sk addr_sk store_sk"
-        f" reason_sk ticket_number:int! return_quantity return_amt {_REFUND}"
-        " store_credit net_loss",
-    ),
-    "household_demographics": (
-        "hd",
-        "demo_sk! income_band_sk buy_potential dep_count vehicle_count",
-    ),
-    "web_page": (
-        "wp",
-        f"web_page_sk! web_page_id! {_VALID} creation_date_sk access_date_sk autogen_flag"
-        " customer_sk url type char_count link_count image_count max_ad_count",
-    ),
-    "promotion": (
-        "p",
-        "promo_sk! promo_id! start_date_sk end_date_sk item_sk cost:decimal(15,2)"
-        " response_target:int promo_name channel_dmail channel_email channel_catalog channel_tv"
-        " channel_radio channel_press channel_event channel_demo channel_details purpose"
-        " discount_active",
-    ),
-    "catalog_page": (
-        "cp",
-        "catalog_page_sk! catalog_page_id! start_date_sk end_date_sk department"
-        " catalog_number:int catalog_page_number:int description type",
-    ),
-    "inventory": ("inv", "date_sk! item_sk! warehouse_sk! quantity_on_hand:int"),
-    "catalog_returns": (
-        "cr",
-        f"returned_date_sk returned_time_sk item_sk! {_party('refunded')} {_party('returning')}"
-        " call_center_sk catalog_page_sk ship_mode_sk warehouse_sk reason_sk order_number:int!"
-        f" return_quantity return_amount {_REFUND} store_credit net_loss",
-    ),
-    "web_returns": (
-        "wr",
-        f"returned_date_sk returned_time_sk item_sk! {_party('refunded')} {_party('returning')}"
-        f" web_page_sk reason_sk order_number:int! return_quantity return_amt {_REFUND}"
-        " account_credit net_loss",
-    ),
-    "web_sales": (
-        "ws",
-        f"sold_date_sk sold_time_sk ship_date_sk item_sk! {_party('bill')} {_party('ship')}"
-        " web_page_sk web_site_sk ship_mode_sk warehouse_sk promo_sk order_number:int!"
-        f" {_SOLD} {_SHIPPED}",
-    ),
-    "catalog_sales": (
-        "cs",
-        f"sold_date_sk sold_time_sk ship_date_sk {_party('bill')} {_party('ship')}"
-        " call_center_sk catalog_page_sk ship_mode_sk warehouse_sk item_sk! promo_sk"
-        f" order_number:int! {_SOLD} {_SHIPPED}",
-    ),
-    "store_sales": (
-        "ss",
-        "sold_date_sk sold_time_sk item_sk customer_sk cdemo_sk hdemo_sk addr_sk store_sk"
-        f" promo_sk ticket_number:int {_SOLD} net_paid net_paid_inc_tax net_profit",
-    ),
+    "dbgen_version": """
+        dv_version string,
+        dv_create_date date,
+        dv_create_time string,
+        dv_cmdline_args string
+    """,
+    "customer_address": """
+        ca_address_sk int,
+        ca_address_id string,
+        ca_street_number string,
+        ca_street_name string,
+        ca_street_type string,
+        ca_suite_number string,
+        ca_city string,
+        ca_county string,
+        ca_state string,
+        ca_zip string,
+        ca_country string,
+        ca_gmt_offset decimal(5,2),
+        ca_location_type string
+    """,
+    "customer_demographics": """
+        cd_demo_sk int,
+        cd_gender string,
+        cd_marital_status string,
+        cd_education_status string,
+        cd_purchase_estimate int,
+        cd_credit_rating string,
+        cd_dep_count int,
+        cd_dep_employed_count int,
+        cd_dep_college_count int
+    """,
+    "date_dim": """
+        d_date_sk int,
+        d_date_id string,
+        d_date date,
+        d_month_seq int,
+        d_week_seq int,
+        d_quarter_seq int,
+        d_year int,
+        d_dow int,
+        d_moy int,
+        d_dom int,
+        d_qoy int,
+        d_fy_year int,
+        d_fy_quarter_seq int,
+        d_fy_week_seq int,
+        d_day_name string,
+        d_month_name string,
+        d_holiday string,
+        d_weekend string,
+        d_following_holiday string,
+        d_first_dom int,
+        d_last_dom int,
+        d_same_day_ly date,
+        d_same_day_lq date,
+        d_current_day string,
+        d_current_week string,
+        d_current_month string,
+        d_current_quarter string,
+        d_current_year string
+    """,
+    "warehouse": """
+        w_warehouse_sk int,
+        w_warehouse_id string,
+        w_warehouse_name string,
+        w_warehouse_sq_ft int,
+        w_street_number string,
+        w_street_name string,
+        w_street_type string,
+        w_suite_number string,
+        w_city string,
+        w_county string,
+        w_state string,
+        w_zip string,
+        w_country string,
+        w_gmt_offset decimal(5,2)
+    """,
+    "ship_mode": """
+        sm_ship_mode_sk int,
+        sm_ship_mode_id string,
+        sm_type string,
+        sm_code string,
+        sm_carrier string,
+        sm_contract string
+    """,
+    "time_dim": """
+        t_time_sk int,
+        t_time_id string,
+        t_time int,
+        t_hour int,
+        t_minute int,
+        t_second int,
+        t_am_pm string,
+        t_shift string,
+        t_sub_shift string,
+        t_meal_time string
+    """,
+    "reason": """
+        r_reason_sk int,
+        r_reason_id string,
+        r_reason_desc string
+    """,
+    "income_band": """
+        ib_income_band_sk int,
+        ib_lower_bound int,
+        ib_upper_bound int
+    """,
+    "item": """
+        i_item_sk int NOT NULL,
+        i_item_id string NOT NULL,
+        i_rec_start_date date,
+        i_rec_end_date date,
+        i_item_desc string,
+        i_current_price decimal(7,2),
+        i_wholesale_cost decimal(7,2),
+        i_brand_id int,
+        i_brand string,
+        i_class_id int,
+        i_class string,
+        i_category_id int,
+        i_category string,
+        i_manufact_id int,
+        i_manufact string,
+        i_size string,
+        i_formulation string,
+        i_color string,
+        i_units string,
+        i_container string,
+        i_manager_id int,
+        i_product_name string
+    """,
+    "store": """
+        s_store_sk int NOT NULL,
+        s_store_id string NOT NULL,
+        s_rec_start_date date,
+        s_rec_end_date date,
+        s_closed_date_sk int,
+        s_store_name string,
+        s_number_employees int,
+        s_floor_space int,
+        s_hours string,
+        s_manager string,
+        s_market_id int,
+        s_geography_class string,
+        s_market_desc string,
+        s_market_manager string,
+        s_division_id int,
+        s_division_name string,
+        s_company_id int,
+        s_company_name string,
+        s_street_number string,
+        s_street_name string,
+        s_street_type string,
+        s_suite_number string,
+        s_city string,
+        s_county string,
+        s_state string,
+        s_zip string,
+        s_country string,
+        s_gmt_offset decimal(5,2),
+        s_tax_precentage decimal(5,2)
+    """,
+    "call_center": """
+        cc_call_center_sk int NOT NULL,
+        cc_call_center_id string NOT NULL,
+        cc_rec_start_date date,
+        cc_rec_end_date date,
+        cc_closed_date_sk int,
+        cc_open_date_sk int,
+        cc_name string,
+        cc_class string,
+        cc_employees int,
+        cc_sq_ft int,
+        cc_hours string,
+        cc_manager string,
+        cc_mkt_id int,
+        cc_mkt_class string,
+        cc_mkt_desc string,
+        cc_market_manager string,
+        cc_division int,
+        cc_division_name string,
+        cc_company int,
+        cc_company_name string,
+        cc_street_number string,
+        cc_street_name string,
+        cc_street_type string,
+        cc_suite_number string,
+        cc_city string,
+        cc_county string,
+        cc_state string,
+        cc_zip string,
+        cc_country string,
+        cc_gmt_offset decimal(5,2),
+        cc_tax_percentage decimal(5,2)
+    """,
+    "customer": """
+        c_customer_sk int NOT NULL,
+        c_customer_id string NOT NULL,
+        c_current_cdemo_sk int,
+        c_current_hdemo_sk int,
+        c_current_addr_sk int,
+        c_first_shipto_date_sk int,
+        c_first_sales_date_sk int,
+        c_salutation string,
+        c_first_name string,
+        c_last_name string,
+        c_preferred_cust_flag string,
+        c_birth_day int,
+        c_birth_month int,
+        c_birth_year int,
+        c_birth_country string,
+        c_login string,
+        c_email_address string,
+        c_last_review_date string
+    """,
+    "web_site": """
+        web_site_sk int NOT NULL,
+        web_site_id string NOT NULL,
+        web_rec_start_date date,
+        web_rec_end_date date,
+        web_name string,
+        web_open_date_sk int,
+        web_close_date_sk int,
+        web_class string,
+        web_manager string,
+        web_mkt_id int,
+        web_mkt_class string,
+        web_mkt_desc string,
+        web_market_manager string,
+        web_company_id int,
+        web_company_name string,
+        web_street_number string,
+        web_street_name string,
+        web_street_type string,
+        web_suite_number string,
+        web_city string,
+        web_county string,
+        web_state string,
+        web_zip string,
+        web_country string,
+        web_gmt_offset decimal(5,2),
+        web_tax_percentage decimal(5,2)
+    """,
+    "store_returns": """
+        sr_returned_date_sk int,
+        sr_return_time_sk int,
+        sr_item_sk int NOT NULL,
+        sr_customer_sk int,
+        sr_cdemo_sk int,
+        sr_hdemo_sk int,
+        sr_addr_sk int,
+        sr_store_sk int,
+        sr_reason_sk int,
+        sr_ticket_number int NOT NULL,
+        sr_return_quantity int,
+        sr_return_amt decimal(7,2),
+        sr_return_tax decimal(7,2),
+        sr_return_amt_inc_tax decimal(7,2),
+        sr_fee decimal(7,2),
+        sr_return_ship_cost decimal(7,2),
+        sr_refunded_cash decimal(7,2),
+        sr_reversed_charge decimal(7,2),
+        sr_store_credit decimal(7,2),
+        sr_net_loss decimal(7,2)
+    """,
+    "household_demographics": """
+        hd_demo_sk int NOT NULL,
+        hd_income_band_sk int,
+        hd_buy_potential string,
+        hd_dep_count int,
+        hd_vehicle_count int
+    """,
+    "web_page": """
+        wp_web_page_sk int NOT NULL,
+        wp_web_page_id string NOT NULL,
+        wp_rec_start_date date,
+        wp_rec_end_date date,
+        wp_creation_date_sk int,
+        wp_access_date_sk int,
+        wp_autogen_flag string,
+        wp_customer_sk int,
+        wp_url string,
+        wp_type string,
+        wp_char_count int,
+        wp_link_count int,
+        wp_image_count int,
+        wp_max_ad_count int
+    """,
+    "promotion": """
+        p_promo_sk int NOT NULL,
+        p_promo_id string NOT NULL,
+        p_start_date_sk int,
+        p_end_date_sk int,
+        p_item_sk int,
+        p_cost decimal(15,2),
+        p_response_target int,
+        p_promo_name string,
+        p_channel_dmail string,
+        p_channel_email string,
+        p_channel_catalog string,
+        p_channel_tv string,
+        p_channel_radio string,
+        p_channel_press string,
+        p_channel_event string,
+        p_channel_demo string,
+        p_channel_details string,
+        p_purpose string,
+        p_discount_active string
+    """,
+    "catalog_page": """
+        cp_catalog_page_sk int NOT NULL,
+        cp_catalog_page_id string NOT NULL,
+        cp_start_date_sk int,
+        cp_end_date_sk int,
+        cp_department string,
+        cp_catalog_number int,
+        cp_catalog_page_number int,
+        cp_description string,
+        cp_type string
+    """,
+    "inventory": """
+        inv_date_sk int NOT NULL,
+        inv_item_sk int NOT NULL,
+        inv_warehouse_sk int NOT NULL,
+        inv_quantity_on_hand int
+    """,
+    "catalog_returns": """
+        cr_returned_date_sk int,
+        cr_returned_time_sk int,
+        cr_item_sk int NOT NULL,
+        cr_refunded_customer_sk int,
+        cr_refunded_cdemo_sk int,
+        cr_refunded_hdemo_sk int,
+        cr_refunded_addr_sk int,
+        cr_returning_customer_sk int,
+        cr_returning_cdemo_sk int,
+        cr_returning_hdemo_sk int,
+        cr_returning_addr_sk int,
+        cr_call_center_sk int,
+        cr_catalog_page_sk int,
+        cr_ship_mode_sk int,
+        cr_warehouse_sk int,
+        cr_reason_sk int,
+        cr_order_number int NOT NULL,
+        cr_return_quantity int,
+        cr_return_amount decimal(7,2),
+        cr_return_tax decimal(7,2),
+        cr_return_amt_inc_tax decimal(7,2),
+        cr_fee decimal(7,2),
+        cr_return_ship_cost decimal(7,2),
+        cr_refunded_cash decimal(7,2),
+        cr_reversed_charge decimal(7,2),
+        cr_store_credit decimal(7,2),
+        cr_net_loss decimal(7,2)
+    """,
+    "web_returns": """
+        wr_returned_date_sk int,
+        wr_returned_time_sk int,
+        wr_item_sk int NOT NULL,
+        wr_refunded_customer_sk int,
+        wr_refunded_cdemo_sk int,
+        wr_refunded_hdemo_sk int,
+        wr_refunded_addr_sk int,
+        wr_returning_customer_sk int,
+        wr_returning_cdemo_sk int,
+        wr_returning_hdemo_sk int,
+        wr_returning_addr_sk int,
+        wr_web_page_sk int,
+        wr_reason_sk int,
+        wr_order_number int NOT NULL,
+        wr_return_quantity int,
+        wr_return_amt decimal(7,2),
+        wr_return_tax decimal(7,2),
+        wr_return_amt_inc_tax decimal(7,2),
+        wr_fee decimal(7,2),
+        wr_return_ship_cost decimal(7,2),
+        wr_refunded_cash decimal(7,2),
+        wr_reversed_charge decimal(7,2),
+        wr_account_credit decimal(7,2),
+        wr_net_loss decimal(7,2)
+    """,
+    "web_sales": """
+        ws_sold_date_sk int,
+        ws_sold_time_sk int,
+        ws_ship_date_sk int,
+        ws_item_sk int NOT NULL,
+        ws_bill_customer_sk int,
+        ws_bill_cdemo_sk int,
+        ws_bill_hdemo_sk int,
+        ws_bill_addr_sk int,
+        ws_ship_customer_sk int,
+        ws_ship_cdemo_sk int,
+        ws_ship_hdemo_sk int,
+        ws_ship_addr_sk int,
+        ws_web_page_sk int,
+        ws_web_site_sk int,
+        ws_ship_mode_sk int,
+        ws_warehouse_sk int,
+        ws_promo_sk int,
+        ws_order_number int NOT NULL,
+        ws_quantity int,
+        ws_wholesale_cost decimal(7,2),
+        ws_list_price decimal(7,2),
+        ws_sales_price decimal(7,2),
+        ws_ext_discount_amt decimal(7,2),
+        ws_ext_sales_price decimal(7,2),
+        ws_ext_wholesale_cost decimal(7,2),
+        ws_ext_list_price decimal(7,2),
+        ws_ext_tax decimal(7,2),
+        ws_coupon_amt decimal(7,2),
+        ws_ext_ship_cost decimal(7,2),
+        ws_net_paid decimal(7,2),
+        ws_net_paid_inc_tax decimal(7,2),
+        ws_net_paid_inc_ship decimal(7,2),
+        ws_net_paid_inc_ship_tax decimal(7,2),
+        ws_net_profit decimal(7,2)
+    """,
+    "catalog_sales": """
+        cs_sold_date_sk int,
+        cs_sold_time_sk int,
+        cs_ship_date_sk int,
+        cs_bill_customer_sk int,
+        cs_bill_cdemo_sk int,
+        cs_bill_hdemo_sk int,
+        cs_bill_addr_sk int,
+        cs_ship_customer_sk int,
+        cs_ship_cdemo_sk int,
+        cs_ship_hdemo_sk int,
+        cs_ship_addr_sk int,
+        cs_call_center_sk int,
+        cs_catalog_page_sk int,
+        cs_ship_mode_sk int,
+        cs_warehouse_sk int,
+        cs_item_sk int NOT NULL,
+        cs_promo_sk int,
+        cs_order_number int NOT NULL,
+        cs_quantity int,
+        cs_wholesale_cost decimal(7,2),
+        cs_list_price decimal(7,2),
+        cs_sales_price decimal(7,2),
+        cs_ext_discount_amt decimal(7,2),
+        cs_ext_sales_price decimal(7,2),
+        cs_ext_wholesale_cost decimal(7,2),
+        cs_ext_list_price decimal(7,2),
+        cs_ext_tax decimal(7,2),
+        cs_coupon_amt decimal(7,2),
+        cs_ext_ship_cost decimal(7,2),
+        cs_net_paid decimal(7,2),
+        cs_net_paid_inc_tax decimal(7,2),
+        cs_net_paid_inc_ship decimal(7,2),
+        cs_net_paid_inc_ship_tax decimal(7,2),
+        cs_net_profit decimal(7,2)
+    """,
+    "store_sales": """
+        ss_sold_date_sk int,
+        ss_sold_time_sk int,
+        ss_item_sk int,
+        ss_customer_sk int,
+        ss_cdemo_sk int,
+        ss_hdemo_sk int,
+        ss_addr_sk int,
+        ss_store_sk int,
+        ss_promo_sk int,
+        ss_ticket_number int,
+        ss_quantity int,
+        ss_wholesale_cost decimal(7,2),
+        ss_list_price decimal(7,2),
+        ss_sales_price decimal(7,2),
+        ss_ext_discount_amt decimal(7,2),
+        ss_ext_sales_price decimal(7,2),
+        ss_ext_wholesale_cost decimal(7,2),
+        ss_ext_list_price decimal(7,2),
+        ss_ext_tax decimal(7,2),
+        ss_coupon_amt decimal(7,2),
+        ss_net_paid decimal(7,2),
+        ss_net_paid_inc_tax decimal(7,2),
+        ss_net_profit decimal(7,2)
+    """,
 }
 
 
-def _struct(prefix: str, columns: str) -> T.StructType:
+def _struct(ddl: str) -> T.StructType:
     fields = []
-    for word in columns.split():
-        name, _, explicit = word.removesuffix("!").partition(":")
-        column = f"{prefix}_{name}"
-        fields.append(
-            T.StructField(column, data_type(explicit or type_for(column)), not word.endswith("!"))
-        )
+    for line in ddl.strip().splitlines():
+        name, kind, *rest = line.strip().rstrip(",").split(maxsplit=2)
+        fields.append(T.StructField(name, data_type(kind), rest != ["NOT NULL"]))
     return T.StructType(fields)
 
 
@@ -245,4 +570,4 @@ def declared_not_null(schema: T.StructType) -> list[str]:
 
 
 def tpcds() -> Registry:
-    return Registry({table: _struct(*columns) for table, columns in TPCDS.items()})
+    return Registry({table: _struct(ddl) for table, ddl in TPCDS.items()})
