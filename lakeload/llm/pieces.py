@@ -219,9 +219,12 @@ class Lattices:
             width = counts[low:high]
             total[low:high] = top + np.log(np.add.reduceat(np.exp(values - np.repeat(top, width)), heads))
             log[e] = values - np.repeat(total[low:high], width)
-        chance = np.cumsum(np.exp(log))
-        before = np.concatenate([[0.0], chance])[first[:-1]]
-        upto = (chance - np.repeat(before, counts)).astype(np.float32)
+        # Summed place by place, so that no other word of the batch changes a rounding.
+        chance = np.exp(log)
+        for k in range(1, int(counts.max())):
+            e = first[:-1][counts > k] + k
+            chance[e] += chance[e - 1]
+        upto = chance.astype(np.float32)
         upto[first[1:] - 1] = 2.0  # the last edge takes what rounding leaves
 
         for word, place in zip(words, rank[starts].tolist(), strict=True):
