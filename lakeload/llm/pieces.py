@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 BLANK = "▁"
 # No piece holds a line break, or a blank after another character.
 _WORDS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n[^{BLANK}\n]*")
-SLICE_CHARS = 2_000_000  # text that is sampled side by side; a longer text is by itself
+SLICE_CHARS = 1_000_000  # text that is sampled side by side; a longer text is by itself
 SEED = 41
 SHARPNESS = 0.3  # the power of the pieces' frequencies; 0 makes all segmentations alike
-KEPT_PLACES = 4_000_000  # characters of distinct words whose tables a worker keeps
+KEPT_PLACES = 1_500_000  # characters of distinct words whose tables a worker keeps
 # No Gumbel value from 53 random bits is larger: -log(-log(1 - 2^-54)).
 HIGHEST = 37.5
 
