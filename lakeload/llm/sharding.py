@@ -1,13 +1,16 @@
 """Sharding by balanced label propagation.
 
-Documents with equal texts are linked. Every document starts in a shard by its hash.
-Rounds of joins then move linked documents to the shard that holds most of their
-neighbours, as far as the shard's quota allows, which cuts fewer links. Documents
-without links fill what is left, so that the counts of shards differ by one at most.
+Documents with equal texts are linked. Every document starts in a shard by its hash. In each
+round, every group that lies in several shards asks for one: that with most of its documents.
+What leaves a shard in a round counts as room there, so full shards still exchange groups.
+Rounds go on until the gain levels off. Groups that are large next to a shard are placed
+first, by size. Documents without links and the few groups left fill the rest, so that the
+counts of shards differ by one at most.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +19,10 @@ from .common import join_groups, ranked, saved
 
 # Rows to number in one task at a time.
 BUCKET_ROWS = 20_000
+# Groups above this share of a shard are placed by the driver; there are few.
+LARGE = 1 / 16
+# A round that moves a smaller share of the linked rows has levelled off.
+LEVEL = 0.001
 
 
 def _unit(*values: Column) -> Column:
@@ -40,74 +47,149 @@ def base_rows(docs: DataFrame) -> DataFrame:
     return saved(rows.withColumn("row", F.monotonically_increasing_id()), "sharding")
 
 
-def propagate(linked: DataFrame, shards: int, total: int, rounds: int) -> DataFrame:
-    """(row, group, group_size, ..., shard) after some rounds of label propagation."""
-    quota = total / shards
-    now = linked.withColumn("shard", F.pmod("hash", F.lit(shards)).cast("int"))
-    for number in range(rounds):
-        now = saved(now, "sharding-round")
-        held = now.groupBy("group", "group_size", "shard").agg(F.count(F.lit(1)).alias("n"))
-        held = saved(held, "sharding-held")
-        loads = {r.shard: r.n for r in held.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        open_ = [s for s in range(shards) if loads.get(s, 0) < 0.98 * quota]
-        best = held.where(F.col("shard").isin(open_)).groupBy("group", "group_size").agg(
-            F.max(F.struct("n", -F.col("shard"))).alias("most")
-        )
-        best = best.select("group", "group_size", "most.n", (-F.col("most.col2")).alias("best"))
-        # From where fewer neighbours are to where most are, among shards with room.
-        fewer = held.select("group", "shard", F.col("n").alias("here")).join(best, "group")
-        fewer = fewer.where(F.struct("here", -F.col("shard")) < F.struct("n", -F.col("best")))
-        wanted = {r.best: r.n for r in fewer.groupBy("best").agg(F.sum("here").alias("n")).collect()}
-        if not wanted:
+def packed(groups: list[tuple[int, int]], room: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int]]:
+    """Places of large groups (group, size), and the room that they leave.
+
+    A place is (group, shard, first, end): the group's rows from first to end. Larger
+    groups come first; each takes the tightest shard that holds it whole. One that fits
+    nowhere fills the emptiest shards.
+    """
+    room, out = list(room), []
+    for group, size in sorted(groups, key=lambda g: (-g[1], g[0])):
+        at = 0
+        while at < size:
+            fit = [s for s in range(len(room)) if room[s] >= size - at]
+            s = min(fit, key=lambda s: (room[s], s)) if fit else max(range(len(room)), key=lambda s: (room[s], -s))
+            n = min(room[s], size - at)
+            out.append((group, s, at, at + n))
+            room[s] -= n
+            at += n
+    return out, room
+
+
+def admitted(wanted: np.ndarray, loads: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """For each shard, the largest share of the rows that ask for it that leaves none overfull.
+
+    ``wanted`` has the rows that would move from a shard (row) to another (column). What
+    leaves a shard is room there. A shard already overfull admits none unless more leave.
+    """
+    share, asked = np.ones(len(room)), np.maximum(wanted.sum(0), 1e-9)
+    for _ in range(10_000):
+        now = np.minimum(share, np.clip((room - loads + wanted @ share) / asked, 0, 1))
+        if (share - now).max() < 1e-6:
+            return now
+        share = now
+    return share
+
+
+def _flows(groups: DataFrame, shards: int) -> np.ndarray:
+    """Rows by the shard that holds them and the group's target."""
+    out = np.zeros((shards, shards))
+    held = groups.select(F.explode("held").alias("_at"), "target").where("_at.shard <> target")
+    for r in held.groupBy("_at.shard", "target").agg(F.sum("_at.n").alias("n")).collect():
+        out[r.shard, r.target] = r.n
+    return out
+
+
+def propagate(linked: DataFrame, room: list[int], rounds: int | None) -> DataFrame:
+    """(group, group_size, shard) of the groups that come to lie in one shard."""
+    shards, limit = len(room), np.array(room, float)
+    held = linked.groupBy("group", "group_size", "shard").agg(F.count(F.lit(1)).alias("n"))
+    held = held.groupBy("group", "group_size").agg(F.collect_list(F.struct("shard", "n")).alias("held"))
+    held = saved(held, "sharding-held")
+    loads = np.zeros(shards)
+    cells = held.select(F.explode("held").alias("_at")).groupBy("_at.shard").agg(F.sum("_at.n").alias("n"))
+    for r in cells.collect():
+        loads[r.shard] = r.n
+    done = held.where(F.size("held") == 1).select("group", "group_size", F.col("held")[0]["shard"].alias("shard"))
+    left = held.where(F.size("held") > 1)
+    closed, level, number = {s for s in range(shards) if room[s] <= 0}, 0, 0
+    while level < 2 and (rounds is None or number < rounds):
+        open_ = [s for s in range(shards) if s not in closed]
+        if not open_:
             break
-        share = [
-            max(0.0, min(1.0, (quota - loads.get(s, 0)) / wanted[s])) if s in wanted else 0.0
-            for s in range(shards)
-        ]
-        # Small groups move as one. Large ones fill the room that is left, row by row.
-        whole = F.col("group_size") <= quota / 16
-        draw = F.when(whole, _unit("group", F.lit(number))).otherwise(_unit("hash", F.lit(number)))
-        moves = draw < _by_shard(F.col("best"), share)
-        facts = fewer.groupBy("group").agg(
-            F.max("group_size").alias("_size"), F.max("best").alias("best"), F.collect_set("shard").alias("_from")
+        # Equal numbers are told apart by a hash, so that no shard is preferred.
+        turn = F.lit(number)
+        here = F.filter("held", lambda h: h["shard"].isin(open_))
+        here = F.transform(
+            here, lambda h: F.struct(h["n"], F.xxhash64("group", h["shard"], turn), h["shard"].alias("shard"))
         )
-        now = join_groups(now, facts, "group", "_size", total, "left")
-        leaves = F.coalesce(F.array_contains("_from", F.col("shard")) & moves, F.lit(False))
-        now = now.withColumn("shard", F.when(leaves, F.col("best")).otherwise(F.col("shard")))
-        now = now.drop("best", "_from", "_size")
-    return now
-
-
-def shard(docs: DataFrame, shards: int = 8, rounds: int = 4) -> DataFrame:
+        other = _by_shard(F.pmod(F.xxhash64("group", turn), F.lit(len(open_))).cast("int"), open_)
+        tried = left.withColumn("target", F.coalesce(F.array_max(here)["shard"], other))
+        wanted = _flows(tried, shards)
+        if not wanted.any():
+            break
+        share = admitted(wanted, loads, limit)
+        goes = _unit("group", turn, F.lit("goes")) < _by_shard(F.col("target"), share.tolist())
+        after = saved(tried.withColumn("goes", goes), "sharding-round")
+        moved = _flows(after.where("goes"), shards)
+        loads += moved.sum(0) - moved.sum(1)
+        done = done.unionByName(after.where("goes").select("group", "group_size", F.col("target").alias("shard")))
+        left = after.where("NOT goes").drop("goes", "target")
+        # Shards that admit next to none are not asked again until they have room.
+        closed = {s for s in closed if loads[s] >= limit[s]}
+        closed |= {s for s in range(shards) if wanted[:, s].any() and share[s] < 0.02}
+        level = level + 1 if moved.sum() < LEVEL * loads.sum() else 0
+        number += 1
+    return done
+
+
+def shard(docs: DataFrame, shards: int = 8, rounds: int | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row.
 
     The law is ``rows``: counts of shards are at most one apart, however texts repeat; a
     group too large for a shard is spread over as few as the quotas allow. ``slot`` counts
-    a shard's rows from 0 without gaps. Null texts count as empty and as equal to empty
-    ones. Null and repeated ids are fine, and so are repeated rows: each is placed. Other
-    columns are ignored. An empty table gives no rows.
+    a shard's rows from 0 without gaps. ``rounds`` bounds the propagation, which otherwise
+    ends when the gain levels off. Null texts count as empty and as equal to empty ones.
+    Null and repeated ids are fine, and so are repeated rows: each is placed. Other columns
+    are ignored. An empty table gives no rows.
     """
     base = base_rows(docs)
     total = base.row_count
     sizes = base.groupBy("group").agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    placed = join_groups(base, saved(sizes, "sharding-groups"), "group", "group_size", total, "left")
+    sizes = saved(sizes, "sharding-groups")
+    placed = join_groups(base, sizes, "group", "group_size", total, "left")
     placed = saved(placed, "sharding-linked")
-    linked = propagate(placed.where("group_size IS NOT NULL"), shards, total, rounds)
-
     room = [total // shards + (s < total % shards) for s in range(shards)]
-    # By group, so that an overfull shard parts with whole groups where it can.
-    bucket = F.shiftrightunsigned("group", 40) % max(1, total // BUCKET_ROWS)
+
+    is_large = F.col("group_size") > total / shards * LARGE
+    places, rest = packed([(r.group, r.group_size) for r in sizes.where(is_large).collect()], room)
+    places = docs.sparkSession.createDataFrame(places, "group long, shard int, _first long, _end long")
     piece = F.pmod("hash", F.greatest(F.floor(F.col("group_size") / BUCKET_ROWS), F.lit(1)))
-    in_order = linked.withColumn("_bucket", bucket).withColumn("_piece", piece)
+    large = ranked(placed.where(is_large).withColumn("_piece", piece), ["group"], ["_piece"], ["hash", "row"], "_place")
+    large = large.join(F.broadcast(places), "group").where("_place >= _first AND _place < _end")
+
+    # The others start in proportion to the room that is left.
+    ends = np.cumsum(rest) / max(sum(rest), 1)
+    start = F.lit(shards - 1)
+    for s in reversed(range(shards - 1)):
+        start = F.when(_unit("hash", F.lit("start")) < float(ends[s]), F.lit(s)).otherwise(start)
+    small = placed.where("group_size IS NOT NULL").where(~is_large)
+    chosen = propagate(small.withColumn("shard", start), rest, rounds)
+    chosen = chosen.withColumnRenamed("group_size", "_size")
+    small = join_groups(small, chosen, "group", "_size", total, "left")
+
+    columns = ["doc_id", "size", "text_crc32", "group", "hash", "row", "group_size", "shard"]
+    linked = large.select(*columns).unionByName(small.select(*columns))
+    # Groups that found no shard are parted with, too.
+    linked = linked.withColumn("shard", F.coalesce("shard", F.lit(shards)))
+    # By group, so that an overfull shard parts with whole groups where it can, large ones last.
+    buckets = max(1, total // BUCKET_ROWS)
+    bucket = F.shiftrightunsigned("group", 40) % buckets
+    in_order = linked.withColumn("_bucket", F.when(is_large, bucket - buckets).otherwise(bucket))
+    in_order = in_order.withColumn("_piece", piece)
     in_order = saved(ranked(in_order, ["shard"], ["_bucket", "_piece"], ["group", "row"], "slot"), "sharding-slots")
-    stays = F.col("slot") < _by_shard(F.col("shard"), room)
+    stays = F.col("slot") < _by_shard(F.col("shard"), [*room, 0])
     kept = in_order.where(stays)
     counts = {r.shard: r.n for r in in_order.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     held = [min(counts.get(s, 0), room[s]) for s in range(shards)]
 
     columns = ["doc_id", "size", "text_crc32", "hash", "row"]
     free = placed.where("group_size IS NULL").select(*columns)
-    free = free.unionByName(in_order.where(~stays).select(*columns))
+    # Rows of a group stay next to each other, so that most go to one shard.
+    together = F.when(F.col("group_size") <= BUCKET_ROWS, F.col("group")).otherwise(F.col("hash"))
+    parted = in_order.where(~stays).withColumn("hash", together).select(*columns)
+    free = free.unionByName(parted)
     free = free.withColumn("_bucket", F.shiftrightunsigned("hash", 34) % max(1, total // BUCKET_ROWS))
     free = ranked(free, [], ["_bucket"], ["hash", "row"], "place")
     # Places in the order of shards: each takes as many as it still has room for.

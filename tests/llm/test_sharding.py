@@ -1,6 +1,10 @@
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 from lakeload.llm import sharding
 
 
@@ -42,6 +46,42 @@ def test_a_group_larger_than_shards_is_spread_over_few(make):
     assert len([s for s, n in holds.items() if n >= 50]) >= 3
 
 
+def whole_groups(docs, got):
+    """The share of groups of equal texts whose rows are all in one shard."""
+    text, held = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}, defaultdict(set)
+    for r in got:
+        held[text[r.doc_id]].add(r.shard)
+    return sum(len(v) == 1 for v in held.values()) / len(held)
+
+
+@pytest.mark.parametrize("copies", [2, 10])
+def test_a_table_of_copies_alone_keeps_groups_whole(make, copies):
+    docs = make([(i, f"text {i // copies}") for i in range(8_000)])
+    got = check(docs, sharding.shard(docs))
+    assert whole_groups(docs, got) >= 0.98
+
+
+def test_full_shards_exchange_groups_without_the_last_fill(make):
+    pairs = make([(i, f"text {i // 2}") for i in range(8_000)])
+    rows = sharding.base_rows(pairs)
+    rows = rows.withColumn("group_size", F.lit(2)).withColumn("shard", F.pmod("hash", F.lit(8)).cast("int"))
+    chosen = sharding.propagate(rows, [1_000] * 8, None).collect()
+    assert len({r.group for r in chosen}) == len(chosen) >= 0.95 * 4_000
+    loads = Counter(r.shard for r in chosen)
+    assert max(loads.values()) <= 1.1 * 500
+
+
+def test_admitted_rows_leave_no_shard_overfull():
+    rng = np.random.default_rng(3)
+    wanted = rng.integers(0, 100, (5, 5)).astype(float)
+    np.fill_diagonal(wanted, 0)
+    loads, room = np.array([500.0, 480, 500, 520, 500]), np.full(5, 500.0)
+    share = sharding.admitted(wanted, loads, room)
+    after = loads + wanted.sum(0) * share - wanted @ share
+    assert (after <= np.maximum(room, loads) + 0.1).all() and (share > 0).any()
+    assert (sharding.admitted(np.full((4, 4), 9.0), np.full(4, 50.0), np.full(4, 50.0)) > 0.99).all()
+
+
 def test_awkward_rows(awkward, nothing, make):
     check(awkward, sharding.shard(awkward))
     assert sharding.shard(nothing).collect() == []
