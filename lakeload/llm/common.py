@@ -74,9 +74,17 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(path)
     stored = frame.sparkSession.read.schema(frame.schema).parquet(path)
     stored.row_count = counted.get["rows"]
+    stored.path = path
     return stored
 
 
+def dropped(stored: DataFrame) -> None:
+    """Delete what ``saved`` wrote, when nothing that is still to run reads it."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def unused(name: str, columns: list[str]) -> str:
     """The name, lengthened until no column has it."""
     taken = {c.lower() for c in columns}

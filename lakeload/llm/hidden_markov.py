@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import saved, split_words
+from .common import dropped, saved, split_words
 
 STATES = 6
-ROUNDS = 1  # of Baum-Welch; each moves all blocks and shared words once more
+TOLERANCE = 0.001  # rounds end once one gains less log likelihood (natural) a training token
 SMOOTHING = 0.2  # the share of an emission that comes from the counts of all states
 STARTS = 3  # rounds that move the centres of the starting clusters
 BLOCK_CHARS = 32_000_000
@@ -271,9 +271,9 @@ def _forward(running: np.ndarray, token: np.ndarray, emit: np.ndarray, chain: Ch
     return log, values, scales
 
 
-def _expected(running: np.ndarray, token: np.ndarray, emit: np.ndarray, chain: Chain):
+def _expected(running: np.ndarray, token: np.ndarray, emit: np.ndarray, chain: Chain, forward=None):
     """Posterior states of every token, and sums of transitions and starts."""
-    _, values, scales = _forward(running, token, emit, chain, True)
+    _, values, scales = forward or _forward(running, token, emit, chain, True)
     moves = np.zeros((emit.shape[1], emit.shape[1]))
     ends = np.cumsum(running)
     after = None
@@ -324,9 +324,11 @@ def _learn(chain: Chain, centres: np.ndarray):
         known = Emissions(tokens, row["n_words"], shared, row.get("local"))
         emit = chain.emissions(known.counts, known.seen)
         counts = np.zeros((row["n_words"] + 1, states))
-        moves, starts = np.zeros((states, states)), np.zeros(states)
+        moves, starts, likelihood = np.zeros((states, states)), np.zeros(states), 0.0
         for _, running, token in tokens.groups(tokens.train):
-            posterior, moved, started = _expected(running, token, emit, chain)
+            forward = _forward(running, token, emit, chain, True)
+            likelihood += forward[0].sum()
+            posterior, moved, started = _expected(running, token, emit, chain, forward)
             place = np.where(token < 0, row["n_words"], token)
             for k in range(states):
                 counts[:, k] += np.bincount(place, posterior[:, k], minlength=len(counts))
@@ -334,7 +336,7 @@ def _learn(chain: Chain, centres: np.ndarray):
             starts += started
         words = counts[:-1]
         once = words[known.seen == 1].sum(0)
-        sums = np.concatenate([moves.ravel(), starts, counts.sum(0), counts[-1], once])
+        sums = np.concatenate([moves.ravel(), starts, counts.sum(0), counts[-1], once, [likelihood]])
         local = zlib.compress(words.astype(np.float32).tobytes(), 1)
         rows = [(key[0].as_py(), None, None, None, None, sums.tolist(), local)]
         if len(known.at):
@@ -432,9 +434,11 @@ def _word_rows(centres: np.ndarray):
     return run
 
 
-def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, held_out=None) -> DataFrame:
+def score(docs: DataFrame, states: int = STATES, rounds: int | None = None, held_out=None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
+    ``rounds`` of Baum-Welch at most; by default as many as raise the training likelihood by
+    ``TOLERANCE`` a token.
     ``held_out`` is a column that is true for rows to score but not to learn from; by
     default those whose crc32 of the id as text leaves 2 by 7 (a null id counts as the text
     ''). Null and empty texts are the end alone. Repeated rows count as often as they occur.
@@ -471,7 +475,7 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, held_out=
     whole = [F.sum(F.when(first, F.col(n))).alias(f"all_{n}") for n in names]
     every = F.sum(F.when(first, F.col("seen"))).alias("tokens")
     counted = summed.observe(found, F.count_if(first).alias("words"), every, *once, *whole)
-    shared = saved(
+    shared = stored = saved(
         counted.where("blocks > 1").select("block", "place", "word", "seen", *names), "shared-words"
     )
     of = found.get
@@ -489,20 +493,28 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, held_out=
         words=of["words"] + (trained > 0),
         docs=trained,
     )
-    for _ in range(rounds if trained else 0):
-        learned = lean.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+    known, number, before = lean, 0, -np.inf
+    while trained and (rounds is None or number < rounds):
+        learned = known.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
             _learn(chain, centres), _learned_schema(states)
         )
         learned = saved(learned, "expected")
-        chain = _updated(chain, learned, states)
+        dropped(stored)  # only the last round's counts are read from here on
+        stored = learned
+        chain, likelihood = _updated(chain, learned, states)
         of_word = Window.partitionBy("word")
         shared = learned.where("word IS NOT NULL").select(
             "block", "place", "word", "seen", *[F.sum(n).over(of_word).alias(n) for n in names]
         )
         local = learned.where("local IS NOT NULL").select("block", "local")
         # One row a block on either side, so the join moves no more than the blocks.
-        lean = lean.drop("local").join(local, "block")
-    scored = lean.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+        known = lean.join(local, "block")
+        # The likelihood is that of the chain before; this round's counts are used in any case.
+        number += 1
+        if likelihood - before < TOLERANCE * chain.tokens:
+            break
+        before = likelihood
+    scored = known.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         _score(chain, centres),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
@@ -529,17 +541,18 @@ def _training_docs(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
     return out
 
 
-def _updated(chain: Chain, learned: DataFrame, states: int) -> Chain:
-    """The chain from the sums of all blocks."""
-    sums = np.zeros(states * states + 4 * states)
+def _updated(chain: Chain, learned: DataFrame, states: int) -> tuple[Chain, float]:
+    """The chain from the sums of all blocks, and the log likelihood of the one before."""
+    sums = np.zeros(states * states + 4 * states + 1)
     rows = learned.where("sums IS NOT NULL").select(F.posexplode("sums").alias("at", "value"))
     for r in rows.groupBy("at").agg(F.sum("value").alias("value")).collect():
         sums[r["at"]] = r["value"]
     moves = sums[: states * states].reshape(states, states) + 1e-3
-    start, totals, ends, once = sums[states * states :].reshape(4, states)
-    return Chain(
+    start, totals, ends, once = sums[states * states : -1].reshape(4, states)
+    after = Chain(
         start=(start + 1) / (start + 1).sum(),
         move=moves / moves.sum(1, keepdims=True),
         totals=totals, ends=ends, once=once,
         tokens=chain.tokens, words=chain.words, docs=chain.docs,
     )
+    return after, float(sums[-1])

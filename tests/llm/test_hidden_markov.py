@@ -103,6 +103,23 @@ def test_more_rounds_raise_the_training_likelihood(given):
     assert total[1] > total[0]
 
 
+def test_rounds_go_on_until_the_training_likelihood_levels_off(given, monkeypatch):
+    seen, updated = [], hmm._updated
+
+    def noted(chain, learned, states):
+        out = updated(chain, learned, states)
+        seen.append(out[1] / chain.tokens)
+        return out
+
+    docs = given("documents")
+    one = sum(r.score for r in hmm.score(docs, rounds=1).collect() if not r.held_out)
+    monkeypatch.setattr(hmm, "_updated", noted)
+    whole = sum(r.score for r in hmm.score(docs).collect() if not r.held_out)
+    assert whole > one
+    gains = np.diff(seen)
+    assert len(gains) and (gains[:-1] >= hmm.TOLERANCE).all() and gains[-1] < hmm.TOLERANCE
+
+
 def test_awkward_rows(awkward, nothing, make):
     check(awkward, hmm.score(awkward))
     assert hmm.score(nothing).collect() == []
