@@ -32,7 +32,13 @@ HEX = re.compile(r"[0-9a-f]+")
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
-PEM = re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----\s[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----")
+# Breaks may be written as the escapes \r and \n, as in code and JSON. Lines "Name: value" may come first.
+_BREAK = r"(?:\s|\\+[rn])"
+_HEADER = rf"[A-Za-z][A-Za-z0-9-]*+:(?:[^\r\n\\-]|-(?!----)|\\(?!\\*[rn]))*+{_BREAK}++"
+_BODY = r"(?:[A-Za-z0-9+/=\s]++|\\+[rn/])*+"
+PEM = re.compile(
+    rf"-----BEGIN [A-Z ]{{0,20}}PRIVATE KEY-----{_BREAK}++(?:{_HEADER})*+{_BODY}-----END [A-Z ]{{0,20}}PRIVATE KEY-----"
+)
 
 ASSIGN_KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 GITHUB_KEYWORDS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")

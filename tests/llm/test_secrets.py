@@ -1,4 +1,5 @@
 import hashlib
+import json
 import re
 import zlib
 
@@ -53,6 +54,24 @@ def test_added_kinds_need_their_checksum():
     assert [s[0] for s in secrets.find(pem)] == ["pem"]
 
 
+def test_private_keys_with_header_lines_and_escaped_breaks():
+    body = "MIIEpAIBAAKCAQEA7/x+\nAbCd0123==\n"
+    plain = f"-----BEGIN RSA PRIVATE KEY-----\n{body}-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F1E\n\n"
+    headed = plain.replace("\n", "\n" + headers, 1)
+    for key in (plain, headed, headed.replace("\n", "\r\n")):
+        written = key.replace("\r", "\\r").replace("\n", "\\n")
+        for text in (key, written, written.replace("\\", "\\\\"), json.dumps({"k": key}), key.replace("/", "\\/")):
+            text = f'x "{text}" y'
+            spans = [(a, b) for k, a, b in secrets.find(text) if k == "pem"]
+            assert spans == [(text.index("-----BEGIN"), text.rindex("-----") + 5)], text
+            assert "MIIE" not in secrets.redact(text)
+    assert not [s for s in secrets.find(plain.replace("MIIE", "no: key, but words -----\n")) if s[0] == "pem"]
+    assert not [s for s in secrets.find(headed.replace("-----END", "----END")) if s[0] == "pem"]
+    many = "A: -----BEGIN PRIVATE KEY-----\n" * 20_000
+    assert secrets.find(many) == []
+
+
 def test_redaction_merges_overlaps():
     assert secrets.redact("a secret=0123456789abcdef b") == "a [assign] b"
     assert secrets.redact(None) is None and secrets.redact("plain") == "plain"
