@@ -520,7 +520,18 @@ def _slices(batch: pa.RecordBatch):
         yield batch.slice(start)
 
 
-def _sample_batches(path: str, k: int, seed: int, sharpness: float, columns: list[str]):
+def _decodes(texts: pa.Array, drawn: list, v: Vocabulary) -> pa.Array:
+    """Whether the pieces of each sample give the row's text, but for U+2581, which gives a blank."""
+    out = []
+    for text, own in zip(texts.to_pylist(), drawn, strict=True):
+        want = (text or "").replace(BLANK, " ")
+        out += [v.decode(s[0].tolist()) == want for s in own]
+    return pa.array(out, pa.bool_())
+
+
+def _sample_batches(path: str, k: int, seed: int, sharpness: float, columns: list[str], check: bool):
+    names = [*columns, "sample", "ids", "log_prob", "log_inclusion", *(["decodes"] if check else [])]
+
     def run(batches):
         for whole in batches:
             for batch in _slices(whole):
@@ -533,7 +544,8 @@ def _sample_batches(path: str, k: int, seed: int, sharpness: float, columns: lis
                 kept = [c.take(pa.array(at)) for c in batch.columns[2:]]
                 ranks = pa.array([r + 1 for d in drawn for r in range(len(d))], pa.int32())
                 numbers = [pa.array([s[i] for s in flat], pa.float64()) for i in (1, 2)]
-                yield pa.RecordBatch.from_arrays([*kept, ranks, ids, *numbers], [*columns, "sample", "ids", "log_prob", "log_inclusion"])
+                held = [_decodes(batch.column(1), drawn, vocabulary(path, sharpness))] if check else []
+                yield pa.RecordBatch.from_arrays([*kept, ranks, ids, *numbers, *held], names)
 
     return run
 
@@ -546,6 +558,7 @@ def sampled(
     key: str = "doc_id",
     seed: int = SEED,
     sharpness: float = SHARPNESS,
+    check: bool = False,
 ) -> DataFrame:
     """Distinct sampled segmentations of each row's text, at most ``k``, without replacement.
 
@@ -553,6 +566,7 @@ def sampled(
     log_prob and log_inclusion: the logarithms of the segmentation's probability and of the
     chance that its value exceeds the largest one not taken. Texts with fewer segmentations
     give all of them, each with inclusion 1. Null and empty texts have one, without pieces.
+    With ``check`` every sample is decoded, and ``decodes`` says whether that is the text.
     Rows with equal keys and texts get equal samples, on every run and partitioning. The
     model file must be at the same path on every machine.
     """
@@ -564,10 +578,12 @@ def sampled(
     )
     fields = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True))
     schema = f"{fields}, sample int, ids array<int>, log_prob double, log_inclusion double"
-    out = chosen.mapInArrow(_sample_batches(model_path, k, seed, sharpness, names), schema)
+    schema += ", decodes boolean" if check else ""
+    out = chosen.mapInArrow(_sample_batches(model_path, k, seed, sharpness, names, check), schema)
     return out.select(
-        *[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "sample", "ids", "log_prob", "log_inclusion"
-    )
+        *[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], "sample", "ids", "log_prob", "log_inclusion",
+        *(["decodes"] if check else []),
+    )
 
 
 def decoded(frame: DataFrame, model_path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:

@@ -32,12 +32,12 @@ def tokenizer(name: str) -> str:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer("piece_bpe_32k.model")
-    drawn = pieces.sampled(given(spark, sf_dir, "documents"), model, SAMPLES, ["doc_id"])
+    drawn = pieces.sampled(given(spark, sf_dir, "documents"), model, SAMPLES, ["doc_id"], check=True)
     return drawn.select(
         "doc_id", "sample",
         F.size("ids").cast("long").alias("n_pieces"),
         F.xxhash64("ids").alias("ids_hash"),
-        "log_prob", "log_inclusion",
+        "log_prob", "log_inclusion", "ids", "decodes",
     )
 
 

@@ -2,9 +2,11 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from conftest import SF_DIR
 
-from lakeload.llm import pieces
+from lakeload.llm import pieces, queries
 from lakeload.llm.queries import tokenizer
 
 MODEL = tokenizer("piece_bpe_32k.model")
@@ -79,6 +81,20 @@ def test_round_trip_and_repeatability(given, vocabulary):
     assert all(r.log_prob <= 1e-6 and r.log_inclusion <= 1e-6 for r in back)
 
 
+def test_the_query_returns_ids_and_decodes_every_sample(spark, given, vocabulary):
+    texts = {r.doc_id: r.text for r in given("documents").collect()}
+    got = queries.op1_sentencepiece(spark, SF_DIR).collect()
+    assert {r.doc_id for r in got} == set(texts) and all(r.decodes for r in got)
+    assert all(r.n_pieces == len(r.ids) and vocabulary.decode(r.ids) == (texts[r.doc_id] or "").replace("▁", " ") for r in got)
+
+
+def test_a_sample_that_does_not_give_the_text_is_reported(vocabulary):
+    texts = ["one two", "one two", None, "a ▁"]
+    drawn = [s[:1] for s in pieces.sample(texts, [1, 2, 3, 4], MODEL, 1)]
+    drawn[1] = [(drawn[1][0][0][:-1], *drawn[1][0][1:])]
+    assert pieces._decodes(pa.array(texts), drawn, vocabulary).to_pylist() == [True, False, True, True]
+
+
 def test_awkward_rows(awkward, nothing):
     kept = pieces.sampled(awkward, MODEL, 2, ["doc_id", "text", "key"])
     back = pieces.decoded(kept, MODEL).collect()
