@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -100,6 +101,23 @@ def test_search_against_all_pairs(vectors, monkeypatch, block_rows):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(vectors.collect(), lambda i: i % 5 == 0)
 
 
+@pytest.mark.parametrize("top", [2.0**50, 3e38, 1.5e308])
+def test_large_components_are_exact(spark, monkeypatch, top):
+    monkeypatch.setattr(top_products, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(top_products, "STRIP_ROWS", 7)
+    rng = np.random.default_rng(8)
+    rows = [(0, [1.0 / 1024, 0.0]), (1, [2.0**44, 0.0]), (2, [2.0**44 + 2**-8, 0.0]), (3, [2.0**43, 0.0]), (4, [0.0, 0.0])]
+    rows += [(5 + i, [float(x) for x in rng.choice([-1, 1], 2) * top * rng.random(2)]) for i in range(60)]
+    rows += [(100 + i, [top, -top * (1 - i * 2**-40)]) for i in range(12)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [[math.floor(Fraction(x) * 1024) for x in v] for _, v in rows]
+    want = []
+    for (i, _), q in zip(rows, ints):
+        scores = sorted((-sum(a * b for a, b in zip(q, x)), c) for (c, _), x in zip(rows, ints) if c != i)[:10]
+        want += [(i, n, c, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, c) in enumerate(scores, 1)]
+    assert sorted(tuple(r) for r in top_products.search(frame, frame).collect()) == sorted(want)
+
+
 def test_search_of_the_given_vectors(given):
     rows = given("embeddings")
     got = top_products.search(rows, rows.where("vec_id % 100 = 0"))
