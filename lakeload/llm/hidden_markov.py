@@ -41,7 +41,8 @@ BLOCK_CHARS = 32_000_000
 GROUP_TOKENS = 1_000_000  # that are run side by side
 LETTERS = 32
 SLICE_ROWS = 2000  # texts whose words are split side by side
-START_POINTS = 400  # documents that starting centres are chosen from
+START_ROUNDS = 4  # that draw candidates for the centres from all documents
+START_POINTS = 64  # candidates of each round
 
 
 def _profile(text: str | None) -> np.ndarray:
@@ -125,34 +126,80 @@ def _cluster(profiles: bytes, centres: np.ndarray) -> np.ndarray:
     return ((points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)).argmin(1)
 
 
-def _first_points(batches):
-    """Of each block, the documents with the least hashes of id and letters."""
-    for batch in batches:
-        for ids, profiles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            points = np.frombuffer(profiles, np.float32).reshape(-1, LETTERS)
-            order = sorted(
-                (xxhash.xxh3_64_intdigest(repr(i).encode() + p.tobytes()) >> 1, k)
-                for k, (i, p) in enumerate(zip(ids, points, strict=True))
-            )[:START_POINTS]
-            at = [k for _, k in order]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([h for h, _ in order], pa.int64()), pa.array([points[k].tobytes() for k in at], pa.binary())],
-                ["hash", "point"],
-            )
+def _gaps(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances to the nearest centre; rounding leaves no distance to the centre itself."""
+    squares = (points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)
+    least = squares.min(1)
+    return np.where(least < 1e-5, 0, least)
+
+
+def _candidates(centres: np.ndarray | None, turn: int):
+    """Of each block, the documents with the least keys.
+
+    A key is a draw from an exponential law whose rate is the squared distance to the nearest
+    centre. The least keys of all blocks are so a sample of all documents without
+    replacement, in proportion to those distances. Draws are hashes of id and letters.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for ids, profiles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                points = np.frombuffer(profiles, np.float32).reshape(-1, LETTERS)
+                seeds = [
+                    xxhash.xxh3_64_intdigest(repr(i).encode() + p.tobytes(), seed=turn)
+                    for i, p in zip(ids, points, strict=True)
+                ]
+                draws = -np.log((np.array(seeds, np.uint64) + 0.5) / 2.0**64)
+                rates = np.ones(len(points)) if centres is None else _gaps(points, centres)
+                keys = np.full(len(points), np.inf)
+                np.divide(draws, rates, out=keys, where=rates > 0)
+                at = [k for k in np.argsort(keys, kind="stable")[:START_POINTS] if keys[k] < np.inf]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[at], pa.float64()), pa.array([points[k].tobytes() for k in at], pa.binary())],
+                    ["key", "point"],
+                )
+
+    return run
+
+
+def _drawn(blocks: DataFrame, centres: np.ndarray | None, turn: int, limit: int) -> np.ndarray:
+    rows = blocks.select("doc_ids", "profiles").mapInArrow(_candidates(centres, turn), "key double, point binary")
+    rows = rows.orderBy("key", "point").limit(limit).collect()
+    points = [np.frombuffer(r.point, np.float32) for r in rows]
+    return np.stack(points) if points else np.empty((0, LETTERS), np.float32)
+
+
+def _weights(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """Documents by the nearest centre."""
+
+    def run(batches):
+        for batch in batches:
+            for profiles in batch.column(0).to_pylist():
+                counts = np.bincount(_cluster(profiles, centres), minlength=len(centres))
+                yield pa.RecordBatch.from_pydict({"at": np.arange(len(counts)), "n": counts})
+
+    out = np.zeros(len(centres))
+    rows = blocks.select("profiles").mapInArrow(run, "at long, n long")
+    for r in rows.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r["n"]
+    return out
 
 
 def starting_centres(blocks: DataFrame, states: int) -> np.ndarray:
-    """Centres of letter frequencies: some documents far apart, then moved by all documents."""
-    chosen = blocks.select("doc_ids", "profiles").mapInArrow(_first_points, "hash long, point binary")
-    row = chosen.orderBy("hash", "point").limit(START_POINTS).collect()
-    if not row:
+    """Centres of letter frequencies (k-means||): far ones of all documents, then moved by all."""
+    chosen = _drawn(blocks, None, 0, 1)
+    if not len(chosen):
         return np.zeros((states, LETTERS), np.float32)
-    points = np.stack([np.frombuffer(r.point, np.float32) for r in row])
-    # Outliers are not the far ones wanted: of the gaps, a high quantile is taken.
-    centres = [points[0]]
+    for turn in range(1, START_ROUNDS + 1):
+        more = _drawn(blocks, chosen, turn, START_POINTS)
+        if not len(more):
+            break
+        chosen = np.concatenate([chosen, more])
+    # A candidate counts by the documents next to it, so single outliers are not chosen.
+    weights = _weights(blocks, chosen)
+    centres = [chosen[int(weights.argmax())]]
     while len(centres) < states:
-        gaps = np.min([((points - c) ** 2).sum(1) for c in centres], 0)
-        centres.append(points[int(np.argsort(gaps, kind="stable")[int(0.95 * (len(gaps) - 1))])])
+        centres.append(chosen[int((weights * _gaps(chosen, np.stack(centres))).argmax())])
     centres = np.stack(centres).astype(np.float32)
     for _ in range(STARTS):
         now = centres

@@ -120,6 +120,17 @@ def test_rounds_go_on_until_the_training_likelihood_levels_off(given, monkeypatc
     assert len(gains) and (gains[:-1] >= hmm.TOLERANCE).all() and gains[-1] < hmm.TOLERANCE
 
 
+def test_a_rare_kind_of_text_can_be_a_starting_state(make):
+    rng = np.random.default_rng(5)
+    word = lambda letters: "".join(rng.choice(list(letters), 6))
+    rows = [(i, " ".join(word("abcdefghijklmnopqr") for _ in range(12))) for i in range(6_000)]
+    rows += [(10_000 + i, " ".join(word("漢字仮名交") for _ in range(12))) for i in range(6)]
+    blocks = make(rows).selectExpr("doc_id", "text", "false AS held_out").mapInArrow(hmm._blocks, hmm._BLOCK)
+    centres = hmm.starting_centres(hmm.saved(blocks, "test-blocks"), 3)
+    rare = hmm._profile(rows[-1][1])
+    assert ((centres - rare) ** 2).sum(1).min() < 0.1
+
+
 def test_awkward_rows(awkward, nothing, make):
     check(awkward, hmm.score(awkward))
     assert hmm.score(nothing).collect() == []
