@@ -1,12 +1,15 @@
+import os
 import re
 
 import pytest
-from conftest import ROOT
 from pyspark.sql import types as T
 
 from lakeload.plans.schemas import Registry, data_type, declared_not_null, tpcds
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 def documented():
     """The tables of FIXTURES.md: name, then (column, type, nullable) in order."""
     text = open(f"{ROOT}/FIXTURES.md").read()
