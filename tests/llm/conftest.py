@@ -2,19 +2,11 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-# Names that operators use inside; they must not mind them in their input.
-CLASHES = (
-    "size", "source_size", "target", "hash", "group", "row", "slot", "shard", "digest", "n", "unit", "key",
-    "spans", "label", "score", "statistics", "content", "ids", "sample", "block", "_of", "_times", "_id", "_first",
-)
+from llm_samples import AWKWARD, CLASHES, DOCS, SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -42,21 +34,6 @@ def make(spark):
     return table
 
 
-LONG = "tall tree " * 60_000 + "x" * 50_000
-AWKWARD = [
-    (1, "one two three four five six"),
-    (2, "one two three four five six"),
-    (2, "one two three four five six"),
-    (3, ""),
-    (4, None),
-    (None, "one two three four five six"),
-    (5, " \t\n "),
-    (6, "é ß 漢字 🙂 \u0000 ▁ a  b\r\n "),
-    (7, LONG),
-    (8, "one"),
-]
-
-
 @pytest.fixture(scope="session")
 def awkward(make):
     """Nulls, empty and very long texts, repeated rows, null and repeated ids."""
@@ -66,7 +43,3 @@ def awkward(make):
 @pytest.fixture(scope="session")
 def nothing(make):
     return make([])
-
-
-def rows(frame) -> list[Row]:
-    return frame.collect()

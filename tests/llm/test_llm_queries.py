@@ -3,7 +3,7 @@
 import __spark_entry__ as driver
 import oracle
 import pytest
-from conftest import SF_DIR
+from llm_samples import SF_DIR
 from lakeload.llm import queries
 
 COLUMNS = {

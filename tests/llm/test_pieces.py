@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF_DIR
+from llm_samples import SF_DIR
 
 from lakeload.llm import pieces, queries
 from lakeload.llm.queries import tokenizer

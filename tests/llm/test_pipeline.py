@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from conftest import AWKWARD, SF_DIR
+from llm_samples import AWKWARD, SF_DIR
 from lakeload.llm import mixing, pieces, quality, secrets
 from lakeload.llm.queries import tokenizer
 from test_near_sets import brute
