@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeload import scratch
 
 from . import (
+    bisectors,
     hidden_markov,
     mixing,
     near_sets,
@@ -82,6 +83,10 @@ def op10_near_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_sets.near_classes(given(spark, sf_dir, "documents"))
 
 
+def op11_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster(given(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -94,6 +99,7 @@ def queries() -> dict:
         "op8_secrets": op8_secrets,
         "op9_token_counts": op9_token_counts,
         "op10_near_sets": op10_near_sets,
+        "op11_bisector_clusters": op11_bisector_clusters,
     }
 
 

@@ -1,5 +1,7 @@
 """DuckDB SQL with the results of those operators that SQL can express."""
 
+from .sql_clusters import clusters
+
 # The inner products of all pairs of a query and a candidate, in integers.
 TOP_PRODUCTS = """
 WITH v AS (
@@ -17,4 +19,7 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLES = {"op3_top_products": TOP_PRODUCTS}
+ORACLES = {
+    "op3_top_products": TOP_PRODUCTS,
+    "op11_bisector_clusters": clusters(),
+}
