@@ -19,6 +19,7 @@ from . import (
     sharding,
     token_counts,
     top_products,
+    warc,
 )
 from .common import given
 
@@ -87,6 +88,12 @@ def op11_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisectors.cluster(given(spark, sf_dir, "embeddings"))
 
 
+def op13_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch.new_dir(spark, "warc")
+    warc.write_archives(given(spark, sf_dir, "pages"), path)
+    return warc.page_captures(warc.captures(warc.read_records(spark, path), payloads=False))
+
+
 def queries() -> dict:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -100,6 +107,7 @@ def queries() -> dict:
         "op9_token_counts": op9_token_counts,
         "op10_near_sets": op10_near_sets,
         "op11_bisector_clusters": op11_bisector_clusters,
+        "op13_warc_captures": op13_warc_captures,
     }
 
 

@@ -19,7 +19,26 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+# Base 32 is taken 20 bits, five hexadecimal digits, at a time.
+WARC_CAPTURES = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, payload, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
+    max(page_id) OVER (PARTITION BY payload) AS top
+  FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31 AS BIGINT) + 1, 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM d
+"""
+
 ORACLES = {
     "op3_top_products": TOP_PRODUCTS,
     "op11_bisector_clusters": clusters(),
+    "op13_warc_captures": WARC_CAPTURES,
 }
