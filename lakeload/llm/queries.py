@@ -9,6 +9,7 @@ from lakeload import scratch
 
 from . import (
     bisectors,
+    collocations,
     hidden_markov,
     mixing,
     near_sets,
@@ -88,6 +89,10 @@ def op11_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisectors.cluster(given(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(given(spark, sf_dir, "documents"))
+
+
 def op13_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.new_dir(spark, "warc")
     warc.write_archives(given(spark, sf_dir, "pages"), path)
@@ -107,6 +112,7 @@ def queries() -> dict:
         "op9_token_counts": op9_token_counts,
         "op10_near_sets": op10_near_sets,
         "op11_bisector_clusters": op11_bisector_clusters,
+        "op12_collocations": op12_collocations,
         "op13_warc_captures": op13_warc_captures,
     }
 

@@ -37,8 +37,47 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
 FROM d
 """
 
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang
+), grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+  FROM worded CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS size)
+), f AS (
+  SELECT lang, size, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, size, phrase HAVING count(*) >= 30
+), cuts AS (
+  SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM f WHERE size > 1
+), scores AS (
+  SELECT cuts.lang, cuts.size, cuts.phrase, cuts.a, cuts.w, k, l.a AS l, r.a AS r,
+    CAST(CAST(2000000 AS HUGEINT) * cuts.a // (l.a + r.a) AS BIGINT) AS score
+  FROM cuts
+    JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(cuts.w[1 : k], ' ')
+    JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(cuts.w[k + 1 : cuts.size], ' ')
+), candidates AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, a, array_to_string(w[i : i + s - 1], ' ') AS phrase
+  FROM candidates, (SELECT unnest([2, 3]) AS s), (SELECT unnest([1, 2, 3]) AS i)
+  WHERE s < size AND i + s - 1 <= size
+), kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts p WHERE p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.a >= 80 * c.a)
+)
+SELECT kept.lang AS lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) kept
+  JOIN sizes ON sizes.lang = kept.lang
+WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op3_top_products": TOP_PRODUCTS,
     "op11_bisector_clusters": clusters(),
+    "op12_collocations": COLLOCATIONS,
     "op13_warc_captures": WARC_CAPTURES,
 }
