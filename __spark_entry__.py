@@ -221,6 +221,28 @@ def load_layout(spark, sf_dir):
     return catalog.read_table(spark, spec.table_name("orders"))
 
 
+def scan_quoted(spark, sf_dir):
+    """Documents, whose texts hold line breaks, from text that is read in splits."""
+    rows = given(spark, sf_dir, "documents")
+    layout = delimited.Layout(quoted_breaks=True, options={"maxCharsPerColumn": "-1"})
+    path = f"{scratch.new_dir(spark, 'quoted')}/documents.dat"
+    delimited.write_delimited(rows, path, layout)
+    return delimited.scan(spark, path, rows.schema, layout)
+
+
+def load_quoted(spark, sf_dir):
+    """Customers whose names break in the middle, loaded strictly, nothing rejected."""
+    rows = given(spark, sf_dir, "customer").withColumn("c_name", F.regexp_replace("c_name", "#", '"\n|#'))
+    layout = delimited.Layout(quoted_breaks=True)
+    root = scratch.new_dir(spark, "quoted")
+    delimited.write_delimited(rows, f"{root}/customer.dat", layout)
+    spec = new_spec(
+        spark, root, Registry({"customer": rows.schema}), layout=layout, malformed="fail", split_bytes=1 << 16
+    )
+    load_table(spark, "customer", spec)
+    return catalog.read_table(spark, spec.table_name("customer"))
+
+
 def reconcile_exact(spark, sf_dir):
     """One table against itself, all rows compared, and against one with rows changed."""
     rows = given(spark, sf_dir, "customer")
@@ -562,6 +584,8 @@ def loader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_external": load_external,
         "load_external_two": load_external_two,
         "load_layout": load_layout,
+        "scan_quoted": scan_quoted,
+        "load_quoted": load_quoted,
         "reconcile_exact": reconcile_exact,
         "load_replace": load_replace,
         "load_all": load_all_tables,
@@ -663,6 +687,8 @@ def loader_sql() -> dict[str, str]:
             f" SELECT *, 'urgent' FROM orders WHERE {urgent}"
         ),
         "load_layout": "SELECT * FROM orders",
+        "scan_quoted": "SELECT * FROM documents",
+        "load_quoted": "SELECT * REPLACE (replace(c_name, '#', '\"' || chr(10) || '|#') AS c_name) FROM customer",
         "reconcile_exact": (
             f"SELECT 'same' AS table_name, {same} FROM customer UNION ALL SELECT 'changed',"
             f" count(*), count(*), {building}, {building} FROM customer"

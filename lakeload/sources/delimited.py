@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeload.sources import quoted
+
 PAD = "_pad"
 BAD = "_bad"
 LINE = "_line"
@@ -33,11 +35,16 @@ NO_SEPARATOR = "\u0001\u0002\u0001\u0002"
 
 @dataclass(frozen=True)
 class Layout:
-    """How the text is written."""
+    """How the text is written.
+
+    ``quoted_breaks``: values in quotes may hold line breaks. Records are then cut with regard
+    to quotes, which reads the text once more; files still split over tasks.
+    """
 
     separator: str = "|"
     trailing_separator: bool = True
     encoding: str = "UTF-8"
+    quoted_breaks: bool = False
     options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -46,6 +53,11 @@ class Layout:
             raise ValueError(f"options {sorted(refused)} are set by the layout or not supported")
         if self.encoding.upper().startswith(("UTF-16", "UTF-32")):
             raise ValueError("lines are split on single bytes; convert the files to UTF-8 first")
+        if self.quoted_breaks and self.line_options():
+            raise ValueError(f"with quoted_breaks, {sorted(self.line_options())} are not supported")
+
+    def option(self, name: str, default: str) -> str:
+        return next((v for k, v in self.options.items() if k.lower() == name), default)
 
     def reader_options(self) -> dict[str, str]:
         return {"sep": self.separator, **self.options}
@@ -70,6 +82,8 @@ def scan(
     The files are read line by line, so one large file splits over many tasks.
     """
     layout = layout or Layout()
+    if layout.quoted_breaks:
+        return parse(spark, path, schema, layout).select(*[f"`{c}`" for c in schema.names])
     return (
         spark.read.schema(_declared(schema, layout))
         .options(**layout.reader_options(), encoding=layout.encoding)
@@ -98,7 +112,9 @@ def parse(
     options["columnNameOfCorruptRecord"] = BAD
 
     line = F.col("value")
-    if by_line:
+    if layout.quoted_breaks:
+        files = _quoted_records(spark, path, layout)
+    elif by_line:
         # The CSV reader itself leaves out headers and comments; each line is one field.
         raw = {**by_line, "sep": NO_SEPARATOR, "quote": "", "encoding": layout.encoding}
         files = spark.read.schema("value string").options(**raw).csv(path)
@@ -120,6 +136,19 @@ def parse(
     return parsed.select(*[f"`{c}`" for c in schema.names], LINE, malformed.alias(MALFORMED))
 
 
+def _quoted_records(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
+    utf8 = layout.encoding.upper() == "UTF-8"
+    found = quoted.records(
+        spark,
+        path,
+        layout.separator,
+        layout.option("quote", quoted.QUOTE),
+        layout.option("escape", quoted.ESCAPE),
+        (lambda line: line) if utf8 else (lambda line: F.decode(line.cast("binary"), layout.encoding)),
+    )
+    return found.withColumnRenamed("record", "value")
+
+
 def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col(MALFORMED)).drop(LINE, MALFORMED)
 
@@ -133,12 +162,12 @@ def write_delimited(df: DataFrame, path: str, layout: Layout | None = None) -> N
     """Write rows in the layout ``scan`` reads, for staging and tests.
 
     Strings keep their blanks. A string with a line break would become two lines, so it
-    fails the write.
+    fails the write unless the layout allows breaks in quotes.
     """
     layout = layout or Layout()
     broken = F.raise_error(F.lit("a value holds a line break and can't be written as a line"))
     for f in df.schema:
-        if isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, T.StringType) and not layout.quoted_breaks:
             value = F.col(f"`{f.name}`")
             df = df.withColumn(f.name, F.when(value.rlike("[\\r\\n]"), broken).otherwise(value))
     if layout.trailing_separator:
