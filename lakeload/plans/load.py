@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeload.functions.columns import digest_sums
-from lakeload.operators import sinks
+from lakeload.operators import sinks, sketch
 from lakeload.operators.catalog import create_namespace, namespace_location, quoted, read_table
 from lakeload.operators.checks import (
     comparison,
@@ -319,6 +319,44 @@ def reconcile_load(
     return reconcile(source_frame(spark, table, spec), loaded, table, exact)
 
 
+def keep_sketch(spark: SparkSession, table: str, spec: LoadSpec, result: LoadResult) -> str:
+    """Store a sketch of the source beside its loaded table; returns the sketch's name.
+
+    The table is read in place of the text: its digest must be the one the load observed as
+    it parsed the source, so both hold the same rows and have the same sketch.
+    """
+    loaded = read_table(spark, spec.table_name(table))
+    if not result.digest or table_digest(loaded) != (result.row_count, result.digest):
+        raise BadRows(f"{table} is not what its load observed, or no digest was observed")
+    name = spec.sketch_name(table)
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    path = sinks.version_path(namespace_location(spark, spec.namespace), f"{table}__sketch")
+    path = None if spec.format in sinks.TABLE_FORMATS else path
+    sinks.create_as_select(sketch.sketch(loaded).coalesce(1), name, spec.format, spec.options, path)
+    return name
+
+
+def sketch_differences(spark: SparkSession, table: str, spec: LoadSpec) -> sketch.Differences | None:
+    """The rows by which a table has come to differ from its source, as hashes; None if too many."""
+    kept = read_table(spark, spec.sketch_name(table)).collect()
+    now = sketch.sketch(read_table(spark, spec.table_name(table))).collect()
+    return sketch.decode(kept, now)
+
+
+def reconcile_sketch(spark: SparkSession, table: str, spec: LoadSpec) -> DataFrame:
+    """``reconcile_load`` from the stored sketch: the table is read once, the text not at all.
+
+    Differences too many to come out of the sketch are counted from the text.
+    """
+    kept = read_table(spark, spec.sketch_name(table)).collect()
+    now = sketch.sketch(read_table(spark, spec.table_name(table))).collect()
+    found = sketch.decode(kept, now)
+    if found is None:
+        return reconcile_load(spark, table, spec)
+    totals = [sketch.row_total(cells) for cells in (kept, now)]
+    return comparison(spark, table, *totals, found.missing, found.extra)
+
+
 def reconcile_all(
     spark: SparkSession,
     spec: LoadSpec,

@@ -136,3 +136,6 @@ class LoadSpec:
 
     def rejects_name(self, table: str) -> str:
         return f"{self.namespace}.{table}__rejects"
+
+    def sketch_name(self, table: str) -> str:
+        return f"{self.namespace}.{table}__sketch"

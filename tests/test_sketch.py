@@ -1,0 +1,101 @@
+"""Differences that come out of two sketches, against counts of the rows themselves."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeload.operators import catalog, sinks, sketch
+from lakeload.plans.load import BadRows, keep_sketch, load_table, reconcile_sketch, sketch_differences
+from lakeload.plans.schemas import Registry
+from lakeload.plans.spec import LoadSpec
+from lakeload.sources import delimited
+
+SCHEMA = "k bigint, v string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def decoded(first, second, cells=300):
+    return sketch.decode(*[sketch.sketch(t, cells).collect() for t in (first, second)], cells)
+
+
+def test_differences_with_copies_and_nulls(spark):
+    rows = [(i, f"v{i}") for i in range(3000)] + [(None, None)] * 5 + [(None, "a")] * 3 + [(7, None)] * 9
+    changed = rows[20:] + [(None, None)] * 40 + [(1, "new")] * 2 + [(10_000 + i, "x") for i in range(30)]
+    changed.remove((7, None))
+    found = decoded(table(spark, rows), table(spark, changed))
+    missing, extra = Counter(rows) - Counter(changed), Counter(changed) - Counter(rows)
+    assert (found.missing, found.extra) == (missing.total(), extra.total())
+    named = sketch.rows_of(table(spark, sorted(extra, key=str)), found).collect()
+    assert {(r.k, r.v): -r.surplus for r in named} == dict(extra)
+
+
+@pytest.mark.parametrize("count", [0, 1, 60, 200])
+def test_as_many_as_stated_come_out(spark, count):
+    rows = [(i, "x") for i in range(2000)]
+    found = decoded(table(spark, rows), table(spark, rows[count:]))
+    assert found is not None and (found.missing, found.extra) == (count, 0)
+
+
+def test_too_many_differences_give_none(spark):
+    rows = [(i, "x") for i in range(2000)]
+    assert decoded(table(spark, rows), table(spark, [])) is None
+    empty = decoded(table(spark, []), table(spark, []))
+    assert empty.surplus == {}
+
+
+def test_row_total(spark):
+    rows = [(i % 50, "x") for i in range(2000)]
+    assert sketch.row_total(sketch.sketch(table(spark, rows), 300).collect(), 300) == 2000
+
+
+def test_places_are_the_same_in_both_forms(spark):
+    rng = random.Random(3)
+    pairs = [(rng.getrandbits(64) - 2**63, rng.getrandbits(64) - 2**63) for _ in range(200)]
+    pairs += [(-(2**63), 2**63 - 1), (0, 0), (-1, -1)]
+    frame = spark.createDataFrame(pairs, "a bigint, b bigint")
+    got = frame.select("a", "b", F.array(*sketch._places(F.col("a"), F.col("b"), 101)).alias("at")).collect()
+    assert all(r.at == sketch._cells_of(r.a, r.b, 101) for r in got)
+
+
+def test_nested_columns_are_refused(spark):
+    with pytest.raises(sketch.Unsuitable):
+        sketch.sketch(spark.sql("SELECT array(1) AS a"))
+
+
+@pytest.fixture
+def loaded(spark, namespace, tmp_path):
+    rows = spark.range(500).selectExpr("id AS k", "concat('v', id) AS v")
+    delimited.write_delimited(rows, str(tmp_path / "t.dat"))
+    spec = LoadSpec(data_root=str(tmp_path), namespace=namespace, registry=Registry({"t": rows.schema}), digest=True)
+    return spec, load_table(spark, "t", spec)
+
+
+def test_a_changed_table_is_compared_without_its_text(spark, loaded, tmp_path):
+    spec, result = loaded
+    keep_sketch(spark, "t", spec, result)
+    (tmp_path / "t.dat").rename(tmp_path / "elsewhere")
+    assert tuple(reconcile_sketch(spark, "t", spec).head()) == ("t", 500, 500, 0, 0)
+    sinks.write_path(catalog.read_table(spark, spec.table_name("t")).where("k > 6"), str(tmp_path / "new"))
+    sinks.point_table_at(spark, spec.table_name("t"), str(tmp_path / "new"), "parquet")
+    assert tuple(reconcile_sketch(spark, "t", spec).head()) == ("t", 500, 493, 7, 0)
+    assert sketch_differences(spark, "t", spec).missing == 7
+
+
+def test_a_sketch_is_only_kept_of_what_was_loaded(spark, loaded, tmp_path):
+    spec, result = loaded
+    sinks.write_path(catalog.read_table(spark, spec.table_name("t")).where("k > 0"), str(tmp_path / "new"))
+    sinks.point_table_at(spark, spec.table_name("t"), str(tmp_path / "new"), "parquet")
+    with pytest.raises(BadRows):
+        keep_sketch(spark, "t", spec, result)
+
+
+def test_too_many_differences_are_counted_from_the_text(spark, loaded, tmp_path, monkeypatch):
+    spec, result = loaded
+    keep_sketch(spark, "t", spec, result)
+    monkeypatch.setattr(sketch, "decode", lambda *_: None)
+    assert tuple(reconcile_sketch(spark, "t", spec).head()) == ("t", 500, 500, 0, 0)
