@@ -437,7 +437,27 @@ def _inventory_root(spark, sf_dir) -> str:
 
 
 def file_inventory(spark, sf_dir):
-    return files.prefix_sizes(spark, _inventory_root(spark, sf_dir))
+    """Bytes of text files by folder: each file's line is as long as SQL says, plus its end."""
+    return files.prefix_sizes(spark, _text_root(spark, sf_dir)).select("prefix", "total_bytes")
+
+
+def _text_root(spark, sf_dir) -> str:
+    """Parts as text, a folder for each brand, which are folders for each size."""
+    root = scratch.new_dir(spark, "text")
+    rows = given(spark, sf_dir, "part").select(
+        F.translate("p_brand", "#", "-").alias("brand"),
+        F.col("p_size").alias("size"),
+        F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name").alias("value"),
+    )
+    rows.repartition("brand", "size").write.partitionBy("brand", "size").text(root)
+    return root
+
+
+def list_keys(spark, sf_dir):
+    """The folders of one brand's files, by their keys."""
+    keys = files.list_keys(spark, _text_root(spark, sf_dir), "brand=Brand-11")
+    folder = F.regexp_extract("key", "^(.*)/[^/]*$", 1).alias("folder")
+    return keys.groupBy(folder).agg(F.sum("length").alias("total_bytes"))
 
 
 def list_prefixes(spark, sf_dir):
@@ -618,6 +638,7 @@ def loader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_rejects": load_rejects,
         "partition_profile": partition_profile,
         "file_inventory": file_inventory,
+        "list_keys": list_keys,
         "list_prefixes": list_prefixes,
         "not_null_check": not_null_check,
         "quarantine_good": quarantine_good,
@@ -677,6 +698,9 @@ def loader_sql() -> dict[str, str]:
     )
     building = "count(*) FILTER (WHERE c_mktsegment = 'BUILDING')"
     machinery = "count(*) FILTER (WHERE c_mktsegment = 'MACHINERY')"
+    text_bytes = (
+        "CAST(sum(octet_length(encode(p_partkey || '|' || p_name)) + 1) AS BIGINT) AS total_bytes"
+    )
     differences = (
         f"SELECT 'customer' AS table_name, count(*) AS source_rows,"
         f" count(*) - {building} + {machinery} AS table_rows,"
@@ -734,6 +758,13 @@ def loader_sql() -> dict[str, str]:
             for kind, rows in (("good", f"NOT {urgent}"), ("rejected", urgent))
         ),
         "partition_profile": "SELECT count(*) AS row_count FROM lineitem",
+        "file_inventory": (
+            f"SELECT 'brand=' || replace(p_brand, '#', '-') AS prefix, {text_bytes} FROM part GROUP BY p_brand"
+        ),
+        "list_keys": (
+            f"SELECT 'brand=' || replace(p_brand, '#', '-') || '/size=' || p_size AS folder, {text_bytes}"
+            " FROM part WHERE replace(p_brand, '#', '-') = 'Brand-11' GROUP BY p_brand, p_size"
+        ),
         "list_prefixes": (
             "SELECT DISTINCT t AS prefix FROM (SELECT 'customer' AS t FROM customer"
             " UNION ALL SELECT 'orders' FROM orders"

@@ -167,4 +167,6 @@ def test_prefixes_and_sizes(spark, tree):
 
 def test_listing_reads_no_content(spark, tree):
     plan = files.list_files(spark, tree[0])._jdf.queryExecution().executedPlan().toString()
+    assert "file_listing" in plan and "FileScan" not in plan
+    plan = files._listed_by_spark(spark, tree[0])._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
