@@ -34,7 +34,6 @@ SLACK = 4  # the capacity of a summary is so many times its mass by the threshol
 RANGE_BYTES = 8 << 20  # of text for each range of hashes
 SLICE_BYTES = 4 << 20  # of text that a task splits at a time
 FLUSH_GRAMS = 3_000_000  # that a task gathers before it counts them
-HELD_PHRASES = 200_000  # that a task counts before it hands them on
 FILTER_BITS = 16  # for each survivor
 LEAST_FILTER, MOST_FILTER = 1 << 16, 1 << 29  # bits; 64 MB at most
 FILTER_BLOCK = 1 << 16  # bits that one task sets
@@ -86,7 +85,7 @@ class Words:
         coded = words.dictionary_encode()
         self.distinct = coded.dictionary
         self.numbers = coded.indices.to_numpy(zero_copy_only=False)
-        self.piece = np.cumsum(ends, dtype=np.int64)[first]
+        self.piece = np.cumsum(ends, dtype=np.int32)[first]
         text = np.searchsorted(np.cumsum(sizes + 1), first, "right")
         known = pc.fill_null(langs, "und").dictionary_encode()
         self.langs = known.dictionary.to_pylist()
@@ -96,7 +95,7 @@ class Words:
         """For n = 1, 2, ... the hash of the n-gram that starts at each word."""
         hashed = lambda values: np.fromiter(map(xxhash.xxh3_64_intdigest, values), np.uint64, len(values))
         word = hashed(self.distinct.to_pylist())[self.numbers]
-        total = hashed(self.langs)[self.lang]
+        total = (hashed(self.langs) * _MIX[1])[self.lang]  # a language is not the word of its name
         out = []
         for n in range(LONGEST):
             own = word[n:]
@@ -121,6 +120,7 @@ def _words(batches):
     for whole in batches:
         for batch in _slices(whole):
             yield Words(batch.column(0), batch.column(1))
+            pa.default_memory_pool().release_unused()
 
 
 # --- first pass: summaries ------------------------------------------------------------
@@ -196,7 +196,7 @@ class Summary:
         parts = [(self.keys, self.counts), *self._waiting]
         self._waiting, self._held = [], 0
         keys = np.concatenate([k for k, _ in parts])
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, counts = keys[order], np.concatenate([c for _, c in parts])[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
         keys, counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -292,7 +292,10 @@ def filter_of(found: DataFrame) -> tuple[int, np.ndarray]:
 
 def _by_words(ids: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first place and the count of each distinct row of ``ids``; equal rows hash alike."""
-    _, first, group, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+    group = pa.array(hashes).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    counts = np.bincount(group)
+    first = np.empty(len(counts), np.int64)
+    first[group[::-1]] = np.arange(len(group))[::-1]
     if (ids == ids[first[group]]).all():
         return first, counts
     _, first, counts = np.unique(ids, axis=0, return_index=True, return_counts=True)
@@ -305,20 +308,20 @@ def _count_words(bits: int, shared):
     With them, a row of no words for each language: its number of words.
     """
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "words", "count"])
+    def batch(langs: list[str], lang: np.ndarray, phrases: pa.Array, n: int, counts: np.ndarray) -> pa.RecordBatch:
+        of = pa.array(langs, pa.string()).take(pa.array(lang))
+        sizes = pa.array(np.full(len(lang), n, np.int32))
+        return pa.RecordBatch.from_arrays(
+            [of, phrases.cast(pa.string()), sizes, pa.array(counts, pa.int64())], ["lang", "phrase", "words", "count"]
+        )
 
     def run(batches):
         packed = shared.value
-        held: dict[tuple, int] = {}
         mask = np.uint64(bits - 1)
         for words in _words(batches):
-            for lang, count in enumerate(np.bincount(words.lang, minlength=len(words.langs))):
-                key = (words.langs[lang], "", 0)
-                held[key] = held.get(key, 0) + int(count)
+            seen = np.bincount(words.lang, minlength=len(words.langs))
+            nothing = pa.array([""] * len(seen), pa.string())
+            yield batch(words.langs, np.arange(len(seen)), nothing, 0, seen)
             for n, hashes in enumerate(words.hashes(), 1):
                 at = np.flatnonzero(words.starts(n))
                 bit = hashes[at] & mask
@@ -327,17 +330,9 @@ def _count_words(bits: int, shared):
                     continue
                 ids = np.stack([words.lang[at], *[words.numbers[at + k] for k in range(n)]], axis=1)
                 first, counts = _by_words(ids, hashes[at])
-                used, inverse = np.unique(ids[first, 1:], return_inverse=True)
-                text = words.distinct.take(pa.array(used)).to_pylist()
-                inverse = inverse.reshape(len(first), n)
-                for lang, chosen, count in zip(ids[first, 0].tolist(), inverse.tolist(), counts.tolist(), strict=True):
-                    key = (words.langs[lang], b" ".join([text[w] for w in chosen]), n)
-                    held[key] = held.get(key, 0) + count
-            if len(held) >= HELD_PHRASES:
-                yield batch([(*key, count) for key, count in held.items()])
-                held = {}
-        if held:
-            yield batch([(*key, count) for key, count in held.items()])
+                each = [words.distinct.take(pa.array(ids[first, k + 1])) for k in range(n)]
+                phrases = pc.binary_join_element_wise(*each, pa.scalar(b" ", pa.large_binary()))
+                yield batch(words.langs, ids[first, 0], phrases, n, counts)
 
     return run
 

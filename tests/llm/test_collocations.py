@@ -70,7 +70,7 @@ def test_other_parameters(spark, threshold, top, share):
 def test_small_summaries_give_the_same(given, monkeypatch):
     """Many slices, flushes and merges, which drop counts of what is rare."""
     docs = given("documents").repartition(6)
-    for name, value in (("SLICE_BYTES", 20_000), ("FLUSH_GRAMS", 30_000), ("HELD_PHRASES", 100)):
+    for name, value in (("SLICE_BYTES", 20_000), ("FLUSH_GRAMS", 30_000)):
         monkeypatch.setattr(co, name, value)
     for slack, bits in ((1, 1), (2, 16)):
         monkeypatch.setattr(co, "SLACK", slack)
