@@ -41,15 +41,9 @@ COPIES_AT_ONCE = 1000  # equal rows that one row is unfolded into before they ar
 
 
 def base32(digest: Column) -> Column:
-    """Base 32 of a digest in hexadecimal whose length is a multiple of 5; no padding."""
-
-    def four(place: Column) -> Column:
-        value = F.conv(F.substring(digest, place * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        five_bits = [F.shiftright(value, 15 - 5 * k).bitwiseAND(31) for k in range(4)]
-        return F.concat(*[F.substring(F.lit(BASE32), bits + 1, F.lit(1)) for bits in five_bits])
-
-    places = F.sequence(F.lit(0), (F.length(digest) / 5).cast("int") - 1)
-    return F.array_join(F.transform(places, four), "")
+    """Base 32 of a SHA-1 in hexadecimal: 10 digits of it are 8 of the result, in other letters."""
+    parts = [F.lpad(F.conv(F.substring(digest, at, 10), 16, 32), 8, "0") for at in (1, 11, 21, 31)]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def payload_digest(payload: Column) -> Column:
@@ -162,7 +156,7 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE, compression: s
     first = first.select(
         *top, "content", "html", F.lit(0).cast("long").alias("copy"), payload_digest(payload).alias("sha1")
     )
-    breaks = F.instr(F.concat(F.lit(START[:1]), payload), START) > 0
+    breaks = F.concat(F.lit(START[:1]), payload).contains(START)
     coded = F.concat(F.lit(f"{status}Transfer-Encoding: chunked{BLANK}"), _chunked(payload))
     block = F.when(breaks, coded).otherwise(F.concat(sized(F.octet_length(payload)), payload))
     written = _transaction(first, "response", block, date, {})
@@ -223,6 +217,18 @@ def _joined_chunks(bodies: Column) -> Column:
     return join(bodies)
 
 
+def _fields(block: Column) -> Column:
+    """(name, value) of each ``name: value`` line."""
+    lines = F.filter(F.split(block.cast("string"), "\r?\n"), lambda line: F.instr(line, ":") > 0)
+    return F.transform(
+        lines,
+        lambda line: F.struct(
+            F.trim(F.substring_index(line, ":", 1)).alias("name"),
+            F.trim(F.substring(line, F.instr(line, ":") + 1, F.length(line))).alias("value"),
+        ),
+    )
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row for each record of the archives below ``path``.
 
@@ -236,11 +242,15 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.option("lineSep", START).text(path)
     first = F.col("value").startswith(MAGIC)
     text = F.when(first, F.substring("value", F.lit(len(MAGIC) + 1), F.length("value"))).otherwise(F.col("value"))
-    starts = lines.select(text.alias("text")).where(F.col("text").rlike(r"\A[0-9]+\r\n"))
-    parsed = starts.withColumn("head", F.substring_index("text", BLANK, 1))
+    starts = lines.select(text.alias("text")).where(F.substring("text", 1, 20).rlike(r"\A[0-9]+\r\n"))
+    parsed = starts.withColumn("head", F.substring_index("text", BLANK, 1)).withColumn("headers", _fields(F.col("head")))
+
+    def values(name: str) -> Column:
+        same = F.filter("headers", lambda h: F.lower(h["name"]) == name.lower())
+        return F.transform(same, lambda h: h["value"])
 
-    def header(name: str, where: str = "head") -> Column:
-        found = F.regexp_extract(where, rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
+    def header(name: str) -> Column:
+        found = F.get(values(name), F.lit(0))
         return F.when(found != "", found)
 
     length = F.coalesce(header("Content-Length").try_cast("long"), F.lit(0).cast("long"))
@@ -249,7 +259,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         F.lower(header("WARC-Type")).alias("type"),
         header("WARC-Target-URI").alias("target_uri"),
         header("WARC-Date").alias("date"),
-        F.regexp_extract_all("head", F.lit(r"(?im)^WARC-Concurrent-To:[ \t]*([^\r\n]*)"), 1).alias("concurrent_to"),
+        values("WARC-Concurrent-To").alias("concurrent_to"),
         header("WARC-Refers-To").alias("refers_to"),
         F.substring_index(header("WARC-Payload-Digest"), ":", -1).alias("declared_digest"),
         F.coalesce(header("Content-Type").startswith("application/http"), F.lit(False)).alias("http"),
@@ -273,39 +283,18 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _fields(block: Column) -> Column:
-    """(name, value) of each ``name: value`` line."""
-    lines = F.filter(F.split(block.cast("string"), r"\r?\n"), lambda line: line.contains(":"))
-    return F.transform(
-        lines,
-        lambda line: F.struct(
-            F.trim(F.substring_index(line, ":", 1)).alias("name"),
-            F.trim(F.regexp_replace(line, r"^[^:]*:", "")).alias("value"),
-        ),
-    )
+def _owners(links: DataFrame, lost: DataFrame) -> DataFrame:
+    """(record_id, capture_id) of requests and metadata that name no main record.
 
-
-def _owners(main: DataFrame, others: DataFrame) -> DataFrame:
-    """(record_id, capture_id) of requests and metadata.
-
-    As a rule a record names its capture's main record. Records that don't, because the main
-    record names them or they name each other, are linked through all names.
+    The main record names them, or they name each other: all names link records, and they belong
+    to the least main record they are linked with.
     """
-    named = others.select("record_id", F.explode("concurrent_to").alias("capture_id"))
-    ids = main.select(F.col("record_id").alias("capture_id"))
-    direct = named.join(ids, "capture_id", "left_semi").select("record_id", "capture_id").distinct()
-    direct = saved(direct, "owners")
-    lost = saved(others.select("record_id").join(direct, "record_id", "left_anti").distinct(), "lost-records")
-    if not lost.row_count:
-        return direct
-    both = others.unionByName(main)
-    edges = both.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b"))
+    edges = links.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b"))
     parts = saved(components(edges), "transactions").withColumnRenamed("id", "record_id")
-    part_of = F.coalesce("component", "record_id").alias("component")
-    least = main.select("record_id").join(parts, "record_id").groupBy("component")
+    least = links.where("is_main").select("record_id").join(parts, "record_id").groupBy("component")
     least = least.agg(F.min("record_id").alias("main_id"))
-    found = lost.join(parts, "record_id", "left").select("record_id", part_of).join(least, "component", "left")
-    return direct.unionByName(found.select("record_id", F.coalesce("main_id", "component").alias("capture_id")))
+    found = lost.join(parts, "record_id", "left").withColumn("component", F.coalesce("component", "record_id"))
+    return found.join(least, "component", "left").select("record_id", F.coalesce("main_id", "component").alias("capture_id"))
 
 
 def captures(records: DataFrame, payloads: bool = True) -> DataFrame:
@@ -319,37 +308,55 @@ def captures(records: DataFrame, payloads: bool = True) -> DataFrame:
     main part is null. Other kinds of records, such as warcinfo, belong to no capture. Without
     records there are no captures.
     """
-    measured = records.where(F.col("type").isin(*MAIN_TYPES, *OTHER_TYPES)).select(
-        "record_id", "type", "target_uri", "date", "concurrent_to", "refers_to", "declared_digest", "whole", "http_head",
-        payload_digest(F.col("payload")).alias("payload_digest"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.when(F.col("type") == "metadata", _fields(F.col("block"))).alias("fields"),
-        *(["payload"] if payloads else []),
-    )
-    stored = saved(measured, "records")
     is_main = F.col("type").isin(*MAIN_TYPES)
-    links = ["record_id", "concurrent_to"]
-    owners = _owners(stored.where(is_main).select(*links), stored.where(~is_main).select(*links))
-
-    parts = ["declared_digest", "payload_digest", "payload_bytes", "whole", "http_head", *(["payload"] if payloads else [])]
-    main = stored.where(is_main).dropDuplicates(["record_id"]).select(
-        F.col("record_id").alias("capture_id"), "type", "target_uri", "date", "refers_to", F.struct(*parts).alias("main")
-    )
-    owned = stored.where(~is_main).dropDuplicates(["record_id"]).join(owners, "record_id")
-    kind = lambda name, *columns: F.collect_list(
-        F.when(F.col("type") == name, F.struct("record_id", *columns))
-    )
-    # A capture's own records; they are one row by their nature.
-    beside = owned.groupBy("capture_id").agg(
-        F.array_sort(kind("request", "http_head")).alias("requests"),
-        F.array_sort(kind("metadata", "fields")).alias("metadata"),
+    payload = F.when(is_main, F.col("payload"))
+    measures = [
+        payload_digest(payload).alias("payload_digest"),
+        F.octet_length(payload).cast("long").alias("payload_bytes"),
+    ]
+    main = F.struct(
+        "type", "target_uri", "date", "refers_to",
+        F.struct("declared_digest", *measures, "whole", "http_head", *(["payload"] if payloads else [])).alias("main"),
+    )
+    beside = F.struct("type", "record_id", "http_head", F.when(F.col("type") == "metadata", _fields(F.col("block"))).alias("fields"))
+    stored = saved(
+        records.where(F.col("type").isin(*MAIN_TYPES, *OTHER_TYPES)).select(
+            "record_id", "concurrent_to", is_main.alias("is_main"),
+            F.when(is_main, main).alias("main"), F.when(~is_main, beside).alias("beside"),
+        ),
+        "records",
+    )
+    # A record stands with the main record it names, all of which takes one exchange.
+    named = F.when(F.col("is_main") | (F.size("concurrent_to") == 0), F.array("record_id")).otherwise(F.col("concurrent_to"))
+    together = saved(_together(stored.withColumn("capture_id", F.explode(named))), "captures")
+    alone = together.where("main IS NULL").select(F.explode("beside.record_id").alias("record_id"))
+    placed = together.where("main IS NOT NULL").select(F.explode("beside.record_id").alias("record_id"))
+    lost = saved(alone.distinct().join(placed, "record_id", "left_anti"), "lost-records")
+    if lost.row_count:
+        owners = _owners(stored.select("record_id", "concurrent_to", "is_main"), lost)
+        of_lost = stored.where("NOT is_main").join(owners, "record_id")
+        of_main = together.where("main IS NOT NULL").select(
+            "capture_id", "main", F.explode_outer("beside").alias("beside")
+        )
+        together = _together(of_main.unionByName(of_lost.select("capture_id", "main", "beside")))
+    else:
+        together = together.where("main IS NOT NULL")
+    own = lambda kind, *columns: F.transform(
+        F.filter("beside", lambda b: b["type"] == kind), lambda b: F.struct(*[b[c].alias(c) for c in ("record_id", *columns)])
     )
-    return main.join(beside, "capture_id", "full").select(
-        "capture_id", "type", "target_uri", "date", "refers_to", "main",
-        *[F.coalesce(c, F.array()).alias(c) for c in ("requests", "metadata")],
+    return together.select(
+        "capture_id", *[F.col(f"main.{c}").alias(c) for c in ("type", "target_uri", "date", "refers_to", "main")],
+        own("request", "http_head").alias("requests"), own("metadata", "fields").alias("metadata"),
     )
 
 
+def _together(rows: DataFrame) -> DataFrame:
+    """A row for each capture_id; a capture's own records are one row by their nature."""
+    return rows.groupBy("capture_id").agg(
+        F.any_value("main", F.lit(True)).alias("main"), F.array_sort(F.collect_set("beside")).alias("beside")
+    )
+
+
 def page_captures(found: DataFrame) -> DataFrame:
     """What ``write_archives`` wrote, from ``captures``: one row for each page.
 
