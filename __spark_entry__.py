@@ -21,6 +21,7 @@ from lakeload import scratch
 from lakeload.functions.columns import clean_path
 from lakeload.operators import catalog, checks, sinks
 from lakeload.plans.load import (
+    LoadFailed,
     audit_frame,
     keep_sketch,
     load_all,
@@ -310,6 +311,43 @@ def load_audit(spark, sf_dir):
     return catalog.read_table(spark, audit_in).select("table_name", "row_count", "status")
 
 
+def load_one_bad(spark, sf_dir):
+    """A table whose text is missing fails alone; the audit keeps its error, and all times."""
+    audit_in = f"{new_namespace(spark)}.load_audit"
+    spec = staged_spec(spark, sf_dir, ["customer", "orders"], audit_table=audit_in)
+    absent = T.StructType([T.StructField("id", T.LongType())])
+    registry = Registry({**{t: spec.registry[t] for t in spec.registry}, "absent": absent})
+    try:
+        load_all(spark, _with(spec, registry=registry))
+    except LoadFailed:
+        pass
+    return catalog.read_table(spark, audit_in).select(
+        "table_name",
+        "row_count",
+        "status",
+        F.coalesce(F.col("error").contains("PATH_NOT_FOUND"), F.lit(False)).alias("names_error"),
+        (F.col("seconds") > 0).alias("timed"),
+    )
+
+
+def load_variant(spark, sf_dir):
+    """One benchmark variant: its data set's folder, its label, its format."""
+    rows = given(spark, sf_dir, "supplier")
+    parent = scratch.new_dir(spark, "variant")
+    delimited.write_delimited(rows, f"{parent}/tpcds-dataset-3TB/supplier.dat")
+    home = scratch.new_dir(spark, "load")
+    spec = LoadSpec.for_variant(
+        "Sys1", 3000, "files", "orc",
+        data_parent=parent,
+        suffix=f"_{home[-12:]}",
+        namespace_location=home,
+        registry=Registry({"supplier": rows.schema}),
+    )
+    load_table(spark, "supplier", spec)
+    label = spec.namespace.removesuffix(f"_{home[-12:]}")
+    return catalog.read_table(spark, spec.table_name("supplier")).withColumn("variant", F.lit(label))
+
+
 # --- the 25 registered schemas, over rows derived from the given tables --------------
 
 # For each given table, the values that can fill a registered column of each kind, as
@@ -635,6 +673,8 @@ def loader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_all": load_all_tables,
         "load_tpcds": load_tpcds,
         "load_audit": load_audit,
+        "load_one_bad": load_one_bad,
+        "load_variant": load_variant,
         "load_rejects": load_rejects,
         "partition_profile": partition_profile,
         "file_inventory": file_inventory,
@@ -751,6 +791,16 @@ def loader_sql() -> dict[str, str]:
         "load_all": _each(FLAT, "count(*) AS row_count"),
         "load_tpcds": _tpcds_counts(),
         "load_audit": _each(FLAT, "count(*) AS row_count, 'ok' AS status"),
+        "load_one_bad": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, {n} AS row_count, '{status}' AS status,"
+            f" {error} AS names_error, true AS timed"
+            for t, n, status, error in (
+                ("customer", "(SELECT count(*) FROM customer)", "ok", "false"),
+                ("orders", "(SELECT count(*) FROM orders)", "ok", "false"),
+                ("absent", "CAST(NULL AS BIGINT)", "failed", "true"),
+            )
+        ),
+        "load_variant": "SELECT *, 'sys1_files_s3k_orc' AS variant FROM supplier",
         "load_rejects": " UNION ALL ".join(
             f"SELECT '{where}' AS seen_in, '{kind}' AS kind,"
             f" count(*) FILTER (WHERE {rows}) AS row_count FROM orders"
