@@ -480,11 +480,11 @@ def file_inventory(spark, sf_dir):
 
 
 def _text_root(spark, sf_dir) -> str:
-    """Parts as text, a folder for each brand, which are folders for each size."""
+    """Parts as text, a folder for each brand, in it folders for ten sizes each."""
     root = scratch.new_dir(spark, "text")
     rows = given(spark, sf_dir, "part").select(
         F.translate("p_brand", "#", "-").alias("brand"),
-        F.col("p_size").alias("size"),
+        F.expr("p_size div 10").alias("size"),
         F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name").alias("value"),
     )
     rows.repartition("brand", "size").write.partitionBy("brand", "size").text(root)
@@ -812,8 +812,8 @@ def loader_sql() -> dict[str, str]:
             f"SELECT 'brand=' || replace(p_brand, '#', '-') AS prefix, {text_bytes} FROM part GROUP BY p_brand"
         ),
         "list_keys": (
-            f"SELECT 'brand=' || replace(p_brand, '#', '-') || '/size=' || p_size AS folder, {text_bytes}"
-            " FROM part WHERE replace(p_brand, '#', '-') = 'Brand-11' GROUP BY p_brand, p_size"
+            f"SELECT 'brand=' || replace(p_brand, '#', '-') || '/size=' || (p_size // 10) AS folder, {text_bytes}"
+            " FROM part WHERE replace(p_brand, '#', '-') = 'Brand-11' GROUP BY p_brand, p_size // 10"
         ),
         "list_prefixes": (
             "SELECT DISTINCT t AS prefix FROM (SELECT 'customer' AS t FROM customer"
