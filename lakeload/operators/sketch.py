@@ -101,7 +101,12 @@ def decode(first: Iterable[Row], second: Iterable[Row], count: int = CELLS) -> D
         left[cell] = [x - y for x, y in zip(left.get(cell, [0] * 7), numbers, strict=True)]
     surplus: dict[tuple[int, int], int] = {}
     waiting = list(left)
+    steps = 20 * (len(left) + 3)
     while waiting:
+        # A mixed cell may look like one row's; taking that out leads nowhere.
+        steps -= 1
+        if not steps:
+            return None
         cell = waiting.pop()
         copies, *parts = left[cell]
         if not copies:
