@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -40,6 +41,45 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), bounds
 
 
+# Texts that a task works on side by side, in bytes, unless one text has more.
+SLICE_BYTES = 2 << 20
+
+
+def text_slices(batches, column: int, most: int = SLICE_BYTES):
+    """The rows of Arrow batches in slices of at most ``most`` bytes of one column.
+
+    A longer text makes a slice of its own. Memory is given back as slices end and at the
+    end of a task, as Python workers live on and would keep it.
+    """
+    give_back()
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        start = 0
+        while start < len(batch):
+            before = ends[start - 1] if start else 0
+            end = max(int(np.searchsorted(ends, before + most, side="right")), start + 1)
+            yield batch.slice(start, end - start)
+            pa.default_memory_pool().release_unused()
+            start = end
+    give_back()
+
+
+# What empties the tables that operators keep in a Python worker from task to task.
+kept_tables: list = []
+
+
+def give_back() -> None:
+    """Empty what other operators' tasks left in this Python worker, and return free memory."""
+    for clear in kept_tables:
+        clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        pass
+
+
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 

@@ -2,14 +2,18 @@
 
 A set's prefix is its first shingles in one global order, rare ones first; two sets that
 reach the similarity share a shingle of their prefixes. Documents with the same prefix and
-size are one group, and only groups are listed under the shingles of their prefixes. Lists
-with more than one member give candidates:
+size are one group, and only groups are listed under the shingles of their prefixes. All
+members of a group meet others alike, so candidates are found between groups:
 
-1. In some rounds every member is compared to one other member of its lists, of the largest
-   component there, and linked if their sets reach the similarity. Large groups of near
-   copies become components by that, without listing their pairs.
-2. Then pairs of members of different components are listed, all of them. Those whose
-   prefixes share enough are expanded to their sets and verified.
+1. In some rounds every group is paired with one other group of its lists, of the largest
+   component there. The pair is expanded: its members are compared to one member of the
+   other group, and linked if their sets reach the similarity. Large families of near copies
+   become components by that, without listing their pairs.
+2. Then pairs of groups in different components are listed, all of them. Those whose sizes
+   and shared prefix shingles leave room for the similarity are expanded to pairs of members,
+   which are verified by their whole sets.
+
+Members of one group may be of several components; a group then counts once in each.
 
 The order needs to know which shingles are frequent. Counts of 32-bit keys of all shingles
 are added up over all documents; a bounded number of the most frequent keys orders the
@@ -28,24 +32,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, components, join_groups, maybe_broadcast, saved, split_words, unused
+from .common import WORD, components, join_groups, maybe_broadcast, saved, split_words, text_slices, unused
 
 LEAST_COUNT = 8  # keys seen less often are ordered by their hash alone
 MOST_KEYS = 1 << 20  # frequent keys that tasks get, 8 bytes each
 KEY_RANGES = 1024  # ranges of keys, each counted by itself
-FLUSH_SHINGLES = 4_000_000  # that a task gathers before it counts them
+FLUSH_SHINGLES = 2_000_000  # that a task gathers before it counts them
 LIST_ROWS = 50_000  # of one shingle that a task looks through
 ROUNDS = 6  # at most, of linking members to one other
-SLICE_ROWS = 2000  # texts whose words are split side by side
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
-def _slices(batch: pa.RecordBatch):
-    for start in range(0, len(batch), SLICE_ROWS):
-        yield batch.slice(start, SLICE_ROWS)
-
-
 def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``width`` words, text after text, and each text's bounds.
 
@@ -89,14 +87,13 @@ def _count_keys(width: int):
 
     def run(batches):
         parts, held = [], 0
-        for whole in batches:
-            for batch in _slices(whole):
-                total, _ = shingles(batch.column(0), width)
-                parts.append((total >> np.uint64(32)).astype(np.uint32))
-                held += len(total)
-                if held >= FLUSH_SHINGLES:
-                    yield _batch(pack(parts))
-                    parts, held = [], 0
+        for batch in text_slices(batches, 0):
+            total, _ = shingles(batch.column(0), width)
+            parts.append((total >> np.uint64(32)).astype(np.uint32))
+            held += len(total)
+            if held >= FLUSH_SHINGLES:
+                yield _batch(pack(parts))
+                parts, held = [], 0
         if held:
             yield _batch(pack(parts))
 
@@ -171,49 +168,47 @@ def _describe(width: int, percent: int, keys: np.ndarray, df: np.ndarray):
         return np.concatenate([np.flatnonzero(seen == 0), often]), seen
 
     def run(batches):
-        for whole in batches:
-            for batch in _slices(whole):
-                ids = batch.column(0)
-                sizes, digests, groups, prefixes, parts = [], [], [], [], []
-                for found in sets(batch.column(1), width):
-                    sizes.append(len(found))
-                    digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-                    length = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
-                    first, seen = order(found)
-                    prefix = found[first[:length]].view(np.int64)
-                    groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little")))
-                    prefixes.append(prefix)
-                    parts.append((seen[first[:length]] // LIST_ROWS + 1).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids,
-                        pa.array(sizes, pa.int64()),
-                        pa.array(digests, pa.binary()),
-                        pa.array(groups, pa.binary()),
-                        pa.array(prefixes, pa.list_(pa.int64())),
-                        pa.array(parts, pa.list_(pa.int32())),
-                    ],
-                    ["doc_id", "n", "digest", "group", "prefix", "parts"],
-                )
+        for batch in text_slices(batches, 1):
+            ids = batch.column(0)
+            sizes, digests, groups, prefixes, parts = [], [], [], [], []
+            for found in sets(batch.column(1), width):
+                sizes.append(len(found))
+                digests.append(xxhash.xxh3_128_digest(found.tobytes()))
+                length = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
+                first, seen = order(found)
+                prefix = found[first[:length]].view(np.int64)
+                groups.append(xxhash.xxh3_128_digest(prefix.tobytes() + len(found).to_bytes(8, "little")))
+                prefixes.append(prefix)
+                parts.append((seen[first[:length]] // LIST_ROWS + 1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids,
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(groups, pa.binary()),
+                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(parts, pa.list_(pa.int32())),
+                ],
+                ["doc_id", "n", "digest", "group", "prefix", "parts"],
+            )
 
     return run
 
 
 def _sets(width: int):
     def run(batches):
-        for whole in batches:
-            for batch in _slices(whole):
-                found = [s.view(np.int64) for s in sets(batch.column(1), width)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"]
-                )
+        for batch in text_slices(batches, 1):
+            found = [s.view(np.int64) for s in sets(batch.column(1), width)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"]
+            )
 
     return run
 
 
-def _stored_sets(docs: DataFrame, lists: DataFrame, width: int) -> DataFrame:
+def _stored_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """(doc_id, shingles, n) of the units that share a list with another."""
-    needed = saved(lists.select(F.col("unit").alias("doc_id")).distinct(), "set-ids")
+    needed = saved(members.select(F.col("unit").alias("doc_id")).distinct(), "set-ids")
     texts = docs.select("doc_id", "text").join(maybe_broadcast(needed), "doc_id")
     found = texts.mapInArrow(_sets(width), "doc_id long, shingles array<long>")
     return saved(found.select("doc_id", "shingles", F.size("shingles").alias("n")), "sets")
@@ -287,30 +282,32 @@ def near_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     in_list = Window.partitionBy("shingle", "part")
     shared = listed.withColumn("in_list", F.sum("members").over(in_list)).where("split OR in_list > 1")
     shared = saved(shared.select("shingle", "part", "at", "group", "in_list"), "lists")
-    # A unit that shares most is the likeliest to be what others are copies of.
+    # A group that shares most is the likeliest to hold what others are copies of.
     degrees = shared.groupBy("group").agg(F.sum("in_list").alias("degree"))
-    expanded = shared.join(units.join(degrees, "group").select("group", "unit", "n", "degree"), "group")
-    lists = saved(expanded.select("shingle", "part", "at", "unit", "n", "degree"), "members")
+    lists = shared.drop("in_list")
+    members = saved(units.join(degrees, "group").select("group", "unit", "n", "degree"), "members")
 
     # Ids with several texts are vertices of several units.
     several = linkable.select("doc_id", "digest").distinct().join(units.select("digest", "unit"), "digest")
     several = several.groupBy("doc_id").agg(F.min("unit").alias("a"), F.max("unit").alias("b"))
     edges = saved(several.where("a <> b").select("a", "b"), "edges")
 
-    stored = _stored_sets(docs, lists, width)
+    stored = _stored_sets(docs, members, width)
     parts = components(edges)
     for number in range(ROUNDS):
-        best = _partners(_labelled(lists, parts), number, percent)
-        new = saved(_verified(best, stored, percent), "edges")
+        held, cells = _cells(members, parts, number)
+        best = _partners(lists.join(cells, "group"), number, percent)
+        new = saved(_verified(_expanded(best, held, cells), stored, percent), "edges")
         edges = edges.unionByName(new)
         if new.row_count:
             parts = components(edges)
         elif number > 2:
             break
 
-    labelled = saved(_labelled(lists, parts), "labelled")
-    pairs = saved(_pairs_across(labelled, percent), "across")
-    edges = edges.unionByName(_verified(pairs, stored, percent))
+    held, cells = _cells(members, parts)
+    labelled = saved(lists.join(cells, "group"), "labelled")
+    met = saved(_pairs_across(labelled, percent), "group-pairs")
+    edges = edges.unionByName(_verified(_expanded(met, held), stored, percent))
     parts = components(saved(edges, "edges"))
 
     found = units.join(parts, F.col("unit") == F.col("id"), "left").select(
@@ -324,35 +321,56 @@ def near_classes(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
 
 
 def _partners(labelled: DataFrame, number: int, percent: int) -> DataFrame:
-    """For each member another one (b) to verify, of the largest component in its lists.
+    """For each cell (a) another one (b) to compare it to, of the largest component in its lists.
 
-    The first rounds take the member that shares most, later ones others of that component;
+    The first rounds take the group that shares most, later ones others of that component;
     rounds alternate between two divisions of sizes into classes.
     """
     own = labelled.withColumn("class", _size_class(number % 2 / 2, percent))
-    cell = ["shingle", "part", "class"]
-    draw = -F.col("degree") if number < 2 else F.xxhash64("unit", F.lit(number))
-    any_one = F.struct(draw.alias("draw"), "unit", "n")
-    heads = own.groupBy(*cell, "component").agg(F.count(F.lit(1)).alias("members"), F.min(any_one).alias("one"))
-    heads = heads.groupBy(*cell).agg(
-        F.max(F.struct("members", (-F.col("one.draw")).alias("by"), "component", "one")).alias("top"), F.count(F.lit(1)).alias("components")
+    place = ["shingle", "part", "class"]
+    draw = -F.col("degree") if number < 2 else F.xxhash64("cell", F.lit(number))
+    any_one = F.struct(draw.alias("draw"), "cell", "n")
+    heads = own.groupBy(*place, "component").agg(F.sum("units").alias("units"), F.min(any_one).alias("one"))
+    heads = heads.groupBy(*place).agg(
+        F.max(F.struct("units", (-F.col("one.draw")).alias("by"), "component", "one")).alias("top"),
+        F.count(F.lit(1)).alias("components"),
     )
-    partners = own.join(heads.where("components > 1"), cell).where("component <> top.component")
+    partners = own.join(heads.where("components > 1"), place).where("component <> top.component")
     met = partners.groupBy(
-        F.col("unit").alias("a"), F.col("n").alias("n_a"),
-        F.col("top.one.unit").alias("b"), F.col("top.one.n").alias("n_b"),
+        F.col("cell").alias("a"), F.col("n").alias("n_a"),
+        F.col("top.one.cell").alias("b"), F.col("top.one.n").alias("n_b"),
     ).agg(F.count(F.lit(1)).alias("met"))
     return met.where(_enough("met", percent)).groupBy("a").agg(
         F.max_by("b", F.struct("met", -F.col("b"))).alias("b")
     )
 
 
-def _labelled(lists: DataFrame, parts: DataFrame) -> DataFrame:
-    """Members of lists with the component they are in so far."""
+def _cells(members: DataFrame, parts: DataFrame, number: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Members with their cell, and the cells: the members of a group in one component.
+
+    A cell goes by its least unit. ``one`` is a member that others are compared to, another
+    one in each of the later rounds.
+    """
     known = parts.select(F.col("id").alias("unit"), "component")
-    return lists.join(maybe_broadcast(known), "unit", "left").withColumn(
-        "component", F.coalesce("component", "unit")
-    )
+    own = members.join(maybe_broadcast(known), "unit", "left").withColumn("component", F.coalesce("component", "unit"))
+    draw = F.col("unit") if number < 2 else F.xxhash64("unit", F.lit(number))
+    cells = own.groupBy("group", "component").agg(
+        F.min("unit").alias("cell"), F.min_by("unit", draw).alias("one"),
+        F.any_value("n").alias("n"), F.any_value("degree").alias("degree"), F.count(F.lit(1)).alias("units"),
+    )
+    cells = saved(cells, "cells")
+    named = cells.select("group", "component", "cell")
+    return saved(own.join(named, ["group", "component"]).select("cell", "unit"), "cell-members"), cells
+
+
+def _expanded(pairs: DataFrame, held: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """Pairs of members from pairs (a, b) of cells; with ``cells``, b gives only its ``one``."""
+    left = held.select(F.col("cell").alias("a"), F.col("unit").alias("left"))
+    right = held.select(F.col("cell").alias("b"), F.col("unit").alias("right"))
+    if cells is not None:
+        right = cells.select(F.col("cell").alias("b"), F.col("one").alias("right"))
+    both = pairs.join(left, "a").join(right, "b")
+    return both.select(F.col("left").alias("a"), F.col("right").alias("b"))
 
 
 def _least_overlap(n_a, n_b, percent: int):
@@ -371,10 +389,11 @@ def _needed(n_a, n_b, percent: int):
 
 
 def _pairs_across(labelled: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of members of one list, of different components, that may be similar.
+    """Pairs (a, b) of cells of one list, of different components, whose members may be similar.
 
-    Lists are first paired by component, so members of one component never meet. A pair
-    meets only in lists of the first shingles of both, as many as its sizes ask for.
+    Lists are first paired by component, so groups in one component never meet. A pair
+    meets only in lists of the first shingles of both, as many as its sizes ask for. As all
+    members of a group have its size and its prefix, what is left out here has no links.
     """
     heads = labelled.groupBy("shingle", "component").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at")
@@ -391,7 +410,7 @@ def _pairs_across(labelled: DataFrame, percent: int) -> DataFrame:
     on = (c["shingle"] == d["shingle"]) & (F.col("c") < F.col("d")) & fits & early
     meet = c.join(d, on).select(c["shingle"], "c", "d")
     side = lambda x, u, n, i: labelled.select(
-        "shingle", F.col("component").alias(x), F.col("unit").alias(u), F.col("n").alias(n), F.col("at").alias(i)
+        "shingle", F.col("component").alias(x), F.col("cell").alias(u), F.col("n").alias(n), F.col("at").alias(i)
     )
     met = meet.join(side("c", "a", "n_a", "i"), ["shingle", "c"]).join(side("d", "b", "n_b", "j"), ["shingle", "d"])
     n_a, n_b = F.col("n_a"), F.col("n_b")

@@ -26,6 +26,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept_tables
+
 BLANK = "▁"
 # No piece holds a line break, or a blank after another character.
 _WORDS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n[^{BLANK}\n]*")
@@ -340,6 +342,7 @@ class _Row:
 
 
 _kept: dict[tuple, Lattices] = {}
+kept_tables += [_kept.clear, vocabulary.cache_clear]
 
 
 def _lattices(path: str, sharpness: float, words: list[str]) -> Lattices:

@@ -83,6 +83,40 @@ def test_order_by_hash_alone_gives_the_same(make, monkeypatch):
     assert found(make(rows)) == brute(rows)
 
 
+def test_pairs_of_groups_are_expanded_to_members(spark):
+    """One pair of groups gives all pairs of their members, or each member with one of the other."""
+    members = spark.createDataFrame(
+        [(b"g", u, 9, 1) for u in (1, 2, 3, 6)] + [(b"h", u, 9, 1) for u in (4, 5)],
+        "group binary, unit long, n long, degree long",
+    )
+    parts = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)], "id long, component long")
+    held, cells = near_sets._cells(members, parts)
+    assert sorted((r.cell, r.units) for r in cells.collect()) == [(1, 3), (4, 2), (6, 1)]
+    pair = spark.createDataFrame([(1, 4)], "a long, b long")
+    both = {(r.a, r.b) for r in near_sets._expanded(pair, held).collect()}
+    assert both == {(a, b) for a in (1, 2, 3) for b in (4, 5)}
+    assert {(r.a, r.b) for r in near_sets._expanded(pair, held, cells).collect()} == {(1, 4), (2, 4), (3, 4)}
+
+
+def test_members_of_one_group(make, monkeypatch):
+    """Sets of one prefix and size: some are similar, some share little more than the prefix."""
+    monkeypatch.setattr(near_sets, "MOST_KEYS", 1 << 20)
+    rare = [f"r{i}" for i in range(33)]
+    parts = [[f"p{k}w{i}" for i in range(70)] for k in range(4)]
+    rows, number = [], 0
+    for k in range(4):
+        for j in range(12):
+            own = list(parts[k])
+            if j % 3 == 1:
+                own[-3:] = [f"p{k}z{i}" for i in range(3)]
+            rows.append((number, " ".join(rare[: 17 + k % 2 * 16] + own)))
+            rows += [(number + 1000, " ".join(own)), (number + 2000, " ".join(own))]
+            number += 1
+    for rounds in (0, 6):
+        monkeypatch.setattr(near_sets, "ROUNDS", rounds)
+        assert found(make(rows), width=1) == brute(rows, 1)
+
+
 def test_given_documents(given):
     docs = given("documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
