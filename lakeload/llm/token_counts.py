@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import maybe_broadcast, saved
+from .common import join_groups, kept_tables, maybe_broadcast, saved
 
 CACHE = T.StructType(
     [
@@ -58,6 +58,7 @@ def _tokenizer(path: str):
 
 
 _remembered: dict[str, dict[str, int]] = {}
+kept_tables.append(_remembered.clear)
 
 
 def count(texts: list[str], path: str) -> list[int]:
@@ -109,17 +110,23 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str) -> DataF
         "content", F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     )
     rows = saved(keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content"), "digests")
-    first = rows.groupBy(F.col("content").alias("missing")).agg(F.min("doc_id").alias("first_id"))
-    misses = first.join(
-        _stored(spark, cache_path, wanted), F.col("missing") == F.col("content"), "left_anti"
+    # One row stands for each content: the one of the least id, and where rows of one content
+    # are equal in the id too, any of them.
+    pairs = rows.groupBy("content", "doc_id").agg(F.count(F.lit(1)).alias("equal"))
+    contents = pairs.groupBy("content").agg(
+        F.min("doc_id").alias("first_id"), (F.max("equal") > 1).alias("several"), F.sum("equal").alias("copies")
     )
-    # One row stands for each content. Few misses are sent to the texts; many make the
-    # texts shuffle once.
+    contents = saved(contents, "contents")
+    misses = saved(contents.join(_stored(spark, cache_path, wanted), "content", "left_anti"), "misses")
+    # Few misses are sent to the texts; many make the texts shuffle once.
+    wanting = maybe_broadcast(misses.select(F.col("content").alias("missing"), "first_id", "several"))
     texts = keyed.join(
-        maybe_broadcast(misses),
-        (F.col("content") == F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
-    ).select("content", "text")
+        wanting, (F.col("content") == F.col("missing")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    ).select("content", "text", "several")
+    alike = texts.where("several").groupBy("content").agg(F.any_value("text").alias("text"))
+    texts = texts.where("NOT several").select("content", "text").unionByName(alike)
     encoded = texts.mapInPandas(_encode(tokenizer_path), "content binary, n_tokens long")
     encoded.select("content", F.lit(wanted).alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
-    stored = _stored(spark, cache_path, wanted)
-    return rows.join(stored, "content", "left").select("doc_id", "n_bytes", "n_tokens")
+    known = saved(contents.select("content", "copies").join(_stored(spark, cache_path, wanted), "content"), "counts")
+    found = join_groups(rows, known, "content", "copies", rows.row_count)
+    return found.select("doc_id", "n_bytes", "n_tokens")

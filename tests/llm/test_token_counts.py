@@ -66,3 +66,12 @@ def test_versions_do_not_mix(spark, make):
     a = token_counts.count_tokens(docs, cache, PATH).collect()[0].n_tokens
     b = token_counts.count_tokens(docs, cache, other).collect()[0].n_tokens
     assert spark.read.parquet(cache).count() == 2 and a == 2 and b >= 1
+
+
+def test_equal_rows_are_encoded_once(spark, make, whole):
+    rows = [(None, "a hot text")] * 3000 + [(7, "twice")] * 2 + [(8, "twice"), (None, None), (None, "")]
+    cache = scratch.new_dir(spark, "cache")
+    counted = token_counts.count_tokens(make(rows), cache, PATH).collect()
+    assert spark.read.parquet(cache).count() == 3
+    want = sorted((i or 0, len((t or "").encode()), whole(t)) for i, t in rows)
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in counted) == want
