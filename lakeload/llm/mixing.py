@@ -3,7 +3,8 @@
 All work is DataFrame expressions. A source's target is met with whole copies of the
 source and, for what is left, the rows whose hash lies below a threshold. Thresholds come
 from histograms of tokens by source and hash bucket; only the bucket in which a budget ends
-is looked at more finely, so rows are never sorted.
+is looked at more finely, so rows are never sorted. Where it ends among rows that share one
+hash, as rows equal in key and text do, as many of them go in as come nearest to the target.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import maybe_broadcast, saved, unused, word_count
+from .common import maybe_broadcast, ranked, saved, word_count
 
 HASH_BITS = 60
 LEVEL_BITS = 10
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
+BLOCK_ROWS = 10_000  # rows of one hash that are numbered together
 
 
 def row_hash(key: str = "doc_id", text: str = "text", seed: int = 17) -> Column:
@@ -68,10 +70,11 @@ def targets(counted: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
 
 
 def thresholds(counted: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(source, source_size, target, copies, threshold): how often rows of a source go in.
+    """(source, source_size, target, copies, threshold, edge, extra): how often rows go in.
 
-    Rows go in ``copies`` times, and once more below ``threshold``. The last, indivisible
-    set of rows with one hash goes in if that comes nearer to the target.
+    Rows go in ``copies`` times, and once more below ``threshold``. Of a last single row it
+    is decided by what comes nearer to the target. If several rows share the last hash,
+    that is ``edge``, and ``extra`` of them go in once more; else ``edge`` is null.
     """
     copies = F.when(
         F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
@@ -83,6 +86,7 @@ def thresholds(counted: DataFrame, wanted: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("prefix"),
         F.lit(0).cast("long").alias("below"),
         F.lit(0).cast("long").alias("inside"),
+        F.lit(0).cast("long").alias("rows"),
         F.lit(False).alias("settled"),
     )
     state = saved(state, "mixing-state")
@@ -92,12 +96,17 @@ def thresholds(counted: DataFrame, wanted: DataFrame) -> DataFrame:
         state = saved(_refine(counted, state, shift), "mixing-state")
         if state.where("NOT settled").isEmpty():
             break
-    over = F.col("below") + F.col("inside") - F.col("budget")
-    nearer = over < F.col("budget") - F.col("below")
-    edge = F.col("prefix") + F.when(nearer, 1).otherwise(0)
+    left = F.col("budget") - F.col("below")
+    some = F.when(F.col("rows") > 0, F.round(left * F.col("rows") / F.col("inside"))).otherwise(0)
+    state = state.withColumn("extra", F.greatest(F.least(some.cast("long"), "rows"), F.lit(0)))
+    parted = (F.col("rows") > 1) & (F.col("extra") > 0) & (F.col("extra") < F.col("rows"))
+    whole = (F.col("extra") > 0) & (F.col("extra") == F.col("rows"))
     return state.select(
-        "source", "source_size", "target", "copies", F.shiftleft(edge, shift).alias("threshold")
-    )
+        "source", "source_size", "target", "copies",
+        F.shiftleft(F.col("prefix") + F.when(whole, 1).otherwise(0), shift).alias("threshold"),
+        F.when(parted, F.col("prefix")).alias("edge"),
+        "extra",
+    )
 
 
 def _refine(counted: DataFrame, state: DataFrame, shift: int) -> DataFrame:
@@ -111,7 +120,7 @@ def _refine(counted: DataFrame, state: DataFrame, shift: int) -> DataFrame:
     )
     bucket = F.shiftright("hash", shift)
     hist = edge.groupBy("of", bucket.alias("bucket")).agg(
-        F.sum("size").alias("tokens"), F.count_if(F.col("size") > 0).alias("rows")
+        F.sum("size").alias("tokens"), F.count_if(F.col("size") > 0).alias("worded")
     )
     up_to = Window.partitionBy("of").orderBy("bucket")
     hist = hist.withColumn("upto", F.sum("tokens").over(up_to))
@@ -121,7 +130,7 @@ def _refine(counted: DataFrame, state: DataFrame, shift: int) -> DataFrame:
         "left",
     )
     found = joined.groupBy("source", "source_size", "target", "copies", "budget", "prefix", "below").agg(
-        F.min(F.struct("bucket", "upto", "tokens", "rows")).alias("hit")
+        F.min(F.struct("bucket", "upto", "tokens", "worded")).alias("hit")
     )
     # Without a hit the budget ends at the end of the bucket (no rows, or rounding).
     child = F.coalesce(F.col("hit.bucket"), F.shiftleft("prefix", LEVEL_BITS))
@@ -131,45 +140,66 @@ def _refine(counted: DataFrame, state: DataFrame, shift: int) -> DataFrame:
         child.alias("prefix"),
         below.alias("below"),
         F.coalesce("hit.tokens", F.lit(0)).alias("inside"),
-        (F.coalesce("hit.rows", F.lit(0)) <= 1).alias("settled"),
+        F.coalesce("hit.worded", F.lit(0)).alias("rows"),
+        (F.coalesce("hit.worded", F.lit(0)) <= 1).alias("settled"),
     )
 
 
-def apply(rows: DataFrame, plan: DataFrame, source: str, hashed: Column) -> DataFrame:
-    """Add source_size, target and ``repeats``, the times the mix takes each row."""
-    limits = maybe_broadcast(plan.withColumnRenamed("source", "_of"))
-    taken = F.col("copies") + F.when(hashed < F.col("threshold"), 1).otherwise(0)
-    return (
-        rows.join(limits, F.col(source).eqNullSafe(F.col("_of")))
-        .withColumn("repeats", taken.cast("int"))
-        .drop("_of", "copies", "threshold")
+def repeated(rows: DataFrame, plan: DataFrame, source: str, hashed: Column) -> DataFrame:
+    """(row, source_size, target, repeats): each row as a struct, and how often the mix takes it.
+
+    Rows of a source's ``edge`` are stored once more and numbered by their place there, in
+    blocks of a bounded size, so that a row may be read again and keeps its number.
+    """
+    held = rows.select(F.struct("*").alias("row"), F.col(f"`{source}`").alias("of"), hashed.alias("hash"))
+    marked = held.join(maybe_broadcast(plan), F.col("of").eqNullSafe(F.col("source")))
+    times = F.col("copies") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)
+    columns = ["row", "source_size", "target", "repeats"]
+    if plan.where("edge IS NOT NULL").isEmpty():
+        return marked.withColumn("repeats", times.cast("int")).select(*columns)
+    at_edge = F.col("hash").eqNullSafe(F.col("edge"))
+    others = marked.where(~at_edge).withColumn("repeats", times.cast("int"))
+    tied = marked.where(at_edge).select(
+        "row", "source_size", "target", "copies", "extra",
+        F.coalesce("of", F.lit("")).alias("name"), F.col("of").isNull().alias("nameless"),
+    )
+    placed = saved(tied, "mixing-ties").select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place")
+    )
+    placed = placed.withColumn("block", F.floor(F.col("place") / BLOCK_ROWS))
+    numbered = ranked(placed, ["name", "nameless"], ["file", "block"], ["place"], "number")
+    times = F.col("copies") + F.when(F.col("number") < F.col("extra"), 1).otherwise(0)
+    return others.select(*columns).unionByName(
+        numbered.withColumn("repeats", times.cast("int")).select(*columns)
     )
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
     """One row for each of ``docs``: doc_id, size, source_size, target, taken.
 
-    Null texts and empty texts have size 0 and are taken 0 words. Rows without a source
-    are a source of their own, the last. Rows equal in id and text share a hash, so they
-    are in or out together. An empty table gives an empty result; other columns are
-    ignored, whatever their names.
+    Null texts and empty texts have size 0 and are taken 0 words; a text of any length
+    counts whole. Rows without a source are a source of their own, the last. Rows equal in
+    id and text share a hash; if a source's target ends among them, some of them are taken,
+    and as they are interchangeable the result is the same on each run. An empty table gives
+    an empty result; other columns are ignored, whatever their names.
     """
     counted = sizes(docs)
     plan = saved(thresholds(counted, targets(counted, weights, repeats)), "mixing-plan")
-    mixed = apply(counted, plan, "source", F.col("hash"))
+    mixed = repeated(counted, plan, "source", F.col("hash"))
     return mixed.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken")
-    )
+        "row.doc_id", "row.size", "source_size", "target",
+        (F.col("row.size") * F.col("repeats")).alias("taken"),
+    )
 
 
 def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = MAX_REPEATS) -> DataFrame:
-    """The rows of ``docs`` as the mix holds them: left out, once, or repeated."""
+    """The rows of ``docs`` as the mix holds them: left out, once, or repeated.
+
+    Rows, columns and cases as in ``mix``. A row without words costs no tokens; it is taken
+    as often as its hash asks for, so in a repeated source several times.
+    """
     counted = sizes(docs)
     plan = saved(thresholds(counted, targets(counted, weights, repeats)), "mixing-plan")
-    names = {c: unused(f"_{c}", docs.columns) for c in ("source", "copies", "threshold", "times", "copy")}
-    limits = plan.select(*[F.col(c).alias(names[c]) for c in ("source", "copies", "threshold")])
-    joined = docs.join(maybe_broadcast(limits), F.col("source").eqNullSafe(F.col(names["source"])))
-    times = F.col(names["copies"]) + F.when(row_hash() < F.col(names["threshold"]), 1).otherwise(0)
-    kept = joined.withColumn(names["times"], times.cast("int")).where(F.col(names["times"]) > 0)
-    each = F.explode(F.sequence(F.lit(1), F.col(names["times"])))
-    return kept.withColumn(names["copy"], each).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = repeated(docs, plan, "source", row_hash()).where("repeats > 0")
+    each = kept.select("row", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("copy"))
+    return each.select(*[F.col(f"row.`{c}`") for c in docs.columns])

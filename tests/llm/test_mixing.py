@@ -93,3 +93,21 @@ def test_rows_of_the_mix_keep_clashing_columns(awkward):
 def test_no_python(given):
     plan = mixing.mix(given("documents"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_equal_rows_are_taken_in_part(make):
+    """Targets end among rows equal in id and text: as many go in as come nearest."""
+    rows = [(None, "w " * 10, "a")] * 10_000 + [(7, "v " * 10, None)] * 300 + [(i, "u " * 10, "b") for i in range(50)]
+    docs = make(rows).repartition(3)
+    result = mixing.mix(docs)
+    _, wanted, taken = check(docs, result)
+    for (_, target), got in taken.items():
+        assert abs(got - target) <= 5
+    assert sorted(taken.values()) == sorted(round(t / 10) * 10 for t in wanted.values())
+    kept = mixing.mixed_rows(docs)
+    assert kept.columns == docs.columns
+    of = {r.source: r["count"] for r in kept.groupBy("source").count().collect()}
+    assert of == {s: round(t / 10) for s, t in wanted.items()}
+    assert sorted(mixing.mix(docs.repartition(5)).groupBy("size", "taken").count().collect()) == sorted(
+        result.groupBy("size", "taken").count().collect()
+    )
