@@ -1,5 +1,9 @@
+import math
 import zlib
 
+import numpy as np
+import pytest
+
 from lakeload.llm import quality
 
 
@@ -40,3 +44,27 @@ def test_junk_is_rejected_and_clean_text_kept(given):
     junk = [i for i, q in labels.items() if q == 0]
     assert sum(i in kept for i in clean) >= 0.97 * len(clean)
     assert sum(i in kept for i in junk) <= 0.2 * len(junk)
+
+
+def test_scores_against_the_plain_discriminant(given):
+    """Shrunk class covariances and log-density differences, written out over local rows."""
+    docs, labels = given("documents"), {r.doc_id: r.quality for r in quality.labels_of(
+        given("labels")).withColumnRenamed("label", "quality").collect()}
+    rows = {r.doc_id: np.array(r.statistics) for r in quality.measured(docs).collect()}
+    learn = {c: np.array([x for i, x in rows.items() if labels.get(i) == c and zlib.crc32(str(i).encode()) % 5])
+             for c in (0, 1)}
+    total = sum(map(len, learn.values()))
+    scatter = {c: (x - x.mean(0)).T @ (x - x.mean(0)) for c, x in learn.items()}
+    pooled = (scatter[0] + scatter[1]) / total
+
+    def log_density(x, c):
+        n = len(learn[c])
+        weight = max(0.2, 1 / (n + 1))
+        cov = (1 - weight) * scatter[c] / n + weight * pooled
+        cov = 0.9 * cov + 0.1 * np.diag(np.diag(cov)) + 1e-4 * np.eye(len(cov))
+        off = x - learn[c].mean(0)
+        return math.log((n + 1) / (total + 2)) - 0.5 * (np.linalg.slogdet(cov)[1] + off @ np.linalg.inv(cov) @ off)
+
+    for r in quality.classify(docs, given("labels")).collect():
+        odds = np.clip(log_density(rows[r.doc_id], 1) - log_density(rows[r.doc_id], 0), -700, 700)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-5, abs=1e-9)
