@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from lakeload import scratch
 from lakeload.functions.columns import clean_path
-from lakeload.operators import catalog, checks, sinks
+from lakeload.operators import catalog, checks, fit, sinks
 from lakeload.plans.load import (
     LoadFailed,
     audit_frame,
@@ -110,14 +110,76 @@ TYPED = {
     "l_shipdate": "date",
     "l_returnflag": "string",
 }
+# Types declared for the same columns, some too narrow for their values.
+NARROW = {
+    "l_orderkey": "int",
+    "l_linenumber": "tinyint",
+    "l_extendedprice": "decimal(15,1)",
+    "l_shipdate": "date",
+    "l_returnflag": "string",
+}
 
 
-def scan_typed(spark, sf_dir):
+def _typed_root(spark, sf_dir):
     def as_text():
         rows = given(spark, sf_dir, "lineitem")
         return rows.select(*[F.col(c).cast(t).alias(c) for c, t in TYPED.items()])
 
-    root = staged(spark, sf_dir, "typed_lineitem", as_text)
+    return staged(spark, sf_dir, "typed_lineitem", as_text)
+
+
+def type_fit(spark, sf_dir):
+    """Every value as text, against types of which some are too narrow."""
+    root = _typed_root(spark, sf_dir)
+    text = T.StructType([T.StructField(c, T.StringType()) for c in TYPED])
+    declared = T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in NARROW.items()))
+    return fit.type_fit(delimited.scan(spark, f"{root}/typed_lineitem.dat", text), declared)
+
+
+def _type_fit_sql() -> str:
+    holds = {
+        "tinyint": "integers = filled AND most <= 127 AND least >= -128",
+        "int": "integers = filled AND most <= 2147483647 AND least >= -2147483648",
+        "decimal(15,1)": "numbers = filled AND whole_digits <= 14 AND scale <= 1",
+        "date": "dates = filled",
+        "string": "true",
+    }
+    folds = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{NARROW[c]}' AS declared, nullif(CAST(CAST({c} AS"
+        f" {'varchar' if t == 'string' else t}) AS varchar), '') AS v FROM lineitem"
+        for c, t in TYPED.items()
+    )
+    verdict = " ".join(f"WHEN declared = '{t}' THEN {sql}" for t, sql in holds.items())
+    return f"""
+        WITH t AS ({folds}), marked AS (
+            SELECT *, regexp_matches(v, '{fit.INTEGER}') AS is_integer, regexp_matches(v, '{fit.NUMBER}') AS is_number,
+                regexp_matches(v, '{fit.DATE}') AND TRY_CAST(v AS date) IS NOT NULL AS is_date
+            FROM t
+        ), needs AS (
+            SELECT column_name, declared, count(v) AS filled, count(*) FILTER (is_integer) AS integers,
+                count(*) FILTER (is_number) AS numbers, count(*) FILTER (is_date) AS dates,
+                min(TRY_CAST(CASE WHEN is_integer THEN v END AS hugeint)) AS least,
+                max(TRY_CAST(CASE WHEN is_integer THEN v END AS hugeint)) AS most,
+                CAST(max(length(regexp_extract(v, '^[+-]?0*([0-9]*)', 1))) FILTER (is_number) AS int) AS whole_digits,
+                CAST(max(length(regexp_extract(v, '[.]([0-9]+)$', 1))) FILTER (is_number) AS int) AS scale,
+                CAST(max(length(v)) AS int) AS longest
+            FROM marked GROUP BY column_name, declared
+        )
+        SELECT column_name, filled, integers, numbers, dates, whole_digits, scale, longest,
+            CASE WHEN filled = 0 THEN NULL
+                WHEN integers = filled AND least >= -128 AND most <= 127 THEN 'tinyint'
+                WHEN integers = filled AND least >= -32768 AND most <= 32767 THEN 'smallint'
+                WHEN integers = filled AND least >= -2147483648 AND most <= 2147483647 THEN 'int'
+                WHEN integers = filled AND whole_digits <= 18 THEN 'bigint'
+                WHEN numbers = filled THEN 'decimal(' || (whole_digits + scale) || ',' || scale || ')'
+                WHEN dates = filled THEN 'date' ELSE 'string' END AS fitted,
+            declared, CASE {verdict} END AS holds
+        FROM needs
+    """
+
+
+def scan_typed(spark, sf_dir):
+    root = _typed_root(spark, sf_dir)
     schema = T.StructType([T.StructField(c, data_type(t)) for c, t in TYPED.items()])
     return delimited.scan(spark, f"{root}/typed_lineitem.dat", schema)
 
@@ -646,6 +708,7 @@ def loader_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_delimited": scan_delimited,
         "scan_typed": scan_typed,
+        "type_fit": type_fit,
         "schema_registry": schema_registry,
         "scan_table": scan_table,
         "show_rows": show_rows,
@@ -753,6 +816,7 @@ def loader_sql() -> dict[str, str]:
             " AS l_extendedprice, CAST(l_shipdate AS DATE) AS l_shipdate, l_returnflag"
             " FROM lineitem"
         ),
+        "type_fit": _type_fit_sql(),
         "schema_registry": _tpcds_profile(),
         "scan_table": "SELECT * FROM customer",
         "show_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
