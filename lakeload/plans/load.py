@@ -22,9 +22,10 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeload.functions.columns import digest_sums
-from lakeload.operators import sinks, sketch
+from lakeload.operators import fit, sinks, sketch
 from lakeload.operators.catalog import create_namespace, namespace_location, quoted, read_table
 from lakeload.operators.checks import (
     comparison,
@@ -115,6 +116,18 @@ def source_frame(spark: SparkSession, table: str, spec: LoadSpec) -> DataFrame:
     return delimited.well_formed(delimited.parse(spark, path, schema, spec.layout))
 
 
+def source_fit(spark: SparkSession, table: str, spec: LoadSpec) -> DataFrame:
+    """For each declared column, the narrowest type of its values and whether the declared one holds them.
+
+    Reads the text as it is, so values that a load would turn to null, such as keys beyond 32
+    bits, are seen before it. Lines with too few fields count as null there; fields beyond the
+    declared ones are not seen, ``malformed`` is for those.
+    """
+    schema = spec.registry[table]
+    text = T.StructType([T.StructField(c, T.StringType()) for c in schema.names])
+    return fit.type_fit(delimited.scan(spark, spec.source_path(table), text, spec.layout), schema)
+
+
 def _observed(spark: SparkSession, table: str, spec: LoadSpec):
     """The rows to write, the observation filled as they are written, and the input splits."""
     path, schema = spec.source_path(table), spec.registry[table]

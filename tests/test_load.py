@@ -191,6 +191,21 @@ def test_an_empty_source_gives_an_empty_table(spark, spec, lines, malformed, con
     assert reconcile_load(spark, "inventory", spec, result=result).head().table_rows == 0
 
 
+def test_keys_that_do_not_fit_are_seen_before_the_load(spark, spec, lines):
+    lines("inventory", [*INVENTORY, "4|3000000000|5|x|"])
+    fitted = loads.source_fit(spark, "inventory", spec).collect()
+    found = {r.column_name: (r.fitted, r.declared, r.holds) for r in fitted}
+    assert found == {
+        "inv_date_sk": ("tinyint", "int", True),
+        "inv_item_sk": ("bigint", "int", False),
+        "inv_warehouse_sk": ("tinyint", "int", True),
+        "inv_quantity_on_hand": ("string", "int", False),
+    }
+    wider = replace(spec, registry=spec.registry.override({"inventory": {"inv_item_sk": "bigint"}}))
+    holds = {r.column_name: r.holds for r in loads.source_fit(spark, "inventory", wider).collect()}
+    assert holds["inv_item_sk"]
+
+
 def test_decimals_dates_and_encoding(spark, spec, lines):
     line = "1|AAAA|2001-10-27||café|3.15|2.10||||||||||||||||"
     lines("item", f"{line}\n".encode("latin-1"))
