@@ -16,18 +16,32 @@ from lakeload.llm.queries import SAMPLES, tokenizer
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; labels of the held-out fold teach nothing."""
+    """Documents that the quality classifier accepts; labels of the held-out fold teach nothing.
+
+    Null, empty and very long texts are scored by the statistics of the whole text, like any
+    other. Rows without an id have no label but a score. Repeated rows stay or go together.
+    An empty table stays empty, and further columns are kept.
+    """
     return quality.accepted(docs, given(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, over five words and a similarity of 0.8."""
+    """One document of each group of near copies, over five words and a similarity of 0.8.
+
+    The least id of a group stays. Rows without an id, and null and empty texts, stay; of rows
+    that share an id and are in a group, the least by text stays. Texts are compared whole,
+    however long. An empty table stays empty, and further columns are kept.
+    """
     ship(spark)
     return near_sets.deduplicated(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in their texts masked; n_chars follows the text."""
+    """All documents, with secrets in their texts masked; n_chars follows the text.
+
+    No row goes. Null stays null, with a null n_chars; empty and very long texts are scanned whole,
+    and repeated rows are masked alike. An empty table stays empty, and further columns are kept.
+    """
     ship(spark)
     masked = secrets.redacted(docs)
     return masked.selectExpr(
@@ -36,12 +50,22 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: rows left out, taken once, or repeated."""
+    """Sources at their target weights: rows left out, taken once, or repeated.
+
+    Rows without a source are a source of their own. Null and empty texts have no words; a row
+    without words is taken as often as its hash asks for. Of rows equal in id and text as many go
+    in as come nearest to the target. An empty table stays empty, and further columns are kept.
+    """
     return mixing.mixed_rows(docs)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Distinct sampled segmentations of each row, as ids, with their inclusion scores."""
+    """Distinct sampled segmentations of each row, as ids, with their inclusion scores.
+
+    Seeds come from doc_id and source, so repeated rows get the same samples. Null and empty
+    texts, and texts with fewer segmentations than samples, are as ``pieces.sampled`` states.
+    Very long texts are segmented whole. An empty table stays empty.
+    """
     ship(spark)
     return pieces.sampled(docs, tokenizer("piece_bpe_32k.model"), SAMPLES, ["doc_id", "source"])
 
