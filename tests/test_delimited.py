@@ -141,3 +141,15 @@ def test_the_empty_string_reads_as_null(spark, tmp_path):
     rows = spark.sql("SELECT 1 AS k, '' AS t")
     delimited.write_delimited(rows, str(tmp_path / "t.dat"))
     assert delimited.scan(spark, str(tmp_path / "t.dat"), rows.schema).collect() == [(1, None)]
+
+
+def test_compressed_files_hold_the_same_rows_and_few_each(spark, tmp_path):
+    rows = spark.range(0, 2500, 1, 1).selectExpr("id", "concat(' ', id, '|') AS t")
+    path = str(tmp_path / "packed.dat")
+    delimited.write_delimited(rows, path, compression="gzip", file_rows=1000)
+    assert len(list((tmp_path / "packed.dat").glob("*.csv.gz"))) == 3
+    for read in (
+        delimited.scan(spark, path, rows.schema),
+        delimited.well_formed(delimited.parse(spark, path, rows.schema)),
+    ):
+        assert sorted(map(tuple, read.collect())) == sorted(map(tuple, rows.collect()))

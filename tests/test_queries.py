@@ -1,6 +1,7 @@
 """Every driver query against its SQL; those without SQL must give rows."""
 
 import os
+import pathlib
 
 import __spark_entry__ as driver
 import oracle
@@ -43,5 +44,17 @@ def test_file_inventory_against_the_disk(spark):
     assert {r.prefix: (r.file_count, r.total_bytes) for r in listed} == found
 
 
+def size_of(path):
+    return sum(f.stat().st_size for f in pathlib.Path(path).rglob("*.*") if f.is_file())
+
+
+def test_staged_text_takes_less_than_plain_text(spark, tmp_path):
+    rows = driver.given(spark, SF_DIR, "lineitem")
+    plain = str(tmp_path / "lineitem.dat")
+    driver.delimited.write_delimited(rows, plain)
+    root = driver.staged(spark, SF_DIR, "lineitem", lambda: rows)
+    assert 2 * size_of(f"{root}/lineitem.dat") < size_of(plain)
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
