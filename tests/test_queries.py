@@ -56,5 +56,12 @@ def test_staged_text_takes_less_than_plain_text(spark, tmp_path):
     assert 2 * size_of(f"{root}/lineitem.dat") < size_of(plain)
 
 
+def test_loads_of_queries_write_packed_tables(spark):
+    spec = driver.staged_spec(spark, SF_DIR, ["customer"])
+    driver.load_table(spark, "customer", spec)
+    files = driver.catalog.read_table(spark, spec.table_name("customer")).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
