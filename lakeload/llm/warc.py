@@ -183,7 +183,8 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE, compression: s
         "WARC-Refers-To-Date": date,
     }
     visited = _transaction(members.where(~is_response), "revisit", sized(F.col("size")), date, more)
-    written.unionByName(visited).write.option("lineSep", BLANK).option("compression", compression).text(path)
+    archives = written.unionByName(visited).write.option("lineSep", BLANK).option("compression", compression)
+    archives.option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 # --- reading ------------------------------------------------------------------------

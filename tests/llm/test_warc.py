@@ -144,3 +144,16 @@ def test_archives_of_other_writers(spark, given, tmp_path):
     assert bytes(found["<r2>"].main.payload) == b"plain" and found["<r2>"].requests == []
     assert bytes(found["<r3>"].main.payload) == b"abcde"
     assert found["<m2>"].main is None and found["<m2>"].metadata[0].record_id == "<m2>"
+
+
+def test_archives_are_compressed_fast(spark, tmp_path):
+    pages = spark.range(400).selectExpr(
+        "id AS page_id", "concat('http://h/', id) AS url", "repeat(concat(sha1(string(id)), ' of a page '), 20) AS html"
+    )
+    path = str(tmp_path / "fast")
+    warc.write_archives(pages.coalesce(1), path)
+    for file in (tmp_path / "fast").glob("*.gz"):
+        packed = file.read_bytes()
+        text = gzip.decompress(packed)
+        fast, usual = (len(gzip.compress(text, level)) for level in (1, 6))
+        assert not text or abs(len(packed) - fast) < abs(len(packed) - usual)
