@@ -91,12 +91,18 @@ class Vocabulary:
         self.weights = np.array([hashes[int(h)][1] for h in self.hashes])
         self.table = np.zeros(1 << _TABLE_BITS, np.uint8)
         self.table[self.place(np.array(list(prefixes), _U))] |= 1
-        self.table[self.place(self.hashes)] |= 2
+        own = self.place(self.hashes)
+        self.table[own] |= 2
+        # One of the pieces at a place; where there are several, the others are searched for.
+        self.slot = np.zeros(1 << _TABLE_BITS, np.min_scalar_type(len(own)))
+        self.slot[own] = np.arange(len(own))
+        self.table[own[self.slot[own] != np.arange(len(own))]] |= 4
         self.text = [b""] * size
         for i in plain:
             self.text[i] = names[i].replace(BLANK, " ").encode()
         for b in range(256):
             self.text[self.bytes_from + b] = bytes([b])
+        self.bytes = pa.array(self.text, pa.large_binary())
 
     @staticmethod
     def place(hashes: np.ndarray) -> np.ndarray:
@@ -251,11 +257,16 @@ class Lattices:
                 inside = left[at] > k
                 at, hashes = at[inside], hashes[inside]
             hashes = hashes * _BASE + wide[at + k]
-            flags = v.table[v.place(hashes)]
+            slots = v.place(hashes)
+            flags = v.table[slots]
             hit = np.flatnonzero(flags & 2)
-            near = np.minimum(np.searchsorted(v.hashes, hashes[hit]), len(v.hashes) - 1)
-            equal = v.hashes[near] == hashes[hit]
-            places, ids, weights = at[hit[equal]], v.ids[near[equal]], v.weights[near[equal]]
+            own = hashes[hit]
+            near = v.slot[slots[hit]].astype(np.int64)
+            several = np.flatnonzero(flags[hit] & 4)
+            near[several] = np.minimum(np.searchsorted(v.hashes, own[several]), len(v.hashes) - 1)
+            equal = v.hashes[near] == own
+            near = near[equal]
+            places, ids, weights = at[hit[equal]], v.ids[near], v.weights[near]
             if not k:
                 alone = np.ones(len(chars), bool)
                 alone[places] = False
@@ -523,12 +534,24 @@ def _slices(batch: pa.RecordBatch):
         yield batch.slice(start)
 
 
-def _decodes(texts: pa.Array, drawn: list, v: Vocabulary) -> pa.Array:
-    """Whether the pieces of each sample give the row's text, but for U+2581, which gives a blank."""
+def _decodes(texts: pa.Array, samples: np.ndarray, flat: list, ids: np.ndarray, v: Vocabulary) -> pa.Array:
+    """Whether the pieces of each sample give its text, but for U+2581, which gives a blank.
+
+    ``samples`` is the row of each sample, and ``ids`` the pieces of all of them. Their bytes stand
+    together and are compared as they are; only those that differ are decoded.
+    """
+    wanted = pc.replace_substring(pc.fill_null(texts, ""), BLANK, " ").to_pylist()
+    raw = [w.encode("utf-8", "surrogatepass") for w in wanted]
+    pieces = v.bytes.take(pa.array(ids, pa.int32()))
+    lengths = pc.binary_length(pieces).to_numpy(zero_copy_only=False)
+    places = np.concatenate([[0], np.cumsum(lengths)])
+    every = pieces.buffers()[2].to_pybytes() if len(pieces) else b""
+    ends = places[np.cumsum([0, *[len(s[0]) for s in flat]])].tolist()
     out = []
-    for text, own in zip(texts.to_pylist(), drawn, strict=True):
-        want = (text or "").replace(BLANK, " ")
-        out += [v.decode(s[0].tolist()) == want for s in own]
+    for i, row in enumerate(samples.tolist()):
+        start, end = ends[i], ends[i + 1]
+        start += every[start : min(start + 1, end)] == b" "
+        out.append(every[start:end] == raw[row] or v.decode(flat[i][0].tolist()) == wanted[row])
     return pa.array(out, pa.bool_())
 
 
@@ -543,11 +566,13 @@ def _sample_batches(path: str, k: int, seed: int, sharpness: float, columns: lis
                 flat = [s for d in drawn for s in d]
                 sizes = [len(s[0]) for s in flat]
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([s[0] for s in flat]), pa.int32()))
+                every = np.concatenate([s[0] for s in flat])
+                ids = pa.ListArray.from_arrays(offsets, pa.array(every, pa.int32()))
                 kept = [c.take(pa.array(at)) for c in batch.columns[2:]]
                 ranks = pa.array([r + 1 for d in drawn for r in range(len(d))], pa.int32())
                 numbers = [pa.array([s[i] for s in flat], pa.float64()) for i in (1, 2)]
-                held = [_decodes(batch.column(1), drawn, vocabulary(path, sharpness))] if check else []
+                v = vocabulary(path, sharpness)
+                held = [_decodes(batch.column(1), at, flat, every, v)] if check else []
                 yield pa.RecordBatch.from_arrays([*kept, ranks, ids, *numbers, *held], names)
 
     return run

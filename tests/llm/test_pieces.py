@@ -114,3 +114,27 @@ def test_a_long_word_without_blanks():
     own = pieces.sample(["z" * 5000 + "漢" * 3000], [3], MODEL, 2)[0]
     v = pieces.vocabulary(MODEL)
     assert len(own) == 2 and all(v.decode(s[0]) == "z" * 5000 + "漢" * 3000 for s in own)
+
+
+def test_pieces_are_found_by_table_also_where_several_share_a_place(vocabulary):
+    v = vocabulary
+    places = v.place(v.hashes)
+    assert len(np.unique(places)) < len(places)
+    several = np.bincount(places.astype(np.int64))[places.astype(np.int64)] > 1
+    for h in np.flatnonzero(several).tolist()[:200]:
+        name = v.model.id_to_piece(int(v.ids[h]))
+        chars = np.frombuffer(name.encode("utf-32-le"), np.uint32)
+        found = pieces.Lattices(v)._found(chars, np.arange(len(chars), 0, -1, dtype=np.int32))
+        at, ids, _ = found[len(name) - 1]
+        assert ids[at == 0].tolist() == [int(v.ids[h])]
+
+
+def test_samples_that_differ_from_their_text_are_seen(vocabulary):
+    texts = pa.array(["ab cd", "", None, "a▁b", " x", "�"], pa.string())
+    drawn = [pieces.sample([t.as_py()], [1], MODEL, 1)[0][0] for t in texts]
+    whole = pieces._decodes(texts, np.arange(6), drawn, np.concatenate([d[0] for d in drawn]), vocabulary)
+    assert whole.to_pylist() == [True] * 6
+    cut = [(d[0][:-1], *d[1:]) for d in drawn]
+    seen = pieces._decodes(texts, np.arange(6), cut, np.concatenate([d[0] for d in cut]), vocabulary)
+    assert seen.to_pylist() == [vocabulary.decode(d[0].tolist()) == (t.as_py() or "").replace("▁", " ") for d, t in zip(cut, texts)]
+    assert seen.to_pylist()[:1] == [False]
