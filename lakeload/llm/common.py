@@ -6,6 +6,8 @@ import ctypes
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows of a few numbers that may be broadcast; beyond this a join shuffles.
 BROADCAST_ROWS = 500_000
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words, A-Z in lower case, the number of each word, and each text's bounds.
@@ -103,6 +107,17 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of what runs here as it ends, not when the driver collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def saved(frame: DataFrame, label: str) -> DataFrame:
     """Write to the shared scratch folder and read back, which cuts the lineage.
 
@@ -111,7 +126,8 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     """
     path = scratch.new_dir(frame.sparkSession, label)
     counted = Observation()
-    frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(path)
+    with _shuffles_removed(frame.sparkSession):
+        frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.option("compression", "zstd").parquet(path)
     stored = frame.sparkSession.read.schema(frame.schema).parquet(path)
     stored.row_count = counted.get["rows"]
     stored.path = path

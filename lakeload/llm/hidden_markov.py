@@ -384,7 +384,9 @@ def _learn(chain: Chain, centres: np.ndarray):
         words = counts[:-1]
         once = words[known.seen == 1].sum(0)
         sums = np.concatenate([moves.ravel(), starts, counts.sum(0), counts[-1], once, [likelihood]])
-        local = zlib.compress(words.astype(np.float32).tobytes(), 1)
+        own = words.astype(np.float32)
+        own[known.at] = 0  # shared words get their sums of all blocks
+        local = zlib.compress(own.tobytes(), 1)
         rows = [(key[0].as_py(), None, None, None, None, sums.tolist(), local)]
         if len(known.at):
             rows.append((key[0].as_py(), known.at, known.word, known.seen[known.at], words[known.at], None, None))
