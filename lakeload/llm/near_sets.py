@@ -408,12 +408,17 @@ def _pairs_across(labelled: DataFrame, percent: int) -> DataFrame:
     fits = (F.col("m") * 100 >= F.col("k") * percent) & (F.col("o") * 100 >= F.col("l") * percent)
     early = (F.col("i") < F.col("m") - overlap + spare) & (F.col("j") < F.col("o") - overlap + spare)
     on = (c["shingle"] == d["shingle"]) & (F.col("c") < F.col("d")) & fits & early
-    meet = c.join(d, on).select(c["shingle"], "c", "d")
+    meet = c.join(d, on).select(c["shingle"], "c", "d", "k", "o")
     side = lambda x, u, n, i: labelled.select(
         "shingle", F.col("component").alias(x), F.col("cell").alias(u), F.col("n").alias(n), F.col("at").alias(i)
     )
-    met = meet.join(side("c", "a", "n_a", "i"), ["shingle", "c"]).join(side("d", "b", "n_b", "j"), ["shingle", "d"])
     n_a, n_b = F.col("n_a"), F.col("n_b")
+    # A cell of c goes on only where some size from k to o would take it; the least one asks for least.
+    fewest = _least_overlap(n_a, F.greatest(F.col("k").cast("double"), n_a * percent / 100), percent)
+    some = (n_a * 100 >= F.col("k") * percent) & (F.col("o") * 100 >= n_a * percent)
+    some = some & (F.col("i") < n_a - fewest + F.floor(fewest / 50) + 1)
+    met = meet.join(side("c", "a", "n_a", "i"), ["shingle", "c"]).where(some).select("shingle", "d", "a", "n_a", "i")
+    met = met.join(side("d", "b", "n_b", "j"), ["shingle", "d"])
     reach = _needed(n_a, n_b, percent) - _least_overlap(n_a, n_b, percent)
     met = met.where(
         (n_a * 100 >= n_b * percent) & (n_b * 100 >= n_a * percent)
