@@ -3,10 +3,13 @@
 Tasks turn documents into blocks of token numbers once. Word counts, by block and by the
 state a document starts with, are summed by word over all blocks. Each round of Baum-Welch
 then meets every block with the emissions of its words, runs the forward and backward
-recursions, and returns expected counts: transitions as one row for each block, emissions
-as one row for each of its words that other blocks have too. Those are summed by word for
-the next round. Words of one block only stay with the block. So no task and not the driver
-ever holds the vocabulary; the driver holds the transitions.
+recursions, and returns expected counts: transitions as one row for each block, emissions of
+words that other blocks have too as packed rows, one for each range of word hashes. Those are
+summed by range for the next round. Words of one block only stay with the block. So no task
+and not the driver ever holds the vocabulary; the driver holds the transitions.
+
+Expected counts travel as multiples of 2^-24 of a token, so their sums over blocks are exact
+in any order.
 
 Scores come from the scaled forward recursion, in which the scales' logarithms add up to the
 exact log likelihood. Starting states are clusters of letter frequencies.
@@ -18,7 +21,6 @@ make up there.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,9 +29,8 @@ import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import dropped, saved, split_words
 
@@ -43,6 +44,8 @@ LETTERS = 32
 SLICE_ROWS = 2000  # texts whose words are split side by side
 START_ROUNDS = 4  # that draw candidates for the centres from all documents
 START_POINTS = 64  # candidates of each round
+RANGE_WORDS = 250_000  # of all blocks that one range of word hashes holds, on average
+UNIT = 1 << 24  # of these make one token in expected counts
 
 
 def _profile(text: str | None) -> np.ndarray:
@@ -66,20 +69,25 @@ def _blocks(batches):
         for start in range(0, len(whole), SLICE_ROWS):
             held.add(whole.slice(start, SLICE_ROWS))
             if held.chars >= BLOCK_CHARS:
-                yield held.row(part * 1024 + number)
+                yield held.row((part << 32) + number)
                 held, number = Block(), number + 1
     if held.ids:
-        yield held.row(part * 1024 + number)
+        yield held.row((part << 32) + number)
 
 
-def _packed(numbers: np.ndarray) -> bytes:
-    """Small numbers in few bytes: low bytes, then higher ones, which are mostly equal."""
-    return zstandard.compress(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+def _packed(numbers: np.ndarray, level: int = 1) -> bytes:
+    """Numbers from 0 in few bytes: low bytes, then higher ones, which are mostly equal."""
+    numbers = np.ascontiguousarray(numbers, np.uint64)
+    width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    planes = numbers.view(np.uint8).reshape(-1, 8).T[:width]
+    return bytes([width]) + zstandard.compress(planes.tobytes(), level)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view(np.int64).ravel()
 
 
 class Block:
@@ -107,17 +115,18 @@ class Block:
                 pa.array([self.ids], pa.list_(pa.int64())),
                 pa.array([self.out], pa.list_(pa.bool_())),
                 pa.array([self.lengths], pa.list_(pa.int32())),
-                pa.array([_packed(np.concatenate(self.tokens))], pa.binary()),
+                pa.array([_packed(np.concatenate(self.tokens), 3)], pa.binary()),
                 pa.array([np.stack(self.profiles).tobytes()], pa.binary()),
                 pa.array([list(self.words)], pa.list_(pa.string())),
+                pa.array([len(self.words)], pa.int64()),
             ],
-            ["block", "doc_ids", "held_out", "lengths", "tokens", "profiles", "words"],
+            ["block", "doc_ids", "held_out", "lengths", "tokens", "profiles", "words", "n_words"],
         )
 
 
 _BLOCK = (
     "block long, doc_ids array<long>, held_out array<boolean>, lengths array<int>,"
-    " tokens binary, profiles binary, words array<string>"
+    " tokens binary, profiles binary, words array<string>, n_words long"
 )
 
 
@@ -342,21 +351,46 @@ def _rows(table: pa.Table) -> dict:
     return {name: table.column(name)[0].as_py() for name in table.column_names if name not in ("words", "doc_ids")}
 
 
+# Counts of the words of one block and one range, by rising place. Places are given by their
+# steps, words by their number among the shared words of the range. Rows without places have the
+# counts of a block's other words, or sums alone.
+_SHARED = (
+    "part long, block long, places binary, words binary, seen binary, counts binary, sums array<double>"
+)
+_SHARED_KINDS = pa.schema(
+    [
+        *[(n, pa.int64()) for n in ("part", "block")],
+        *[(n, pa.binary()) for n in ("places", "words", "seen", "counts")],
+        ("sums", pa.list_(pa.float64())),
+    ]
+)
+
+
+def _counted(data: bytes, states: int) -> np.ndarray:
+    return _unpacked(data).reshape(states, -1).T
+
+
 class Emissions:
     """Counts of one block's words: sums over all blocks where shared, else the block's own."""
 
-    def __init__(self, tokens: Tokens, words: int, shared: pa.Table, local: bytes | None):
+    def __init__(self, tokens: Tokens, words: int, shared: pa.Table):
         own = tokens.counts(words)
         self.seen = own.sum(1)
         self.counts = own.astype(float)
-        if local is not None:
-            kept = np.frombuffer(zlib.decompress(local), np.float32).reshape(-1, tokens.states)
-            self.counts = kept.astype(float)
-        self.at = np.asarray(shared.column("place"), np.int64)
-        self.word = np.asarray(shared.column("word"), np.int64)
-        if len(self.at):
-            self.seen[self.at] = np.asarray(shared.column("seen"))
-            self.counts[self.at] = np.column_stack([np.asarray(shared.column(f"n{k}")) for k in range(tokens.states)])
+        self.shared, kept = [], None
+        alone = np.ones(words, bool)
+        for row in shared.select(_SHARED_KINDS.names).to_pylist():
+            if row["places"] is None:
+                kept = row["counts"]
+                continue
+            places = np.cumsum(_unpacked(row["places"]))
+            alone[places] = False
+            self.seen[places] = _unpacked(row["seen"])
+            self.counts[places] = _counted(row["counts"], tokens.states) / UNIT
+            self.shared.append((row, places))
+        self.alone = np.flatnonzero(alone)
+        if kept is not None:
+            self.counts[self.alone] = _counted(kept, tokens.states) / UNIT
 
 
 def _learn(chain: Chain, centres: np.ndarray):
@@ -365,10 +399,10 @@ def _learn(chain: Chain, centres: np.ndarray):
 
     def run(key, block: pa.Table, shared: pa.Table) -> pa.Table:
         if not len(block):
-            return _learned([], states)
+            return _SHARED_KINDS.empty_table()
         row = _rows(block)
         tokens = Tokens(row, centres)
-        known = Emissions(tokens, row["n_words"], shared, row.get("local"))
+        known = Emissions(tokens, row["n_words"], shared)
         emit = chain.emissions(known.counts, known.seen)
         counts = np.zeros((row["n_words"] + 1, states))
         moves, starts, likelihood = np.zeros((states, states)), np.zeros(states), 0.0
@@ -384,45 +418,81 @@ def _learn(chain: Chain, centres: np.ndarray):
         words = counts[:-1]
         once = words[known.seen == 1].sum(0)
         sums = np.concatenate([moves.ravel(), starts, counts.sum(0), counts[-1], once, [likelihood]])
-        own = words.astype(np.float32)
-        own[known.at] = 0  # shared words get their sums of all blocks
-        local = zlib.compress(own.tobytes(), 1)
-        rows = [(key[0].as_py(), None, None, None, None, sums.tolist(), local)]
-        if len(known.at):
-            rows.append((key[0].as_py(), known.at, known.word, known.seen[known.at], words[known.at], None, None))
-        return _learned(rows, states)
+        units = np.rint(words * UNIT).astype(np.int64)
+        number = key[0].as_py()
+        rows = [{"part": -1 - number, "block": number, "counts": _packed(units[known.alone].T), "sums": sums.tolist()}]
+        rows += [{**r, "counts": _packed(units[places].T)} for r, places in known.shared]
+        return pa.Table.from_pylist(rows, _SHARED_KINDS)
 
     return run
 
 
-def _learned(rows: list, states: int) -> pa.Table:
-    parts = []
-    for block, place, word, seen, counts, sums, local in rows:
-        n = 1 if place is None else len(place)
-        empty = lambda kind, n=n: pa.nulls(n, kind)
-        columns = {
-            "block": pa.array(np.full(n, block), pa.int64()),
-            "place": empty(pa.int32()) if place is None else pa.array(place, pa.int32()),
-            "word": empty(pa.int64()) if word is None else pa.array(word, pa.int64()),
-            "seen": empty(pa.int64()) if seen is None else pa.array(seen, pa.int64()),
-            "sums": empty(pa.list_(pa.float64())) if sums is None else pa.array([sums], pa.list_(pa.float64())),
-            "local": empty(pa.binary()) if local is None else pa.array([local], pa.binary()),
-        }
-        for k in range(states):
-            columns[f"n{k}"] = empty(pa.float32()) if counts is None else pa.array(counts[:, k], pa.float32())
-        parts.append(pa.table(columns))
-    return pa.concat_tables(parts) if parts else _empty(states)
+def _parts(batches):
+    """The rows of each part; batches come in order of parts."""
+    held = []
+    for batch in batches:
+        for i in range(len(batch)):
+            row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
+            if held and row["part"] != held[0]["part"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
 
-def _learned_schema(states: int) -> str:
-    numbers = ", ".join(f"n{k} float" for k in range(states))
-    return f"block long, place int, word long, seen long, sums array<double>, local binary, {numbers}"
+def _sum_words(states: int):
+    """Words of one range numbered over all blocks, and sums of their counts."""
 
+    def run(batches):
+        for rows in _parts(batches):
+            texts = [zstandard.decompress(r["texts"]).split(b"\n") for r in rows]
+            word = pa.array([t for own in texts for t in own], pa.binary()).dictionary_encode().indices
+            bounds = np.cumsum([0, *map(len, texts)])
+            words = [word.to_numpy()[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            size = max(int(w.max()) for w in words) + 1
+            total, blocks = np.zeros((size, states), np.int64), np.zeros(size, np.int64)
+            for r, own in zip(rows, words, strict=True):
+                total[own] += _counted(r["counts"], states)  # a block has a word once
+                blocks[own] += 1
+            seen = total.sum(1)
+            sums = [(seen > 0).sum(), seen.sum(), *total[seen == 1].sum(0), *total.sum(0)]
+            out = [{"part": rows[0]["part"], "sums": [float(x) for x in sums]}]
+            number = np.cumsum(blocks > 1) - 1
+            for r, own in zip(rows, words, strict=True):
+                at = np.flatnonzero(blocks[own] > 1)
+                if len(at):
+                    mine, places = own[at], np.cumsum(_unpacked(r["places"]))[at]
+                    out.append(
+                        {
+                            "part": r["part"],
+                            "block": r["block"],
+                            "places": _packed(np.diff(places, prepend=0)),
+                            "words": _packed(number[mine]),
+                            "seen": _packed(seen[mine]),
+                            "counts": _packed(total[mine].T * UNIT),
+                        }
+                    )
+            yield pa.RecordBatch.from_pylist(out, _SHARED_KINDS)
+
+    return run
+
+
+def _sum_counts(states: int):
+    """Each block's counts of one range replaced by the sums over all blocks."""
+
+    def run(batches):
+        for rows in _parts(batches):
+            if rows[0]["places"] is not None:
+                words = [_unpacked(r["words"]) for r in rows]
+                total = np.zeros((max(int(w.max()) for w in words) + 1, states), np.int64)
+                for r, own in zip(rows, words, strict=True):
+                    total[own] += _counted(r["counts"], states)
+                for r, own in zip(rows, words, strict=True):
+                    r["counts"] = _packed(total[own].T)
+            yield pa.RecordBatch.from_pylist(rows, _SHARED_KINDS)
 
-def _empty(states: int) -> pa.Table:
-    kinds = [("block", pa.int64()), ("place", pa.int32()), ("word", pa.int64()), ("seen", pa.int64())]
-    kinds += [("sums", pa.list_(pa.float64())), ("local", pa.binary())]
-    return pa.schema([*kinds, *[(f"n{k}", pa.float32()) for k in range(states)]]).empty_table()
+    return run
 
 
 def _score(chain: Chain, centres: np.ndarray):
@@ -435,7 +505,7 @@ def _score(chain: Chain, centres: np.ndarray):
             return pa.schema(list(zip(names, kinds, strict=True))).empty_table()
         row = _rows(block)
         tokens = Tokens(row, centres)
-        known = Emissions(tokens, row["n_words"], shared, row.get("local"))
+        known = Emissions(tokens, row["n_words"], shared)
         emit = chain.emissions(known.counts, known.seen)
         seen = np.append(known.seen, chain.docs)
         base = np.log10((seen + 1) / (chain.tokens + chain.words + 1))
@@ -459,26 +529,28 @@ def _score(chain: Chain, centres: np.ndarray):
     return run
 
 
-def _word_rows(centres: np.ndarray):
-    """For each block, its words with training counts by starting state."""
-    states = len(centres)
+def _word_rows(centres: np.ndarray, ranges: int):
+    """For each block and range of hashes, the words with training counts by starting state."""
 
     def run(batches):
         for batch in batches:
             for i in range(len(batch)):
-                row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names) if n != "words"}
-                words = batch.column(batch.schema.names.index("words"))[i].values
+                row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
+                words = [w.encode() for w in row["words"]]
                 counts = Tokens(row, centres).counts(len(words))
-                columns = [
-                    pa.array(np.full(len(words), row["block"]), pa.int64()),
-                    pa.array(np.arange(len(words)), pa.int32()),
-                    words,
-                    *[pa.array(counts[:, k], pa.int32()) for k in range(states)],
-                ]
-                names = ["block", "place", "text", *[f"n{k}" for k in range(states)]]
-                whole = pa.RecordBatch.from_arrays(columns, names)
-                for start in range(0, len(whole), 50_000):
-                    yield whole.slice(start, 50_000)
+                part = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(ranges)
+                order = np.argsort(part, kind="stable")
+                for at in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                    if len(at):
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "part": [int(part[at[0]])],
+                                "block": [row["block"]],
+                                "places": [_packed(np.diff(at, prepend=0))],
+                                "texts": [zstandard.compress(b"\n".join([words[k] for k in at]), 3)],
+                                "counts": [_packed(counts[at].T)],
+                            }
+                        )
 
     return run
 
@@ -499,71 +571,51 @@ def score(docs: DataFrame, states: int = STATES, rounds: int | None = None, held
     given = docs.select("doc_id", "text", held_out.alias("held_out"))
     blocks = saved(given.mapInArrow(_blocks, _BLOCK), "token-blocks")
     centres = starting_centres(blocks, states)
-    lean = blocks.select("block", "doc_ids", "held_out", "lengths", "tokens", "profiles", F.size("words").alias("n_words"))
+    # Few rows with much work each: they are dealt by number, not by their size.
+    tasks = max(2 * blocks.row_count, 1)
+    ranges = -(-(blocks.agg(F.sum("n_words")).first()[0] or 0) // RANGE_WORDS) or 1
 
-    names = [f"n{k}" for k in range(states)]
-    numbers = ", ".join(f"{n} int" for n in names)
     words = blocks.select("block", "held_out", "lengths", "tokens", "profiles", "words").mapInArrow(
-        _word_rows(centres), f"block long, place int, text string, {numbers}"
+        _word_rows(centres, ranges), "part long, block long, places binary, texts binary, counts binary"
     )
-    own = sum((F.col(n).cast("long") for n in names[1:]), F.col(names[0]).cast("long"))
-    same = Window.partitionBy("text")
-    number = F.shiftleft("block", 32) + F.col("place")
-    # What follows from the counts is computed after the shuffle.
-    dealt = words.repartition("text").withColumn("own", own).withColumn("number", number)
-    summed = dealt.select(
-        "block", "place", "own", "number",
-        F.min("number").over(same).alias("word"),
-        F.sum("own").over(same).alias("seen"),
-        F.count(F.lit(1)).over(same).alias("blocks"),
-        *[F.sum(n).over(same).cast("float").alias(n) for n in names],
-    )
-    first = (F.col("number") == F.col("word")) & (F.col("seen") > 0)
-    found = Observation()
-    once = [F.sum(F.when(first & (F.col("seen") == 1), F.col(n))).alias(f"once_{n}") for n in names]
-    whole = [F.sum(F.when(first, F.col(n))).alias(f"all_{n}") for n in names]
-    every = F.sum(F.when(first, F.col("seen"))).alias("tokens")
-    counted = summed.observe(found, F.count_if(first).alias("words"), every, *once, *whole)
-    shared = stored = saved(
-        counted.where("blocks > 1").select("block", "place", "word", "seen", *names), "shared-words"
-    )
-    of = found.get
+    dealt = words.repartition(ranges, "part").sortWithinPartitions("part", "block")
+    shared = saved(dealt.mapInArrow(_sum_words(states), _SHARED), "shared-words")
+    n_words, n_tokens, *sums = _sums(shared.where("block IS NULL"), 2 + 2 * states)
+    once, totals = np.array(sums).reshape(2, states)
     by_state = _training_docs(blocks, centres)
     trained = int(by_state.sum())
-    totals = np.array([of[f"all_{n}"] or 0.0 for n in names])
     moves = np.diag(totals) + (1 + totals.sum() * 1e-6) / states
     chain = Chain(
         start=(by_state + 1) / (by_state + 1).sum(),
         move=moves / moves.sum(1, keepdims=True),
         totals=totals + by_state,
         ends=by_state,
-        once=np.array([of[f"once_{n}"] or 0.0 for n in names]),
-        tokens=(of["tokens"] or 0) + trained,
-        words=of["words"] + (trained > 0),
+        once=once,
+        tokens=int(n_tokens) + trained,
+        words=int(n_words) + (trained > 0),
         docs=trained,
     )
-    known, number, before = lean, 0, -np.inf
+
+    def met(*more):
+        """Blocks with the counts of their words."""
+        lean = blocks.select("block", "held_out", "lengths", "tokens", "profiles", "n_words", *more)
+        of_block = shared.where("block IS NOT NULL").repartition(tasks, "block")
+        return lean.repartition(tasks, "block").groupBy("block").cogroup(of_block.groupBy("block"))
+
+    number, before = 0, -np.inf
     while trained and (rounds is None or number < rounds):
-        learned = known.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-            _learn(chain, centres), _learned_schema(states)
-        )
-        learned = saved(learned, "expected")
-        dropped(stored)  # only the last round's counts are read from here on
-        stored = learned
+        learned = met().applyInArrow(_learn(chain, centres), _SHARED)
+        dealt = learned.repartition(ranges, "part").sortWithinPartitions("part", "block")
+        learned = saved(dealt.mapInArrow(_sum_counts(states), _SHARED), "expected")
+        dropped(shared)  # only the last round's counts are read from here on
+        shared = learned
         chain, likelihood = _updated(chain, learned, states)
-        of_word = Window.partitionBy("word")
-        shared = learned.where("word IS NOT NULL").select(
-            "block", "place", "word", "seen", *[F.sum(n).over(of_word).alias(n) for n in names]
-        )
-        local = learned.where("local IS NOT NULL").select("block", "local")
-        # One row a block on either side, so the join moves no more than the blocks.
-        known = lean.join(local, "block")
         # The likelihood is that of the chain before; this round's counts are used in any case.
         number += 1
         if likelihood - before < TOLERANCE * chain.tokens:
             break
         before = likelihood
-    scored = known.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+    scored = met("doc_ids").applyInArrow(
         _score(chain, centres),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
@@ -573,6 +625,14 @@ def score(docs: DataFrame, states: int = STATES, rounds: int | None = None, held
     )
 
 
+def _sums(rows: DataFrame, size: int) -> np.ndarray:
+    out = np.zeros(size)
+    rows = rows.where("sums IS NOT NULL").select(F.posexplode("sums").alias("at", "value"))
+    for r in rows.groupBy("at").agg(F.sum("value").alias("value")).collect():
+        out[r["at"]] = r["value"]
+    return out
+
+
 def _training_docs(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
     """Training documents by starting state."""
 
@@ -592,10 +652,7 @@ def _training_docs(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
 
 def _updated(chain: Chain, learned: DataFrame, states: int) -> tuple[Chain, float]:
     """The chain from the sums of all blocks, and the log likelihood of the one before."""
-    sums = np.zeros(states * states + 4 * states + 1)
-    rows = learned.where("sums IS NOT NULL").select(F.posexplode("sums").alias("at", "value"))
-    for r in rows.groupBy("at").agg(F.sum("value").alias("value")).collect():
-        sums[r["at"]] = r["value"]
+    sums = _sums(learned, states * states + 4 * states + 1)
     moves = sums[: states * states].reshape(states, states) + 1e-3
     start, totals, ends, once = sums[states * states : -1].reshape(4, states)
     after = Chain(

@@ -120,6 +120,25 @@ def test_rounds_go_on_until_the_training_likelihood_levels_off(given, monkeypatc
     assert len(gains) and (gains[:-1] >= hmm.TOLERANCE).all() and gains[-1] < hmm.TOLERANCE
 
 
+def test_counts_travel_as_one_row_for_each_block_and_range(given, monkeypatch):
+    rows, stored = {}, hmm.saved
+
+    def noted(frame, label):
+        out = stored(frame, label)
+        rows[label] = out.row_count
+        return out
+
+    monkeypatch.setattr(hmm, "saved", noted)
+    monkeypatch.setattr(hmm, "RANGE_WORDS", 5_000)
+    docs = given("documents").repartition(4, "doc_id")
+    many = {r.doc_id: r.score for r in hmm.score(docs, rounds=2).collect()}
+    assert 4 * 2 < rows["expected"] <= 4 * 50
+    monkeypatch.setattr(hmm, "RANGE_WORDS", 10**9)
+    few = {r.doc_id: r.score for r in hmm.score(docs, rounds=2).collect()}
+    assert rows["token-blocks"] == 4 and rows["expected"] == 4 * 2
+    assert many == pytest.approx(few, rel=1e-9)
+
+
 def test_a_rare_kind_of_text_can_be_a_starting_state(make):
     rng = np.random.default_rng(5)
     word = lambda letters: "".join(rng.choice(list(letters), 6))
