@@ -40,6 +40,7 @@ KEY_RANGES = 1024  # ranges of keys, each counted by itself
 FLUSH_SHINGLES = 2_000_000  # that a task gathers before it counts them
 LIST_ROWS = 50_000  # of one shingle that a task looks through
 ROUNDS = 6  # at most, of linking members to one other
+PIECE = 1 << 14  # words that are hashed at once
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -50,26 +51,52 @@ def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     Unsigned 64-bit, repeats included. A text of fewer words makes one run of all of them.
     """
     words, numbers, bounds = split_words(texts)
-    known = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
-    hashes = np.concatenate([known[numbers], np.zeros(width, np.uint64)])
+    texts = words.to_numpy(zero_copy_only=False)  # a list from Arrow takes much longer
+    known = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(words))
     lengths = np.diff(bounds)
     counts = np.where(lengths > 0, np.maximum(lengths - width + 1, 1), 0)
     ends = np.cumsum(counts)
     first = np.arange(ends[-1] if len(ends) else 0) + np.repeat(bounds[:-1] - (ends - counts), counts)
-    total = np.repeat(np.minimum(lengths, width), counts).astype(np.uint64)
-    sizes = np.repeat(lengths, counts)
-    for k in range(width):
-        mixed = (total ^ hashes[first + k]) * _MIX[0]
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[1]
-        mixed ^= mixed >> np.uint64(32)
-        total = mixed if k == 0 else np.where(sizes > k, mixed, total)
-    return total * _MIX[2], np.concatenate([[0], ends]).astype(np.int64)
+    total = _runs(known[numbers], width)[first]
+    short = np.flatnonzero((lengths > 0) & (lengths < width))
+    for length in np.unique(lengths[short]):
+        at = short[lengths[short] == length]
+        words_of = numbers[bounds[at][:, None] + np.arange(length)]
+        total[ends[at] - 1] = _runs(known[words_of.ravel()], int(length))[::length]
+    return total, np.concatenate([[0], ends]).astype(np.int64)
+
+
+def _runs(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the ``width`` words from each word on, in pieces that fit a processor's cache."""
+    out = np.full(len(hashes), width, np.uint64)
+    hashes = np.concatenate([hashes, np.zeros(width, np.uint64)])
+    high = np.empty(min(PIECE, len(out)), np.uint64)
+    for start in range(0, len(out), PIECE):
+        mixed = out[start : start + PIECE]
+        shifted = high[: len(mixed)]
+        for k in range(width):
+            mixed ^= hashes[start + k : start + k + len(mixed)]
+            mixed *= _MIX[0]
+            mixed ^= np.right_shift(mixed, np.uint64(29), out=shifted)
+            mixed *= _MIX[1]
+            mixed ^= np.right_shift(mixed, np.uint64(32), out=shifted)
+        mixed *= _MIX[2]
+    return out
 
 
 def sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     """The distinct shingles of each text, sorted."""
     total, bounds = shingles(texts, width)
-    return [np.unique(total[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return [_distinct(total[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted, without repeats; ``numbers`` is sorted in place."""
+    numbers.sort()
+    if len(numbers) < 2:
+        return numbers
+    new = numbers[1:] != numbers[:-1]
+    return numbers if new.all() else numbers[np.concatenate([[True], new])]
 
 
 def _count_keys(width: int):
@@ -394,12 +421,17 @@ def _pairs_across(labelled: DataFrame, percent: int) -> DataFrame:
     Lists are first paired by component, so groups in one component never meet. A pair
     meets only in lists of the first shingles of both, as many as its sizes ask for. As all
     members of a group have its size and its prefix, what is left out here has no links.
+
+    A test takes sizes and places only, so cells of one component that have both alike in a
+    list are one form of it there. Forms are tested, and only those that pass become cells.
     """
-    heads = labelled.groupBy("shingle", "component").agg(
+    forms = labelled.select("shingle", "component", "n", "at").distinct()
+    in_list = Window.partitionBy("shingle")
+    forms = forms.withColumn("several", F.min("component").over(in_list) < F.max("component").over(in_list))
+    forms = saved(forms.where("several").drop("several"), "forms")
+    heads = forms.groupBy("shingle", "component").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("at")
     )
-    several = Window.partitionBy("shingle")
-    heads = heads.withColumn("components", F.count(F.lit(1)).over(several)).where("components > 1")
     heads = saved(heads, "heads")
     c = heads.select("shingle", *[F.col(x).alias(y) for x, y in (("component", "c"), ("least", "l"), ("most", "m"), ("at", "i"))])
     d = heads.select("shingle", *[F.col(x).alias(y) for x, y in (("component", "d"), ("least", "k"), ("most", "o"), ("at", "j"))])
@@ -409,22 +441,28 @@ def _pairs_across(labelled: DataFrame, percent: int) -> DataFrame:
     early = (F.col("i") < F.col("m") - overlap + spare) & (F.col("j") < F.col("o") - overlap + spare)
     on = (c["shingle"] == d["shingle"]) & (F.col("c") < F.col("d")) & fits & early
     meet = c.join(d, on).select(c["shingle"], "c", "d", "k", "o")
-    side = lambda x, u, n, i: labelled.select(
-        "shingle", F.col("component").alias(x), F.col("cell").alias(u), F.col("n").alias(n), F.col("at").alias(i)
+    side = lambda rows, x, n, i, *more: rows.select(
+        "shingle", F.col("component").alias(x), F.col("n").alias(n), F.col("at").alias(i), *more
     )
     n_a, n_b = F.col("n_a"), F.col("n_b")
-    # A cell of c goes on only where some size from k to o would take it; the least one asks for least.
+    # A form of c goes on only where some size from k to o would take it; the least one asks for least.
     fewest = _least_overlap(n_a, F.greatest(F.col("k").cast("double"), n_a * percent / 100), percent)
     some = (n_a * 100 >= F.col("k") * percent) & (F.col("o") * 100 >= n_a * percent)
     some = some & (F.col("i") < n_a - fewest + F.floor(fewest / 50) + 1)
-    met = meet.join(side("c", "a", "n_a", "i"), ["shingle", "c"]).where(some).select("shingle", "d", "a", "n_a", "i")
-    met = met.join(side("d", "b", "n_b", "j"), ["shingle", "d"])
+    met = meet.join(side(forms, "c", "n_a", "i"), ["shingle", "c"]).where(some).select("shingle", "c", "d", "n_a", "i")
+    met = met.join(side(forms, "d", "n_b", "j"), ["shingle", "d"])
     reach = _needed(n_a, n_b, percent) - _least_overlap(n_a, n_b, percent)
     met = met.where(
         (n_a * 100 >= n_b * percent) & (n_b * 100 >= n_a * percent)
         & (F.col("i") < n_a + reach) & (F.col("j") < n_b + reach)
     )
-    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    # No pair of cells shares more shingles than the forms of its components and sizes meet in.
+    lists = F.size(F.collect_set("shingle").over(Window.partitionBy("c", "d", "n_a", "n_b")))
+    met = met.withColumn("lists", lists).where(F.col("lists") >= _needed(n_a, n_b, percent))
+    met = maybe_broadcast(saved(met.select("shingle", "c", "n_a", "i", "d", "n_b", "j"), "forms-met"))
+    cells = met.join(side(labelled, "c", "n_a", "i", F.col("cell").alias("a")), ["shingle", "c", "n_a", "i"])
+    cells = cells.join(side(labelled, "d", "n_b", "j", F.col("cell").alias("b")), ["shingle", "d", "n_b", "j"])
+    counted = cells.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     return counted.where(F.col("shared") >= _needed(n_a, n_b, percent)).select("a", "b")
 
 

@@ -143,3 +143,21 @@ def test_one_of_each_group_stays(make, awkward):
     stay = near_sets.deduplicated(awkward).collect()
     assert sorted(str(r.doc_id) for r in stay) == ["1", "3", "4", "5", "6", "7", "8", "None"]
     assert near_sets.deduplicated(make([])).collect() == []
+
+
+def test_cells_alike_are_tested_as_one_form(spark, monkeypatch):
+    """Forty cells of one component share a list with each of ten documents, two with one more."""
+    rows, stored = {}, near_sets.saved
+
+    def noted(frame, label):
+        out = stored(frame, label)
+        rows[label] = out.row_count
+        return out
+
+    monkeypatch.setattr(near_sets, "saved", noted)
+    lists = [(s, at, 1, cell, 147) for cell in range(1, 41) for s, at in ((7, 2), (8, 3))]
+    lists += [(7, 2, d, d, 147) for d in range(100, 110)] + [(7, 1, 110, 110, 147), (8, 2, 110, 110, 147)]
+    labelled = spark.createDataFrame(lists, "shingle long, at int, component long, cell long, n long")
+    got = {(r.a, r.b) for r in near_sets._pairs_across(labelled, 85).collect()}
+    assert got == {(cell, 110) for cell in range(1, 41)}  # sets of 147 need two shared shingles
+    assert rows["forms"] == 14 and rows["forms-met"] == 2
