@@ -80,28 +80,29 @@ def _packed(numbers: np.ndarray, level: int = 1) -> bytes:
     numbers = np.ascontiguousarray(numbers, np.uint64)
     width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
     planes = numbers.view(np.uint8).reshape(-1, 8).T[:width]
-    return bytes([width]) + zstandard.compress(planes.tobytes(), level)
+    return bytes([width]) + zstandard.compress(b"".join(plane.tobytes() for plane in planes), level)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, : data[0]] = planes.T
+    for place, plane in enumerate(planes):
+        out[:, place] = plane
     return out.view(np.int64).ravel()
 
 
 class Block:
     def __init__(self):
-        self.ids, self.out, self.tokens, self.profiles, self.lengths = [], [], [], [], []
-        self.words: dict[str, int] = {}
+        self.ids, self.out, self.profiles, self.lengths = [], [], [], []
+        self.words: list[pa.Array] = []  # of each slice
+        self.numbers: list[np.ndarray] = []
         self.chars = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
         texts = batch.column(1)
         words, numbers, bounds = split_words(texts)
-        own = self.words
-        places = np.array([own.setdefault(w, len(own)) for w in words.to_pylist()], np.uint32)
-        self.tokens.append(places[numbers])
+        self.words.append(words)
+        self.numbers.append(numbers)
         self.lengths += np.diff(bounds).tolist()
         self.ids += batch.column(0).to_pylist()
         self.out += batch.column(2).to_pylist()
@@ -109,16 +110,21 @@ class Block:
         self.chars += int(bounds[-1]) + (pc.sum(pc.binary_length(texts)).as_py() or 0)
 
     def row(self, number: int) -> pa.RecordBatch:
+        coded = pa.concat_arrays(self.words).dictionary_encode()
+        starts = np.cumsum([0, *map(len, self.words)])
+        places = np.split(coded.indices.to_numpy(), starts[1:-1])
+        tokens = np.concatenate([own[numbers] for own, numbers in zip(places, self.numbers, strict=True)])
+        words = coded.dictionary
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([self.ids], pa.list_(pa.int64())),
                 pa.array([self.out], pa.list_(pa.bool_())),
                 pa.array([self.lengths], pa.list_(pa.int32())),
-                pa.array([_packed(np.concatenate(self.tokens), 3)], pa.binary()),
+                pa.array([_packed(tokens, 3)], pa.binary()),
                 pa.array([np.stack(self.profiles).tobytes()], pa.binary()),
-                pa.array([list(self.words)], pa.list_(pa.string())),
-                pa.array([len(self.words)], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                pa.array([len(words)], pa.int64()),
             ],
             ["block", "doc_ids", "held_out", "lengths", "tokens", "profiles", "words", "n_words"],
         )
@@ -309,42 +315,50 @@ class Chain:
 
 
 def _forward(running: np.ndarray, token: np.ndarray, emit: np.ndarray, chain: Chain, keep: bool):
-    """Log likelihoods; with ``keep`` also the scaled forward values and the scales."""
-    first = running[0]
-    log = np.zeros(first)
-    values = np.empty((len(token), emit.shape[1])) if keep else None
+    """Log likelihoods; with ``keep`` also the scaled forward values, by state, and the scales."""
+    log, emit = np.zeros(running[0]), np.ascontiguousarray(emit.T)
     scales = np.empty(len(token)) if keep else None
-    at, now = 0, None
-    for count in running:
-        own = emit[token[at : at + count]]
-        now = own * (chain.start if now is None else now[:count] @ chain.move)
-        scale = now.sum(1)
-        now /= scale[:, None]
+    # Emissions of many steps are looked up at once: of all, or as far as a group of short texts goes.
+    room, ends = len(token) if keep else GROUP_TOKENS, np.cumsum(running)
+    first = at = 0
+    now = values = None
+    for step, count in enumerate(running):
+        if values is None or at - first == values.shape[1]:
+            upto = ends[max(int(np.searchsorted(ends, at + room, side="right")) - 1, step)]
+            first, values = at, np.empty((len(emit), upto - at))
+            for own, every in zip(values, emit, strict=True):
+                np.take(every, token[at:upto], out=own, mode="wrap")
+        before = chain.start[:, None] if now is None else chain.move.T @ now[:, :count]
+        now = values[:, at - first : at - first + count]
+        now *= before
+        scale = now.sum(0)
+        now /= scale
         log[:count] += np.log(scale)
         if keep:
-            values[at : at + count], scales[at : at + count] = now, scale
+            scales[at : at + count] = scale
         at += count
-    return log, values, scales
+    return (log, values, scales) if keep else (log, None, None)
 
 
 def _expected(running: np.ndarray, token: np.ndarray, emit: np.ndarray, chain: Chain, forward=None):
-    """Posterior states of every token, and sums of transitions and starts."""
-    _, values, scales = forward or _forward(running, token, emit, chain, True)
-    moves = np.zeros((emit.shape[1], emit.shape[1]))
+    """Posterior states of every token, and sums of transitions and starts.
+
+    A state's posterior over its forecast from the token before is its emission times its scaled
+    backward value. So this needs no emissions. Forecasts are above 0, as all transitions are.
+    """
+    _, values, _ = forward or _forward(running, token, emit, chain, True)
+    moves = np.zeros_like(chain.move)
     ends = np.cumsum(running)
     after = None
-    for step in range(len(running) - 1, -1, -1):
-        count, at = running[step], ends[step] - running[step]
-        back = np.ones((count, emit.shape[1]))
+    for count, end in zip(running[::-1], ends[::-1], strict=True):
+        own = values[:, end - count : end]
         if after is not None:
-            more = len(after)
-            back[:more] = after @ chain.move.T
-            moves += values[at : at + more].T @ after
-        own = slice(at, at + count)
-        after = emit[token[own]] * back / scales[own][:, None]
-        values[own] *= back
-        values[own] /= values[own].sum(1)[:, None]
-    return values, moves * chain.move, values[: running[0]].sum(0)
+            now = own[:, : after.shape[1]]
+            ratio = after / (chain.move.T @ now)
+            moves += now @ ratio.T
+            now *= chain.move @ ratio
+        after = own
+    return values.T, moves * chain.move, values[:, : running[0]].sum(1)
 
 
 def _rows(table: pa.Table) -> dict:
@@ -404,7 +418,7 @@ def _learn(chain: Chain, centres: np.ndarray):
         tokens = Tokens(row, centres)
         known = Emissions(tokens, row["n_words"], shared)
         emit = chain.emissions(known.counts, known.seen)
-        counts = np.zeros((row["n_words"] + 1, states))
+        counts = np.zeros((states, row["n_words"] + 1))
         moves, starts, likelihood = np.zeros((states, states)), np.zeros(states), 0.0
         for _, running, token in tokens.groups(tokens.train):
             forward = _forward(running, token, emit, chain, True)
@@ -412,16 +426,16 @@ def _learn(chain: Chain, centres: np.ndarray):
             posterior, moved, started = _expected(running, token, emit, chain, forward)
             place = np.where(token < 0, row["n_words"], token)
             for k in range(states):
-                counts[:, k] += np.bincount(place, posterior[:, k], minlength=len(counts))
+                counts[k] += np.bincount(place, posterior[:, k], minlength=counts.shape[1])
             moves += moved
             starts += started
-        words = counts[:-1]
-        once = words[known.seen == 1].sum(0)
-        sums = np.concatenate([moves.ravel(), starts, counts.sum(0), counts[-1], once, [likelihood]])
+        words = counts[:, :-1]
+        once = words[:, known.seen == 1].sum(1)
+        sums = np.concatenate([moves.ravel(), starts, counts.sum(1), counts[:, -1], once, [likelihood]])
         units = np.rint(words * UNIT).astype(np.int64)
         number = key[0].as_py()
-        rows = [{"part": -1 - number, "block": number, "counts": _packed(units[known.alone].T), "sums": sums.tolist()}]
-        rows += [{**r, "counts": _packed(units[places].T)} for r, places in known.shared]
+        rows = [{"part": -1 - number, "block": number, "counts": _packed(units[:, known.alone]), "sums": sums.tolist()}]
+        rows += [{**r, "counts": _packed(units[:, places])} for r, places in known.shared]
         return pa.Table.from_pylist(rows, _SHARED_KINDS)
 
     return run
@@ -446,10 +460,10 @@ def _sum_words(states: int):
 
     def run(batches):
         for rows in _parts(batches):
-            texts = [zstandard.decompress(r["texts"]).split(b"\n") for r in rows]
-            word = pa.array([t for own in texts for t in own], pa.binary()).dictionary_encode().indices
-            bounds = np.cumsum([0, *map(len, texts)])
-            words = [word.to_numpy()[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            texts = pa.array([zstandard.decompress(r["texts"]) for r in rows], pa.large_binary())
+            split = pc.split_pattern(texts, "\n")
+            word = split.flatten().dictionary_encode().indices
+            words = np.split(word.to_numpy(), split.offsets.to_numpy()[1:-1])
             size = max(int(w.max()) for w in words) + 1
             total, blocks = np.zeros((size, states), np.int64), np.zeros(size, np.int64)
             for r, own in zip(rows, words, strict=True):
@@ -535,22 +549,25 @@ def _word_rows(centres: np.ndarray, ranges: int):
     def run(batches):
         for batch in batches:
             for i in range(len(batch)):
-                row = {n: batch.column(j)[i].as_py() for j, n in enumerate(batch.schema.names)}
-                words = [w.encode() for w in row["words"]]
+                words = batch.column("words")[i].values.cast(pa.binary())
+                row = _rows(pa.Table.from_batches([batch.slice(i, 1)]))
                 counts = Tokens(row, centres).counts(len(words))
-                part = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(ranges)
+                hashes = map(xxhash.xxh3_64_intdigest, words.to_numpy(zero_copy_only=False))
+                part = np.fromiter(hashes, np.uint64, len(words)) % np.uint64(ranges)
                 order = np.argsort(part, kind="stable")
-                for at in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-                    if len(at):
-                        yield pa.RecordBatch.from_pydict(
-                            {
-                                "part": [int(part[at[0]])],
-                                "block": [row["block"]],
-                                "places": [_packed(np.diff(at, prepend=0))],
-                                "texts": [zstandard.compress(b"\n".join([words[k] for k in at]), 3)],
-                                "counts": [_packed(counts[at].T)],
-                            }
-                        )
+                bounds = np.unique([0, *np.flatnonzero(np.diff(part[order])) + 1, len(order)])
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words.take(pa.array(order)))
+                texts = pc.binary_join(lists, b"\n").to_pylist()
+                for at, text in zip(np.split(order, bounds[1:-1]), texts, strict=False):  # no words: no texts
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "part": [int(part[at[0]])],
+                            "block": [row["block"]],
+                            "places": [_packed(np.diff(at, prepend=0))],
+                            "texts": [zstandard.compress(text, 3)],
+                            "counts": [_packed(counts[at].T)],
+                        }
+                    )
 
     return run
 

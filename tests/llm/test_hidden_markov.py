@@ -1,10 +1,12 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeload.llm import hidden_markov as hmm
@@ -87,6 +89,76 @@ def test_forward_and_expected_counts_against_all_paths():
     assert np.allclose(posterior[[6, 4, 2]], want)
 
 
+def plain_expected(running, token, emit, c):
+    """The textbook recursions, token rows with a state in each column."""
+    values, scales, at, now = np.empty((len(token), emit.shape[1])), np.empty(len(token)), 0, None
+    for count in running:
+        own = slice(at, at + count)
+        now = emit[token[own]] * (c.start if now is None else now[:count] @ c.move)
+        scales[own] = now.sum(1)
+        now /= scales[own][:, None]
+        values[own] = now
+        at += count
+    moves, after = np.zeros_like(c.move), None
+    for count, end in zip(running[::-1], np.cumsum(running)[::-1]):
+        own, back = slice(end - count, end), np.ones((count, emit.shape[1]))
+        if after is not None:
+            back[: len(after)] = after @ c.move.T
+            moves += values[own][: len(after)].T @ after
+        after = emit[token[own]] * back / scales[own][:, None]
+        values[own] *= back
+        values[own] /= values[own].sum(1)[:, None]
+    return values, moves * c.move, values[: running[0]].sum(0)
+
+
+def test_recursions_equal_the_plain_ones_and_take_less_time():
+    c, rng = chain(6), np.random.default_rng(2)
+    c.move = np.diag(np.full(6, 1 - 1e-5)) + 1e-5 / 6  # nearly closed states, as at the start
+    c.move /= c.move.sum(1, keepdims=True)
+    emit = rng.random((50_000, 6)) ** 20 * 1e-3 + 1e-12
+    running = np.sort(rng.integers(1, 1_000, 900))[::-1]
+    token = rng.integers(-1, len(emit) - 1, int(running.sum()))
+
+    def least(run):
+        times = []
+        for _ in range(4):
+            start = time.process_time()
+            out = run(running, token, emit, c)
+            times.append(time.process_time() - start)
+        return min(times), out
+
+    (quick, got), (plain, want) = least(hmm._expected), least(plain_expected)
+    for mine, textbook in zip(got, want):
+        assert np.allclose(mine, textbook, rtol=1e-7, atol=1e-10)
+    assert quick < 0.75 * plain
+
+
+def test_a_long_text_is_scored_in_pieces_and_its_posteriors_stay_whole(monkeypatch):
+    c, rng = chain(), np.random.default_rng(3)
+    emit, running = rng.random((50, 3)) + 1e-9, np.array([2] * 7 + [1] * 200_000)
+    token = rng.integers(-1, 49, int(running.sum()))
+    whole, values, _ = hmm._forward(running, token, emit, c, True)
+    posterior, _, _ = hmm._expected(running, token, emit, c)
+    assert values.shape == (3, len(token)) and np.allclose(posterior.sum(1), 1, rtol=1e-10)
+    for size in (1, 5, 1_000):
+        monkeypatch.setattr(hmm, "GROUP_TOKENS", size)
+        log, _, _ = hmm._forward(running, token, emit, c, False)
+        assert np.allclose(log, whole, rtol=1e-12)
+
+
+@pytest.mark.parametrize("rows", [1, 3, 2000])
+def test_block_numbers_stand_for_the_words_in_any_slices(make, monkeypatch, rows):
+    monkeypatch.setattr(hmm, "SLICE_ROWS", rows)
+    monkeypatch.setattr(hmm.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    texts = ["B a\tb", None, "", "c A  d", " ", "é a É", "a" * 40, "d"]
+    frame = make(list(enumerate(texts))).selectExpr("doc_id", "text", "false AS held_out").orderBy("doc_id")
+    (row,) = pa.Table.from_batches(hmm._blocks(frame.toArrow().to_batches())).to_pylist()
+    assert row["words"] == ["b", "a", "c", "d", "é", "É", "a" * 40] and row["n_words"] == 7
+    got = [row["words"][k] for k in hmm._unpacked(row["tokens"])]
+    assert got == [t for text in texts for t in tokens(text)[:-1]]
+    assert row["lengths"] == [len(tokens(text)) - 1 for text in texts]
+
+
 def test_emissions_sum_to_one():
     c = chain()
     counts = np.array([[3.0, 0, 1], [0, 2, 2], [1, 1, 1], [0, 0, 1]])
