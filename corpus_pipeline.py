@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeload import scratch
 from lakeload.llm import mixing, near_sets, pieces, quality, secrets
-from lakeload.llm.common import given, ship
+from lakeload.llm.common import given, ship, small_batches
 from lakeload.llm.queries import SAMPLES, tokenizer
 
 
@@ -22,6 +22,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     other. Rows without an id have no label but a score. Repeated rows stay or go together.
     An empty table stays empty, and further columns are kept.
     """
+    small_batches(spark)
     return quality.accepted(docs, given(spark, sf_dir, "labels"))
 
 
@@ -33,6 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     however long. An empty table stays empty, and further columns are kept.
     """
     ship(spark)
+    small_batches(spark)
     return near_sets.deduplicated(docs)
 
 
@@ -43,6 +45,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and repeated rows are masked alike. An empty table stays empty, and further columns are kept.
     """
     ship(spark)
+    small_batches(spark)
     masked = secrets.redacted(docs)
     return masked.selectExpr(
         *[c if c != "n_chars" else "cast(length(text) as bigint) AS n_chars" for c in docs.columns]
@@ -67,6 +70,7 @@ def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Very long texts are segmented whole. An empty table stays empty.
     """
     ship(spark)
+    small_batches(spark)
     return pieces.sampled(docs, tokenizer("piece_bpe_32k.model"), SAMPLES, ["doc_id", "source"])
 
 

@@ -66,6 +66,7 @@ def text_slices(batches, column: int, most: int = SLICE_BYTES):
             yield batch.slice(start, end - start)
             pa.default_memory_pool().release_unused()
             start = end
+        del batch, sizes, ends  # not kept while the next batch is read
     give_back()
 
 
@@ -77,6 +78,11 @@ def give_back() -> None:
     """Empty what other operators' tasks left in this Python worker, and return free memory."""
     for clear in kept_tables:
         clear()
+    trim()
+
+
+def trim() -> None:
+    """Return this process's free memory to the system."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
@@ -84,6 +90,20 @@ def give_back() -> None:
         pass
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to this session's Python workers in Arrow batches of about ``SLICE_BYTES``.
+
+    By default a batch has up to 10,000 rows and 64 MB, and the JVM and the worker
+    hold two of them for each task. Results do not depend on it. It stays set, as stages are
+    run by their caller; a bound that the session already has is kept.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(SLICE_BYTES))
+
+
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 

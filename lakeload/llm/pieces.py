@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_tables
+from .common import kept_tables, trim
 
 BLANK = "▁"
 # No piece holds a line break, or a blank after another character.
@@ -34,7 +34,7 @@ _WORDS = re.compile(f"{BLANK}+[^{BLANK}\n]*|\n[^{BLANK}\n]*")
 SLICE_CHARS = 1_000_000  # text that is sampled side by side; a longer text is by itself
 SEED = 41
 SHARPNESS = 0.3  # the power of the pieces' frequencies; 0 makes all segmentations alike
-KEPT_PLACES = 1_500_000  # characters of distinct words whose tables a worker keeps
+KEPT_PLACES = 500_000  # characters of distinct words whose tables a task keeps
 # No Gumbel value from 53 random bits is larger: -log(-log(1 - 2^-54)).
 HIGHEST = 37.5
 
@@ -181,7 +181,6 @@ class Lattices:
         self.ids = np.empty(0, np.int32)
         self.log = np.empty(0, np.float32)
         self.upto = np.empty(0, np.float32)
-        self.owner = np.empty(0, np.int32)
 
     def add(self, words: list[str]) -> None:
         words = [w for w in words if w not in self.begin]
@@ -242,9 +241,12 @@ class Lattices:
         self.ids = np.concatenate([self.ids, ids])
         self.log = np.concatenate([self.log, np.minimum(log, 0.0).astype(np.float32)])
         self.upto = np.concatenate([self.upto, upto])
-        self.owner = np.concatenate([self.owner, np.repeat(np.arange(base, base + len(chars), dtype=np.int32), counts)])
         self.first = np.concatenate([self.first, first[1:] + np.int32(shift)])
 
+    def owner(self, edges):
+        """The places at which edges start."""
+        return np.searchsorted(self.first, np.asarray(edges, np.int32), side="right") - 1
+
     def _found(self, chars: np.ndarray, left: np.ndarray):
         """By length from 1: places, ids and log weights of the pieces that start there."""
         v = self.vocabulary
@@ -431,7 +433,7 @@ def _draw(popped: list, lattices: Lattices, begins: np.ndarray, turn: int) -> li
     """Complete the nodes taken from the queues; all their open words are sampled together."""
     branches, starts = [], []
     for row, (_, _, parent, index, excluded) in popped:
-        place = int(lattices.owner[parent.edges[index]])
+        place = int(lattices.owner(parent.edges[index]))
         options = slice(int(lattices.first[place]), int(lattices.first[place + 1]))
         chances = np.exp(lattices.log[options].astype(float))
         chances[[e - options.start for e in excluded]] = 0
@@ -483,7 +485,7 @@ def _push(new: list[tuple[_Row, _Path]], lattices: Lattices, turn: int, k: int)
         log[rows, inside + 1] = lattices.log[edges]
         before = np.array([lattices.log[p.edges[: p.since]].sum(dtype=float) if p.since else 0.0 for _, p in new])
         upto = before[:, None] + np.cumsum(log, 1)  # logs before each edge
-        place = lattices.owner[edges]
+        place = lattices.owner(edges)
         single = lattices.first[place + 1] - lattices.first[place] == 1
         with np.errstate(divide="ignore"):
             rest = np.where(single, -np.inf, np.log(-np.expm1(lattices.log[edges].astype(float))))
@@ -516,14 +518,14 @@ def _push(new: list[tuple[_Row, _Path]], lattices: Lattices, turn: int, k: int)
 def _rest(lattices: Lattices, path: _Path) -> float:
     """Log probability of the edges at the branching place that no sample has taken."""
     taken = (*path.excluded, int(path.edges[path.since]))
-    place = int(lattices.owner[taken[0]])
+    place = int(lattices.owner(taken[0]))
     options = range(int(lattices.first[place]), int(lattices.first[place + 1]))
     left = [lattices.log[e] for e in options if e not in taken]
     return float(np.logaddexp.reduce(left)) if left else -np.inf
 
 
 def _slices(batch: pa.RecordBatch):
-    sizes = np.array([len(t or "") for t in batch.column(1).to_pylist()])
+    sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if i > start and held + size > SLICE_CHARS:
@@ -574,6 +576,11 @@ def _sample_batches(path: str, k: int, seed: int, sharpness: float, columns: lis
                 v = vocabulary(path, sharpness)
                 held = [_decodes(batch.column(1), at, flat, every, v)] if check else []
                 yield pa.RecordBatch.from_arrays([*kept, ranks, ids, *numbers, *held], names)
+                del drawn, flat, every, ids, kept, numbers, held
+                trim()
+            whole = batch = None  # not kept while the next one is read
+        _kept.clear()  # the worker lives on, for tasks of other operators too
+        trim()
 
     return run
 

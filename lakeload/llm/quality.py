@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import give_back, saved
 
 _BYTE = np.arange(256)
 _PRINT = (_BYTE > 32) & (_BYTE < 127)
@@ -61,6 +61,7 @@ def statistics_of(text: str):
 
     @F.pandas_udf("array<double>")
     def run(texts: pd.Series) -> pd.Series:
+        give_back()
         return texts.map(statistics)
 
     return run(text)

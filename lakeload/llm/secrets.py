@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 # The base kinds in listed order, then the kinds this scan adds.
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "github", "npm", "jwt", "pem")
@@ -175,6 +177,7 @@ def scan(docs: DataFrame, text: str = "text", name: str = "spans") -> DataFrame:
 
     @F.pandas_udf("array<struct<kind:string,start:int,stop:int>>")
     def spans(texts: pd.Series) -> pd.Series:
+        give_back()
         return texts.map(lambda t: [{"kind": k, "start": a, "stop": b} for k, a, b in find(t)])
 
     return docs.withColumn(name, spans(F.col(f"`{text}`")))
@@ -189,6 +192,7 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
+        give_back()
         return texts.map(redact)
 
     return docs.withColumn(text, masked(F.col(f"`{text}`")))

@@ -1,5 +1,5 @@
 import math
-from collections import Counter
+from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
@@ -138,3 +138,47 @@ def test_samples_that_differ_from_their_text_are_seen(vocabulary):
     seen = pieces._decodes(texts, np.arange(6), cut, np.concatenate([d[0] for d in cut]), vocabulary)
     assert seen.to_pylist() == [vocabulary.decode(d[0].tolist()) == (t.as_py() or "").replace("▁", " ") for d, t in zip(cut, texts)]
     assert seen.to_pylist()[:1] == [False]
+
+
+def _freed_at_each_read(texts, size):
+    """Arrow bytes still held, above the start, whenever the sampler asks for another batch."""
+    start, held = pa.total_allocated_bytes(), []
+
+    def batches():
+        for i in range(0, len(texts), size):
+            held.append(pa.total_allocated_bytes() - start)
+            yield pa.RecordBatch.from_arrays([pa.array(range(i, i + size)), pa.array(texts[i : i + size])], ["key", "text"])
+        held.append(pa.total_allocated_bytes() - start)
+
+    rows = deque((b.num_rows for b in pieces._sample_batches(MODEL, 2, 1, 0.3, [], True)(batches())), maxlen=1)
+    assert rows
+    return held
+
+
+def test_a_task_keeps_no_batch_and_leaves_no_tables():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 40_000))) for _ in range(4)]
+    assert max(_freed_at_each_read(texts, 1)) < min(map(len, texts))
+    assert not pieces._kept
+
+
+def test_tables_of_words_stay_within_what_two_workers_can_hold():
+    rng = np.random.default_rng(4)
+    most = 0
+    for _ in range(8):
+        pieces.sample([" ".join(map(str, rng.integers(0, 10**9, 20_000)))], [1], MODEL, 1)
+        (known,) = pieces._kept.values()
+        most = max(most, len(known.first))
+        arrays = [x for x in vars(known).values() if isinstance(x, np.ndarray)]
+        assert sum(x.nbytes for x in arrays) <= 16 * len(known.to) + 4 * len(known.first)
+    pieces._kept.clear()
+    assert most < 800_000
+
+
+def test_places_of_edges(vocabulary):
+    lattices = pieces.Lattices(vocabulary)
+    lattices.add(["to", "be"])
+    lattices.add(["or", "not☃"])
+    counts = np.diff(lattices.first)
+    expected = np.repeat(np.arange(len(counts)), counts)
+    assert lattices.owner(np.arange(len(lattices.to))).tolist() == expected.tolist()

@@ -2,11 +2,12 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from llm_samples import AWKWARD, SF_DIR
-from lakeload.llm import mixing, pieces, quality, secrets
+from lakeload.llm import common, mixing, pieces, quality, secrets
 from lakeload.llm.queries import tokenizer
 from test_near_sets import brute
 
@@ -69,3 +70,25 @@ def test_awkward_documents_go_through_all_stages(spark, given, make, awkward, no
             docs.count()
             assert docs.columns == before or stage is corpus_pipeline.piece_ids
     assert len(AWKWARD) == 10
+
+
+def test_texts_go_to_python_in_small_batches(spark, given):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": pa.array([b.nbytes], pa.int64())})
+
+    wide = given("documents").selectExpr("repeat(text, 20) AS text").coalesce(1)
+    before = spark.conf.get(common.BATCH_BYTES, None)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "source_mix":  # it runs no Python
+                continue
+            spark.conf.unset(common.BATCH_BYTES)
+            stage(spark, given("documents"), SF_DIR)
+            largest = max(r.bytes for r in wide.mapInArrow(sizes, "bytes long").collect())
+            assert largest < 2 * common.SLICE_BYTES, name
+        spark.conf.set(common.BATCH_BYTES, "123456")
+        common.small_batches(spark)
+        assert spark.conf.get(common.BATCH_BYTES) == "123456"
+    finally:
+        spark.conf.unset(common.BATCH_BYTES) if before is None else spark.conf.set(common.BATCH_BYTES, before)
