@@ -1,6 +1,7 @@
 import glob
 import threading
 from collections import Counter
+from contextlib import contextmanager
 from dataclasses import replace
 from decimal import Decimal
 
@@ -352,3 +353,22 @@ def test_the_load_plan_has_no_shuffle(spark, spec):
         rows, _, _ = loads._observed(spark, "inventory", replace(spec, malformed=malformed))
         assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
         assert rows.select(F.col("inv_date_sk")).columns == ["inv_date_sk"]
+
+
+def test_text_that_does_not_stay_is_there_while_its_table_loads(spark, spec, lines, tmp_path):
+    seen = []
+
+    @contextmanager
+    def landed(table):
+        lines(table, {"inventory": INVENTORY, "reason": REASON}[table])
+        yield seen.append(table)
+        (tmp_path / f"{table}.dat").unlink()
+
+    for table in ("inventory", "reason"):
+        (tmp_path / f"{table}.dat").unlink()
+    results = load_all(spark, spec, ["reason", "inventory"], landed)
+    assert [(r.table_name, r.row_count) for r in results] == [("reason", 2), ("inventory", 3)]
+    assert sorted(seen) == ["inventory", "reason"] and not glob.glob(f"{tmp_path}/*.dat")
+    assert rows(spark, spec) == LOADED
+    load_all(spark, replace(spec, if_exists="skip"), landed=landed)  # needs no text
+    assert len(seen) == 2
