@@ -3,6 +3,7 @@
 import pathlib
 
 import __spark_entry__ as driver
+import pyarrow.parquet as pq
 import pytest
 from lakeload import scratch
 from lakeload.plans.load import LoadFailed
@@ -62,6 +63,33 @@ def left(spark):
 COUNTS = {"reason": 12, "date_dim": 800, "store_sales": 5000, "income_band": 30}
 
 
+def test_load_tpcds_leaves_tables_and_no_text(spark, given, few, left, monkeypatch):
+    turns, load_all = [], driver.load_all
+
+    def watched(spark, spec, tables, *more):
+        loaded = load_all(spark, spec, tables, *more)
+        turns.append((tables, left(".gz")))
+        return loaded
+
+    monkeypatch.setattr(driver, "load_all", watched)
+    monkeypatch.setattr(driver, "TURN_BYTES", 1)
+    rows = driver.load_tpcds(spark, given).collect()
+    assert [tuple(r) for r in rows] == [(t, COUNTS[t], 0, "ok") for t in FEW]
+    assert turns == [(["store_sales"], []), (["date_dim", "income_band", "reason"], [])]
+    held = {f.parent.name: 0 for f in left(".parquet")}
+    for f in left(".parquet"):
+        held[f.parent.name] += pq.read_metadata(f).num_rows
+    assert held == COUNTS
+
+
+def test_numbers_of_many_values_are_packed(spark, given, few, left):
+    driver.load_tpcds(spark, given)
+    file = next(f for f in left(".zstd.parquet") if f.parent.name == "store_sales")
+    group = pq.read_metadata(file).row_group(0)
+    found = {group.column(i).path_in_schema: group.column(i).encodings for i in range(group.num_columns)}
+    assert "DELTA_BINARY_PACKED" in found["ss_sold_date_sk"]
+
+
 def test_schema_registry_leaves_neither_text_nor_tables(spark, given, few, left):
     rows = driver.schema_registry(spark, given).collect()
     named = [(r.table_name, r.position, r.column_name, r.data_type) for r in rows]
