@@ -536,12 +536,21 @@ def _slices(batch: pa.RecordBatch):
         yield batch.slice(start)
 
 
-def _decodes(texts: pa.Array, samples: np.ndarray, flat: list, ids: np.ndarray, v: Vocabulary) -> pa.Array:
+def _laid_out(drawn: list) -> tuple[np.ndarray, list, np.ndarray]:
+    """The samples drawn for each text in one row: whose each is, the samples, the pieces of all."""
+    at = np.repeat(np.arange(len(drawn)), [len(d) for d in drawn])
+    flat = [s for d in drawn for s in d]
+    return at, flat, np.concatenate([s[0] for s in flat])
+
+
+def _decodes(texts: pa.Array, *given) -> pa.Array:
     """Whether the pieces of each sample give its text, but for U+2581, which gives a blank.
 
-    ``samples`` is the row of each sample, and ``ids`` the pieces of all of them. Their bytes stand
-    together and are compared as they are; only those that differ are decoded.
+    Given are the row of each sample, the samples, the pieces of all of them and the vocabulary, or the
+    samples as drawn for each text and the vocabulary. The bytes of the pieces stand together
+    and are compared as they are; only those that differ are decoded.
     """
+    samples, flat, ids, v = given if len(given) == 4 else (*_laid_out(given[0]), given[1])
     wanted = pc.replace_substring(pc.fill_null(texts, ""), BLANK, " ").to_pylist()
     raw = [w.encode("utf-8", "surrogatepass") for w in wanted]
     pieces = v.bytes.take(pa.array(ids, pa.int32()))
@@ -564,11 +573,9 @@ def _sample_batches(path: str, k: int, seed: int, sharpness: float, columns: lis
         for whole in batches:
             for batch in _slices(whole):
                 drawn = sample(batch.column(1), batch.column(0).to_pylist(), path, k, seed, sharpness)
-                at = np.repeat(np.arange(len(drawn)), [len(d) for d in drawn])
-                flat = [s for d in drawn for s in d]
+                at, flat, every = _laid_out(drawn)
                 sizes = [len(s[0]) for s in flat]
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-                every = np.concatenate([s[0] for s in flat])
                 ids = pa.ListArray.from_arrays(offsets, pa.array(every, pa.int32()))
                 kept = [c.take(pa.array(at)) for c in batch.columns[2:]]
                 ranks = pa.array([r + 1 for d in drawn for r in range(len(d))], pa.int32())
